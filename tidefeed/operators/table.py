@@ -2,25 +2,61 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidefeed.functions import as_number, col, type_of
-from tidefeed.storage import materialize
+from tidefeed.storage import materialize, new_folder
 
 #: Above this many distinct keys a key list is joined by shuffle, not broadcast. A key list holds only
 #: the key columns, so a million of them stay in the tens of megabytes.
 BROADCAST_KEYS = 1_000_000
 
 
-class Split(NamedTuple):
-    """Rows that passed a check, and those that did not, with the reason in ``motivo``."""
+@dataclass(frozen=True)
+class Split:
+    """Rows of which each passed a check or carries, in ``motivo``, the reason why it did not.
 
-    accepted: DataFrame
-    rejected: DataFrame
+    Reading both sides scans the source twice; ``stored`` writes them side by side in one pass.
+    """
+
+    marked: DataFrame
+    accepted_columns: tuple[str, ...]
+    rejected_columns: tuple[str, ...]
+
+    @property
+    def accepted(self) -> DataFrame:
+        return self.marked.where(F.col("motivo").isNull()).select(*map(col, self.accepted_columns))
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self.marked.where(F.col("motivo").isNotNull()).select(
+            *map(col, self.rejected_columns)
+        )
+
+    def stored(self, label: str = "split") -> Split:
+        """The same parts, read from two partitions of a table in the shared folder."""
+        spark = self.marked.sparkSession
+        path = new_folder(spark, label)
+        sided = self.marked.withColumn("aceito", F.col("motivo").isNull())
+        sided.write.partitionBy("aceito").parquet(path)
+        kept = spark.read.schema(sided.schema).parquet(path)
+        return StoredSplit(kept, self.accepted_columns, self.rejected_columns)
+
+
+class StoredSplit(Split):
+    """Parts that lie in partitions of their own, so that each side reads only its files."""
+
+    @property
+    def accepted(self) -> DataFrame:
+        return self.marked.where(F.col("aceito")).select(*map(col, self.accepted_columns))
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self.marked.where(~F.col("aceito")).select(*map(col, self.rejected_columns))
 
 
 def require_columns(df: DataFrame, *names: str) -> None:
@@ -37,21 +73,22 @@ def require_numeric(df: DataFrame, name: str) -> None:
 
 def split(df: DataFrame, reason: Column) -> Split:
     """Part ``df`` by an expression that is NULL for good rows and names the fault of bad ones."""
-    marked = df.withColumn("motivo", reason)
-    return Split(
-        marked.where(F.col("motivo").isNull()).drop("motivo"),
-        marked.where(F.col("motivo").isNotNull()),
-    )
+    columns = tuple(df.columns)
+    return Split(df.withColumn("motivo", reason), columns, (*columns, "motivo"))
 
 
-def typed_rows(df: DataFrame) -> Split:
-    """Set aside rows that miss the value of a numeric column; text columns may be empty."""
+def missing_number(df: DataFrame) -> Column:
+    """NULL, or the first numeric column that a row misses the value of."""
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    reason = F.coalesce(
+    return F.coalesce(
         *[F.when(col(name).isNull(), F.lit(f"missing:{name}")) for name in numeric],
         F.lit(None).cast("string"),
     )
-    return split(df, reason)
+
+
+def typed_rows(df: DataFrame) -> Split:
+    """Set aside rows that miss the value of a numeric column; text columns may be empty."""
+    return split(df, missing_number(df))
 
 
 def keep_rows(df: DataFrame, mask: Column) -> DataFrame:

@@ -36,8 +36,7 @@ def read_database(
     path must be one that all executors can open, such as a mounted share.
     """
     from tidefeed.functions import col
-    from tidefeed.operators.table import Split, split
-    from tidefeed.sources.files import _as_record
+    from tidefeed.sources.files import as_record, record_split
 
     spark.dataSource.register(TableFileSource)
     reader = spark.read.format(FORMAT).option("rows_per_partition", rows_per_partition)
@@ -54,8 +53,7 @@ def read_database(
         lost = col(field.name).isNotNull() & value.isNull()
         faults.append(F.when(lost, F.lit(f"type:{field.name}")))
         typed.append(value.alias(field.name))
-    accepted, rejected = split(rows, F.coalesce(*faults))
-    return Split(accepted.select(*typed), _as_record(rejected.drop(_UNFIT)))
+    return record_split(rows, typed, F.coalesce(*faults), as_record(rows.drop(_UNFIT)))
 
 
 def read_jdbc_table(

@@ -8,13 +8,14 @@ converted only the selected ones.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidefeed.functions import col
-from tidefeed.operators.table import Split, split, typed_rows
+from tidefeed.operators.table import Split, missing_number
 
 # File suffixes and what they hold.
 SEPARATORS = {"csv": ",", "txt": "\t"}
@@ -70,8 +71,8 @@ def load_split(
         parts = read_json(spark, path, schema, lines=suffix == JSON_LINES_SUFFIX)
     else:
         raise ValueError(f"unsupported format: {suffix!r}")
-    complete, missing = typed_rows(parts.accepted)
-    return Split(complete, parts.rejected.unionByName(_as_record(missing)))
+    reason = F.coalesce("motivo", missing_number(parts.accepted))
+    return replace(parts, marked=parts.marked.withColumn("motivo", reason))
 
 
 def read_delimited(
@@ -118,8 +119,8 @@ def read_json(
     if schema is None:
         schema = _json_schema(spark, path, lines, sampling_ratio)
     if not schema:
-        nothing = spark.createDataFrame([], schema)
-        return Split(nothing, spark.createDataFrame([], "motivo STRING, registro STRING"))
+        nothing = spark.createDataFrame([], "motivo STRING, registro STRING")
+        return Split(nothing, (), ("motivo", "registro"))
     raw = (
         spark.read.option("multiLine", not lines)
         .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT)
@@ -205,14 +206,17 @@ def _typed(raw: DataFrame, schema: T.StructType, malformed: str) -> Split:
         typed.append(value.alias(field.name))
     # Spark refuses to read the corrupt-record column alone, so the check also touches a field.
     reasons.append(F.when(F.length(col(schema[0].name)) < 0, F.lit(malformed)))
-    accepted, rejected = split(raw, F.coalesce(*reasons))
-    return Split(accepted.select(*typed), _as_record(rejected))
+    record = F.coalesce(F.col(_CORRUPT), as_record(raw.drop(_CORRUPT)))
+    return record_split(raw, typed, F.coalesce(*reasons), record)
 
 
-def _as_record(rejected: DataFrame) -> DataFrame:
-    """Rejected rows in one common form: the reason, and the row (or its raw line) as text."""
-    fields = [col(name) for name in rejected.columns if name not in ("motivo", _CORRUPT)]
-    record = F.to_json(F.struct(*fields))
-    if _CORRUPT in rejected.columns:
-        record = F.coalesce(F.col(_CORRUPT), record)
-    return rejected.select("motivo", record.alias("registro"))
+def record_split(raw: DataFrame, typed: list[Column], reason: Column, record: Column) -> Split:
+    """Typed columns, and for the rows at fault the reason and the row as text."""
+    marked = raw.select(*typed, reason.alias("motivo"), record.alias("registro"))
+    *columns, _, _ = marked.columns
+    return Split(marked, tuple(columns), ("motivo", "registro"))
+
+
+def as_record(raw: DataFrame) -> Column:
+    """A row as one text."""
+    return F.to_json(F.struct(*map(col, raw.columns)))
