@@ -131,11 +131,14 @@ def _meets(df: DataFrame, rule: Rule) -> Column:
 
 
 def check_rows(df: DataFrame, rules: Sequence[Rule]) -> Split:
-    """Rows of which every cell is valid; the others carry the name of the first column at fault."""
+    """Rows of which every cell is valid; the others carry the name of the first column at fault.
+
+    Rules of columns that the table no longer has, say because they were sparse, do not apply.
+    """
     faults = [
         F.when(~valid_cell(df, rule), F.lit(f"invalid:{rule.column}"))
         for rule in rules
-        if not rule.exempt
+        if not rule.exempt and rule.column in df.columns
     ]
     return split(df, F.coalesce(*faults, F.lit(None).cast("string")))
 
