@@ -6,6 +6,7 @@ from tidefeed.functions import (
     as_text,
     fmt6,
     island_code,
+    island_key,
     join_or,
     norm_key,
     null_like,
@@ -29,6 +30,12 @@ def test_island_code_of_numbers(rows):
     assert column(df, island_code(df, "d")) == ["12", "07", "00", "00"]
 
 
+def test_island_key(rows):
+    df = rows("s string, i int", ("05", 5), ("11001", -11001), ("x", 0), (None, None))
+    assert column(df, island_key(df, "s")) == [5, 11, 0, 0]
+    assert column(df, island_key(df, "i")) == [5, 11, 0, 0]
+
+
 def test_norm_key(rows):
     df = rows(
         "s string, d double, i int",

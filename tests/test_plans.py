@@ -50,6 +50,29 @@ def test_long_key_lists_are_joined_without_a_broadcast_hint(spark, items, monkey
     assert "ResolvedHint" not in logical
 
 
+def test_a_hot_key_is_split_when_the_key_list_is_long(spark, rows, monkeypatch):
+    monkeypatch.setattr("tidefeed.operators.table.BROADCAST_KEYS", 0)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        facts = spark.range(20000).selectExpr("if(id % 3 = 0, 7, id) as k", "id as v")
+        keys = spark.range(1000, 3000).selectExpr("id as k")
+        kept = op.drop_keys(facts.repartition(8), keys, "k")
+        plan = final(plan_of(kept))
+        assert "skew=true" in plan
+        assert kept.count() == 20000 - sum(1 for i in range(1000, 3000) if i % 3)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_validation_is_one_filter_over_the_scan(items):
     rules = [op.Rule("l_linenumber", minimum=0, maximum=5), op.Rule("l_tax", boolean=True)]
     accepted = op.check_rows(items.select("l_linenumber", "l_tax"), rules).accepted

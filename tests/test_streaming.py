@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 
 from tidefeed.operators import group_sum, stats, stats_by
 from tidefeed.schemas import FEEDS
-from tidefeed.streaming import accumulated, group_totals, last_round, pooled_stats, start_rounds
+from tidefeed.streaming import (
+    accumulated,
+    accumulating_round,
+    group_totals,
+    last_round,
+    pooled_stats,
+    start_rounds,
+    totals_so_far,
+)
 from tidefeed.streaming import rounds as rounds_module
-from tidefeed.streaming.accumulate import totals_so_far
 
 DAY = "01-02-2024"
 ROWS = {
@@ -37,7 +44,7 @@ def follow(spark, tmp_path):
     """Work off what has landed, noting the rows per feed of every round."""
     seen = []
 
-    def job(feeds, folder):
+    def job(feeds, folder, number):
         seen.append((Path(folder).name, {f: df.count() for f, df in feeds.items()}))
 
     def run(**options):
@@ -80,7 +87,7 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path, drop):
         drop(feed)
     base, seen = f"{tmp_path}/base", []
 
-    def job(feeds, folder):
+    def job(feeds, folder, number):
         seen.append({f: df.count() for f, df in feeds.items()})
 
     batch = spark.read.schema(rounds_module.TAGGED_UNION).json(f"{tmp_path}/landing")
@@ -95,13 +102,13 @@ def test_a_round_that_failed_is_run_again(spark, tmp_path, drop):
     base, seen = f"{tmp_path}/base", []
     batch = spark.read.schema(rounds_module.TAGGED_UNION).json(f"{tmp_path}/landing")
 
-    def failing(feeds, folder):
+    def failing(feeds, folder, number):
         raise RuntimeError("lost")
 
     with pytest.raises(RuntimeError):
         rounds_module._take(batch, 0, base, failing)
     assert last_round(spark, base) is None
-    rounds_module._take(batch, 0, base, lambda feeds, _: seen.append(feeds["oms"].count()))
+    rounds_module._take(batch, 0, base, lambda feeds, *_: seen.append(feeds["oms"].count()))
     assert seen == [5]
     assert last_round(spark, base) == 0
 
@@ -110,11 +117,18 @@ def test_rounds_write_the_weekly_outputs(spark, tmp_path, drop):
     for feed in FEEDS:
         drop(feed)
     base = f"{tmp_path}/base"
-    start_rounds(spark, f"{tmp_path}/landing", base).awaitTermination()
+    job = accumulating_round(f"{base}/acumulado")
+    start_rounds(spark, f"{tmp_path}/landing", base, job).awaitTermination()
     written = spark.read.option("header", True).csv(f"{base}/rounds/round=0/oms")
     assert sorted(r.cep for r in written.collect()) == ["11", "12", "13", "14", "15"]
     names = {p.name for p in Path(f"{base}/rounds/round=0").iterdir() if p.is_dir()}
     assert {"hospital", "oms", "secretaria", "merge_ABC"} <= names
+    report = spark.read.option("header", True).csv(f"{base}/rounds/round=0/relatorio/alertas")
+    assert tuple(report.first()) == ("14, 15", "11, 12, 13")
+    for feed in FEEDS:
+        drop(feed)
+    start_rounds(spark, f"{tmp_path}/landing", base, job).awaitTermination()
+    assert tuple(pooled_stats(spark, f"{base}/acumulado").first()) == (2, 6.0, 0.0)
 
 
 def test_timed_rounds_until_stopped(spark, tmp_path, drop):
@@ -125,7 +139,7 @@ def test_timed_rounds_until_stopped(spark, tmp_path, drop):
         spark,
         f"{tmp_path}/landing",
         f"{tmp_path}/base",
-        lambda feeds, folder: seen.append(folder),
+        lambda feeds, folder, number: seen.append(folder),
         every="1 second",
     )
     deadline = time.time() + 60

@@ -2,10 +2,10 @@ from tidefeed.functions.exprs import (
     as_number,
     as_text,
     col,
-    contains_any,
     fmt6,
     fold_case,
     island_code,
+    island_key,
     join_or,
     norm_key,
     null_like,
@@ -18,10 +18,10 @@ __all__ = [
     "as_number",
     "as_text",
     "col",
-    "contains_any",
     "fmt6",
     "fold_case",
     "island_code",
+    "island_key",
     "join_or",
     "norm_key",
     "null_like",

@@ -5,8 +5,6 @@ Functions whose meaning depends on the type of a column take the DataFrame and t
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,14 +72,23 @@ def norm_key(df: DataFrame, name: str) -> Column:
     return F.regexp_extract(col(name).cast("string"), r"^\s*([+-]?[0-9]+)", 1).try_cast("bigint")
 
 
-def island_code(df: DataFrame, name: str) -> Column:
-    """The first two digits of a code, padded with a zero; ``00`` where there is no digit."""
-    dtype = type_of(df, name)
-    if isinstance(dtype, T.NumericType):
-        digits = F.translate(norm_key(df, name).cast("string"), "-", "")
+def _leading_digits(df: DataFrame, name: str) -> Column:
+    """The first two digits of a code, or as many as there are."""
+    if isinstance(type_of(df, name), T.NumericType):
+        digits = F.ltrim(norm_key(df, name).cast("string"), F.lit("-"))
     else:
         digits = F.regexp_replace(col(name).cast("string"), "[^0-9]", "")
-    return F.lpad(F.substring(F.coalesce(digits, F.lit("")), 1, 2), 2, "0")
+    return F.substring(digits, 1, 2)
+
+
+def island_code(df: DataFrame, name: str) -> Column:
+    """The first two digits of a code, padded with a zero; ``00`` where there is no digit."""
+    return F.lpad(F.coalesce(_leading_digits(df, name), F.lit("")), 2, "0")
+
+
+def island_key(df: DataFrame, name: str) -> Column:
+    """The island code as an integer (``05`` is 5); zero where a text has no digit."""
+    return F.coalesce(_leading_digits(df, name).try_cast("int"), F.lit(0))
 
 
 def only_digits(c: Column, length: int) -> Column:
@@ -93,14 +100,6 @@ def fold_case(c: Column) -> Column:
     return F.lower(c)
 
 
-def contains_any(c: Column, words: Sequence[str]) -> Column:
-    """True where the text holds one of the words."""
-    found = F.lit(False)
-    for word in words:
-        found = found | c.contains(word)
-    return found
-
-
 def join_or(values: Column, separator: str = ", ", empty: str = EMPTY_LIST_TEXT) -> Column:
     """An array of texts in ascending order as one text, or ``empty`` for an empty array."""
     return F.coalesce(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefeed.functions import as_number, col, island_code, norm_key, type_of
+from tidefeed.functions import as_number, col, island_key, norm_key, type_of
 from tidefeed.operators.table import Split, require_columns, require_numeric, split
 
 # The alert column and its two labels.
@@ -54,7 +54,7 @@ def group_sum_island(df: DataFrame, key: str, measure: str) -> DataFrame:
     """As ``group_sum``, per island: the first two digits of the key as an integer (``05`` is ``5``)."""
     require_columns(df, key)
     require_numeric(df, measure)
-    return _total(df, key, island_code(df, key).cast("int"), measure)
+    return _total(df, key, island_key(df, key), measure)
 
 
 def group_sum_text(df: DataFrame, key: str, measure: str) -> DataFrame:

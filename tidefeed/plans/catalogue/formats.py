@@ -25,6 +25,7 @@ from tidefeed.sinks import (
     write_outputs,
 )
 from tidefeed.sources import any_of, id_number_pairs, load, load_split, read_database
+from tidefeed.sources.database import mounted
 from tidefeed.storage import new_folder
 
 
@@ -108,8 +109,9 @@ def scan_id_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_database(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each task lands its rows as one database file; the scan cuts the files by row ids."""
     supplier = table(spark, sf_dir, "supplier")
-    folder = new_folder(spark, "supplier").removeprefix("file:") + ".db"
-    Path(folder).mkdir(parents=True)
+    place = mounted(new_folder(spark, "supplier") + ".db")
+    place.mkdir(parents=True)
+    folder = str(place)
 
     def land(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Built in memory and moved into place in one step: a retried task replaces its file.

@@ -12,8 +12,15 @@ from tidefeed.plans.catalogue import feeds
 from tidefeed.plans.catalogue.registry import query, rounded, table
 from tidefeed.plans.catalogue.routing import tagged
 from tidefeed.storage import new_folder
-from tidefeed.streaming import accumulated, last_round, pooled_stats, round_output, start_rounds
-from tidefeed.streaming.accumulate import group_totals, totals_so_far
+from tidefeed.streaming import (
+    accumulated,
+    group_totals,
+    last_round,
+    pooled_stats,
+    round_output,
+    start_rounds,
+    totals_so_far,
+)
 
 # The totals of a run, as common table expressions. Valid hospital rows are those of a valid age; the
 # other rules hold for every derived row.

@@ -15,6 +15,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 FORMAT = "tidefeed_table_file"
 ROWS_PER_PARTITION = 1_000_000
+#: Files up to this size are read whole unless the caller says how many rows a partition should hold.
+WHOLE_FILE_BYTES = 64 * 1024 * 1024
+#: Row ids may have wide gaps; a file is never cut into more ranges than this.
+MAX_RANGES = 10_000
 _FETCHED = 10_000
 _UNFIT = "__unfit"
 _UNFIT_FIELD = T.StructField(_UNFIT, T.StringType())
@@ -28,7 +32,7 @@ def read_database(
     path: str,
     table: str | None = None,
     schema: T.StructType | None = None,
-    rows_per_partition: int = ROWS_PER_PARTITION,
+    rows_per_partition: int | None = None,
 ):
     """A table of a SQLite file, or of all such files in a folder; by default the first in its catalog.
 
@@ -39,7 +43,9 @@ def read_database(
     from tidefeed.sources.files import as_record, record_split
 
     spark.dataSource.register(TableFileSource)
-    reader = spark.read.format(FORMAT).option("rows_per_partition", rows_per_partition)
+    reader = spark.read.format(FORMAT)
+    if rows_per_partition:
+        reader = reader.option("rows_per_partition", rows_per_partition)
     if table:
         reader = reader.option("table", table)
     if schema is not None:
@@ -97,8 +103,16 @@ def _quoted(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
+def mounted(path: str) -> Path:
+    """A path that the operating system of every executor can open."""
+    plain = path.removeprefix("file://").removeprefix("file:")
+    if "://" in plain:
+        raise ValueError(f"database files must lie on a mounted path: {path}")
+    return Path(plain)
+
+
 def _files(path: str) -> list[str]:
-    place = Path(path.removeprefix("file://").removeprefix("file:"))
+    place = mounted(path)
     if place.is_dir():
         found = sorted(str(f) for f in place.iterdir() if f.suffix in (".db", ".sqlite"))
     else:
@@ -149,18 +163,22 @@ class TableFileSource(DataSource):
         return T.StructType([*columns, _UNFIT_FIELD])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        stride = int(self.options.get("rows_per_partition", ROWS_PER_PARTITION))
+        stride = self.options.get("rows_per_partition")
+        stride = int(stride) if stride else None
         return TableFileReader(schema, self.options["path"], self.options.get("table"), stride)
 
 
 class TableFileReader(DataSourceReader):
-    def __init__(self, schema: T.StructType, path: str, table: str | None, stride: int):
+    def __init__(self, schema: T.StructType, path: str, table: str | None, stride: int | None):
         self.columns = [f for f in schema if f.name != _UNFIT]
         self.path, self.table, self.stride = path, table, stride
 
     def partitions(self) -> list[RowRange]:
         ranges = []
         for file in _files(self.path):
+            if self.stride is None and Path(file).stat().st_size <= WHOLE_FILE_BYTES:
+                ranges.append(RowRange(file))
+                continue
             connection = _open(file)
             ranges += self._ranges(connection, file)
             connection.close()
@@ -177,8 +195,9 @@ class TableFileReader(DataSourceReader):
             return [RowRange(file)]
         if first is None:
             return []
-        starts = range(first, last + 1, self.stride)
-        return [RowRange(file, start, start + self.stride) for start in starts]
+        stride = max(self.stride or ROWS_PER_PARTITION, (last - first) // MAX_RANGES + 1)
+        starts = range(first, last + 1, stride)
+        return [RowRange(file, start, start + stride) for start in starts]
 
     def read(self, partition: RowRange) -> Iterator:
         import pyarrow as pa

@@ -44,31 +44,41 @@ def load(
     *,
     require_rows: bool = False,
     table: str | None = None,
+    sampling_ratio: float = 1.0,
 ) -> DataFrame:
     """The well-formed rows of a file, folder or glob whose suffix is csv, txt, json, jsonl, db or sqlite.
 
     Rows that miss the value of a numeric column are left out, as are malformed ones; ``load_split``
     gives them too. With ``require_rows`` an input without any good row is an error.
     """
-    accepted = load_split(spark, path, schema, table=table).accepted
+    parts = load_split(spark, path, schema, table=table, sampling_ratio=sampling_ratio)
+    accepted = parts.accepted
     if require_rows and accepted.isEmpty():
         raise ValueError(f"no valid row in {path}")
     return accepted
 
 
 def load_split(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, *, table: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    *,
+    table: str | None = None,
+    sampling_ratio: float = 1.0,
 ) -> Split:
-    """As ``load``, with the rows that were set aside: ``(motivo, registro)``."""
+    """As ``load``, with the rows that were set aside: ``(motivo, registro)``.
+
+    Without a schema the types are inferred in a pass of their own, from the given share of the rows.
+    """
     from tidefeed.sources.database import read_database
 
     suffix = suffix_of(path)
     if suffix in SEPARATORS:
-        parts = read_delimited(spark, path, SEPARATORS[suffix], schema)
+        parts = read_delimited(spark, path, SEPARATORS[suffix], schema, sampling_ratio)
     elif suffix in DATABASE_SUFFIXES:
         parts = read_database(spark, path, table=table, schema=schema)
     elif suffix in (JSON_SUFFIX, JSON_LINES_SUFFIX):
-        parts = read_json(spark, path, schema, lines=suffix == JSON_LINES_SUFFIX)
+        parts = read_json(spark, path, schema, suffix == JSON_LINES_SUFFIX, sampling_ratio)
     else:
         raise ValueError(f"unsupported format: {suffix!r}")
     reason = F.coalesce("motivo", missing_number(parts.accepted))

@@ -1,11 +1,25 @@
-from tidefeed.streaming.accumulate import accumulated, group_totals, pooled_stats
-from tidefeed.streaming.rounds import last_round, round_output, start_rounds
+from tidefeed.streaming.accumulate import (
+    accumulated,
+    group_totals,
+    pooled_stats,
+    totals_so_far,
+)
+from tidefeed.streaming.rounds import (
+    accumulating_round,
+    last_round,
+    round_output,
+    start_rounds,
+    weekly_round,
+)
 
 __all__ = [
     "accumulated",
+    "accumulating_round",
     "group_totals",
     "last_round",
     "pooled_stats",
     "round_output",
     "start_rounds",
+    "totals_so_far",
+    "weekly_round",
 ]

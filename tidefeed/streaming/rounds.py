@@ -25,6 +25,7 @@ from tidefeed.operators.routing import union_fault
 from tidefeed.plans import weekly
 from tidefeed.schemas import FEEDS, TAGGED_UNION
 from tidefeed.sinks import write_outputs
+from tidefeed.streaming.accumulate import accumulated
 
 REFUSED = "recusado"
 
@@ -33,12 +34,29 @@ _COUNTS = T.StructType(
     [T.StructField("feed", T.StringType()), T.StructField("rows", T.LongType())]
 )
 
-#: Takes the round's feeds and the folder for its outputs.
-RoundJob = Callable[[Mapping[str, DataFrame], str], object]
+#: Takes the round's feeds, the folder for its outputs and its number.
+RoundJob = Callable[[Mapping[str, DataFrame], str, int], object]
 
 
-def weekly_round(feeds: Mapping[str, DataFrame], folder: str) -> None:
-    weekly.run(feeds["oms"], feeds["secretaria"], feeds["hospital"], folder)
+def weekly_round(feeds: Mapping[str, DataFrame], folder: str, number: int) -> dict[str, DataFrame]:
+    """The weekly run of a round, with the five analyses beside its outputs in ``relatorio``."""
+    outputs = weekly.run(feeds["oms"], feeds["secretaria"], feeds["hospital"], folder)
+    write_outputs(weekly.report(outputs), f"{folder}/relatorio")
+    return outputs
+
+
+def accumulating_round(base: str) -> RoundJob:
+    """As ``weekly_round``, and the hospital totals build up over the rounds below ``base``.
+
+    ``pooled_stats`` reads them.
+    """
+
+    def job(feeds: Mapping[str, DataFrame], folder: str, number: int) -> None:
+        totals = weekly_round(feeds, folder, number)["hospital"]
+        measure = f"Total_{weekly.HOSPITAL_MEASURE}"
+        accumulated(totals, weekly.HOSPITAL_KEY, measure, number, base)
+
+    return job
 
 
 def start_rounds(
@@ -82,7 +100,7 @@ def _take(batch: DataFrame, number: int, base: str, job: RoundJob) -> None:
     complete = counts.groupBy("feed").agg(F.sum("rows").alias("rows")).where(F.col("rows") > 0)
     if complete.count() < len(FEEDS):
         return
-    job(_feeds(spark, pending, base), f"{base}/rounds/round={number}")
+    job(_feeds(spark, pending, base), f"{base}/rounds/round={number}", number)
     done = spark.createDataFrame([(number, number)], _DONE).select("batch")
     done.write.mode("overwrite").parquet(f"{base}/rounds_done/round={number}")
 
