@@ -237,3 +237,17 @@ def test_jdbc_scan_is_partitioned():
     assert (url, table) == ("jdbc:x", "t")
     assert options["numPartitions"] == 8 and options["column"] == "id"
     assert options["properties"] == {"user": "u"}
+
+
+def test_json_arrays_of_several_files_one_of_them_broken(spark, put, tmp_path):
+    put("a.json", '[{"id":1,"v":"x"},\n {"id":2.5,"v":"y"},{"id":3,"v":[1,{"k":"z"}]}]')
+    put("b.json", '\n[{"id":4,"v":"w"},')
+    put("c.json", "[]")
+    put("d.json", "")
+    parts = load_split(spark, f"{tmp_path}/*.json", PAIR)
+    assert values(parts.accepted) == [(1, "x"), (3, '[1,{"k":"z"}]')]
+    assert values(parts.rejected) == [
+        ("json", '\n[{"id":4,"v":"w"},'),
+        ("type:id", '{"id":"2.5","v":"y"}'),
+    ]
+    assert parts.accepted.count() == 2 and parts.accepted.select("v").count() == 2

@@ -24,7 +24,7 @@ JSON_SUFFIX = "json"
 JSON_LINES_SUFFIX = "jsonl"
 
 _CORRUPT = "_corrupt_record"
-_BEFORE_ARRAY = r"^[\s\x{FEFF}]*"
+_OPENS_ARRAY = r"^[\s\x{FEFF}]*\["
 
 
 def suffix_of(path: str) -> str:
@@ -131,50 +131,60 @@ def read_json(
     if not schema:
         nothing = spark.createDataFrame([], "motivo STRING, registro STRING")
         return Split(nothing, (), ("motivo", "registro"))
-    raw = (
-        spark.read.option("multiLine", not lines)
-        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT)
-        .schema(_all_text(schema))
-        .json(path)
-    )
-    return _typed(raw, schema, "json")
+    read = _json_lines if lines else _json_arrays
+    return _typed(read(spark, path, schema), schema, "json")
+
+
+def _json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    reader = spark.read.options(mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT)
+    return reader.schema(_all_text(schema)).json(path)
+
+
+def _json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Objects of array files, their fields as text.
+
+    The files are parsed as values and not by the multi-line reader, which goes back to the file for
+    the text of every single number.
+    """
+    objects = F.from_json("value", T.ArrayType(_text_fields(schema)))
+    arrays = _array_files(spark, path).select("value", objects.alias("objects"))
+    filled = F.coalesce(F.size("objects") > 0, F.lit(True))
+    broken = F.when(F.col("objects").isNull(), F.col("value")).alias(_CORRUPT)
+    return arrays.where(filled).select(broken, F.inline_outer("objects"))
+
+
+def _array_files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path, wholetext=True).where(F.col("value").rlike(r"\S"))
+
+
+def _require_arrays(spark: SparkSession, path: str) -> None:
+    """Refuse files that start with anything but an opening bracket."""
+    if not _array_files(spark, path).where(~F.col("value").rlike(_OPENS_ARRAY)).isEmpty():
+        raise ValueError(f"{path} must hold a list of objects")
 
 
 def _json_schema(
     spark: SparkSession, path: str, lines: bool, sampling_ratio: float
 ) -> T.StructType:
     """The keys of the first object, typed by the whole input; a key that starts empty holds text."""
-    text = spark.read.text(path, wholetext=not lines).where(F.col("value").rlike(r"\S"))
-    first = F.col("value") if lines else F.get_json_object("value", "$[0]")
-    keys = text.select(F.json_object_keys(first)).head()
-    if keys is None or not keys[0]:
-        return T.StructType()
+    if lines:
+        first = spark.read.text(path).where(F.col("value").rlike(r"\S")).select("value")
+    else:
+        first = _array_files(spark, path).select(F.get_json_object("value", "$[0]").alias("value"))
+    start = first.select(F.from_json("value", "map<string, string>")).head()
+    keys = (start[0] if start is not None else None) or {}
     options = {"multiLine": not lines, "samplingRatio": sampling_ratio}
-    inferred = three_types(spark.read.options(**options).json(path).schema)
-    known = {f.name: f for f in inferred if f.name in keys[0]}
-    as_text = _all_text(T.StructType(list(known.values())))
-    start = spark.read.option("multiLine", not lines).schema(as_text).json(path).head()
+    inferred = three_types(spark.read.options(**options).json(path).schema) if keys else []
+    text = T.StringType()
     return T.StructType(
         [
-            f if start is not None and start[f.name] is not None else T.StructField(f.name, T.StringType())
-            for f in known.values()
+            f if keys[f.name] is not None else T.StructField(f.name, text)
+            for f in inferred
+            if f.name in keys
         ]
     )
 
 
-def _require_arrays(spark: SparkSession, path: str) -> None:
-    """Refuse files that start with anything but an opening bracket. Reads text, and parses nothing."""
-    lines = spark.read.text(path).where(F.col("value").rlike(r"\S"))
-    placed = lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
-        F.col("value").rlike(_BEFORE_ARRAY + r"\[").alias("opens"),
-    )
-    first = placed.groupBy("file").agg(F.min_by("opens", "place").alias("opens"))
-    if not first.where(~F.col("opens")).isEmpty():
-        raise ValueError(f"{path} must hold a list of objects")
-
-
 def id_number_pairs(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
     """The first two fields of each line as ``(id STRING, value DOUBLE)``, header skipped.
 
@@ -199,9 +209,12 @@ def three_types(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, folded(f.dataType)) for f in schema])
 
 
+def _text_fields(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+
+
 def _all_text(schema: T.StructType) -> T.StructType:
-    text = [T.StructField(f.name, T.StringType()) for f in schema]
-    return T.StructType([*text, T.StructField(_CORRUPT, T.StringType())])
+    return _text_fields(schema).add(_CORRUPT, T.StringType())
 
 
 def _typed(raw: DataFrame, schema: T.StructType, malformed: str) -> Split:
