@@ -78,7 +78,8 @@ def test_validation_is_one_filter_over_the_scan(items):
     accepted = op.check_rows(items.select("l_linenumber", "l_tax"), rules).accepted
     plan = plan_of(accepted)
     assert "Exchange" not in plan and "Python" not in plan
-    assert "*(1) Filter" in plan
+    assert "*(1) Filter" in plan and "CASE" not in plan
+    assert "GreaterThanOrEqual(l_linenumber,0)" in plan.split("PushedFilters")[1]
 
 
 def test_cleaned_tables_prune_columns(spark):

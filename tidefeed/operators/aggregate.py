@@ -30,7 +30,8 @@ def _has_key(df: DataFrame, key: str) -> Column:
 def split_keys(df: DataFrame, key: str) -> Split:
     """Set aside the rows whose key has no integer value; the totals leave them out."""
     require_columns(df, key)
-    return split(df, F.when(~_has_key(df, key), F.lit(f"key:{key}")))
+    has_key = _has_key(df, key)
+    return split(df, F.when(~has_key, F.lit(f"key:{key}")), has_key)
 
 
 def _total(df: DataFrame, key: str, group: Column, measure: str) -> DataFrame:

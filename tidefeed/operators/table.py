@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,16 +22,20 @@ BROADCAST_KEYS = 1_000_000
 class Split:
     """Rows of which each passed a check or carries, in ``motivo``, the reason why it did not.
 
-    Reading both sides scans the source twice; ``stored`` writes them side by side in one pass.
+    ``good`` may state the check once more as a plain condition, which unlike the reason can be pushed
+    into a scan. Reading both sides scans the source twice; ``stored`` writes them side by side in one
+    pass.
     """
 
     marked: DataFrame
     accepted_columns: tuple[str, ...]
     rejected_columns: tuple[str, ...]
+    good: Column | None = None
 
     @property
     def accepted(self) -> DataFrame:
-        return self.marked.where(F.col("motivo").isNull()).select(*map(col, self.accepted_columns))
+        passed = F.col("motivo").isNull() if self.good is None else self.good
+        return self.marked.where(passed).select(*map(col, self.accepted_columns))
 
     @property
     def rejected(self) -> DataFrame:
@@ -71,24 +77,29 @@ def require_numeric(df: DataFrame, name: str) -> None:
         raise ValueError(f"column {name} is not numeric")
 
 
-def split(df: DataFrame, reason: Column) -> Split:
+def split(df: DataFrame, reason: Column, good: Column | None = None) -> Split:
     """Part ``df`` by an expression that is NULL for good rows and names the fault of bad ones."""
     columns = tuple(df.columns)
-    return Split(df.withColumn("motivo", reason), columns, (*columns, "motivo"))
+    return Split(df.withColumn("motivo", reason), columns, (*columns, "motivo"), good)
+
+
+def _numeric(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
 def missing_number(df: DataFrame) -> Column:
     """NULL, or the first numeric column that a row misses the value of."""
-    numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    return F.coalesce(
-        *[F.when(col(name).isNull(), F.lit(f"missing:{name}")) for name in numeric],
-        F.lit(None).cast("string"),
-    )
+    faults = [F.when(col(name).isNull(), F.lit(f"missing:{name}")) for name in _numeric(df)]
+    return F.coalesce(*faults, F.lit(None).cast("string"))
 
 
 def typed_rows(df: DataFrame) -> Split:
     """Set aside rows that miss the value of a numeric column; text columns may be empty."""
-    return split(df, missing_number(df))
+    return split(df, missing_number(df), all_of(col(name).isNotNull() for name in _numeric(df)))
+
+
+def all_of(conditions: Iterable[Column]) -> Column:
+    return reduce(Column.__and__, conditions, F.lit(True))
 
 
 def keep_rows(df: DataFrame, mask: Column) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidefeed.functions import as_number, col, null_like, only_digits, type_of
-from tidefeed.operators.table import Split, split
+from tidefeed.operators.table import Split, all_of, split
 
 # The words that decide a column's rule, matched in its lower-cased name.
 CODE_WORDS = ("cep",)
@@ -104,7 +104,7 @@ def valid_cell(df: DataFrame, rule: Rule) -> Column:
     """True where a cell is missing or meets its rule. Text outside a code or boolean rule never does."""
     if rule.exempt:
         return F.lit(True)
-    return F.coalesce(null_like(df, rule.column) | _meets(df, rule), F.lit(False))
+    return null_like(df, rule.column) | _meets(df, rule)
 
 
 def _meets(df: DataFrame, rule: Rule) -> Column:
@@ -135,12 +135,14 @@ def check_rows(df: DataFrame, rules: Sequence[Rule]) -> Split:
 
     Rules of columns that the table no longer has, say because they were sparse, do not apply.
     """
-    faults = [
-        F.when(~valid_cell(df, rule), F.lit(f"invalid:{rule.column}"))
+    checks = {
+        rule.column: valid_cell(df, rule)
         for rule in rules
         if not rule.exempt and rule.column in df.columns
-    ]
-    return split(df, F.coalesce(*faults, F.lit(None).cast("string")))
+    }
+    faults = [F.when(~valid, F.lit(f"invalid:{name}")) for name, valid in checks.items()]
+    reason = F.coalesce(*faults, F.lit(None).cast("string"))
+    return split(df, reason, all_of(checks.values()))
 
 
 def validate(

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,9 +124,8 @@ def _stage(batch: DataFrame, number: int, base: str) -> None:
 
 
 def _feeds(spark: SparkSession, batches: range, base: str) -> dict[str, DataFrame]:
-    layout = T.StructType(
-        [*TAGGED_UNION, T.StructField("motivo", T.StringType()), T.StructField("destino", T.StringType())]
-    )
+    added = [T.StructField(name, T.StringType()) for name in ("motivo", "destino")]
+    layout = T.StructType([*TAGGED_UNION, *added])
     staging = f"{base}/staging"
     paths = [f"{staging}/batch_id={k}" for k in batches]
     rows = spark.read.schema(layout).option("basePath", staging).parquet(*paths)
@@ -136,18 +136,18 @@ def _feeds(spark: SparkSession, batches: range, base: str) -> dict[str, DataFram
 
 def last_round(spark: SparkSession, base: str) -> int | None:
     """The number of the last complete round, which is that of the batch that completed it."""
-    done = f"{base}/rounds_done"
-    if not _exists(spark, done):
-        return None
-    return spark.read.schema(_DONE).parquet(done).agg(F.max("round")).first()[0]
-
-
-def round_output(spark: SparkSession, base: str, number: int, name: str, schema: T.StructType):
+    try:
+        done = spark.read.schema(_DONE).parquet(f"{base}/rounds_done")
+    except AnalysisException as nothing_yet:
+        if nothing_yet.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return done.agg(F.max("round")).first()[0]
+
+
+def round_output(
+    spark: SparkSession, base: str, number: int, name: str, schema: T.StructType
+) -> DataFrame:
     """One output of a round, as a table."""
     path = f"{base.rstrip('/')}/rounds/round={number}/{name}"
     return spark.read.schema(schema).option("header", True).csv(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
