@@ -44,14 +44,14 @@ def test_lookup_does_not_shuffle_the_left_side(items):
 
 
 def test_long_key_lists_are_joined_without_a_broadcast_hint(spark, items, monkeypatch):
-    monkeypatch.setattr("tidefeed.operators.table.BROADCAST_KEYS", 0)
+    monkeypatch.setattr("tidefeed.operators.table.BROADCAST_BYTES", -1)
     kept = op.drop_keys(items, items.select("l_suppkey").limit(3), "l_suppkey")
     logical = kept._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in logical
 
 
 def test_a_hot_key_is_split_when_the_key_list_is_long(spark, rows, monkeypatch):
-    monkeypatch.setattr("tidefeed.operators.table.BROADCAST_KEYS", 0)
+    monkeypatch.setattr("tidefeed.operators.table.BROADCAST_BYTES", -1)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",

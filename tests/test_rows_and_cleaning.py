@@ -45,9 +45,9 @@ def test_append_rows(rows):
         op.append_rows(df, rows("k int", (1,)))
 
 
-@pytest.mark.parametrize("broadcast_limit", [0, 1_000_000])
+@pytest.mark.parametrize("broadcast_limit", [-1, 1_000_000])
 def test_drop_keys(rows, monkeypatch, broadcast_limit):
-    monkeypatch.setattr(table_ops, "BROADCAST_KEYS", broadcast_limit)
+    monkeypatch.setattr(table_ops, "BROADCAST_BYTES", broadcast_limit)
     hot = [(7, i) for i in range(300)] + [(i, i) for i in range(5)]
     df = rows("k int, v int", *hot)
     keys = rows("k int, other string", (7, "a"), (7, "b"), (3, "c"), (99, "d"))

@@ -22,7 +22,7 @@ def lines(folder):
 
 def test_csv_has_a_header_and_six_decimals(rows, tmp_path):
     df = rows("cep string, Total_num_obitos double, Alertas string", ("20", 27285.0, "Vermelho"))
-    write_csv(df, f"{tmp_path}/oms", single_file=True)
+    write_csv(df.coalesce(1), f"{tmp_path}/oms")
     assert lines(tmp_path / "oms") == [
         "cep,Total_num_obitos,Alertas",
         "20,27285.000000,Vermelho",
@@ -63,11 +63,28 @@ def test_json_files(rows, tmp_path):
     write_json(df, f"{tmp_path}/l")
     assert sorted(json.loads(line)["i"] for line in lines(tmp_path / "l")) == list(range(50))
     write_json_arrays(df.repartition(3), f"{tmp_path}/a")
-    arrays = [json.loads(f.read_text()) for f in (tmp_path / "a").glob("part-*") if f.stat().st_size]
+    files = [f for f in (tmp_path / "a").glob("part-*") if f.stat().st_size]
+    arrays = [json.loads(f.read_text()) for f in files]
     assert len(arrays) == 3
     assert sorted(o["i"] for a in arrays for o in a) == list(range(50))
 
 
+@pytest.mark.parametrize("batch", [1, 3, 10_000])
+def test_json_array_files_are_bounded(spark, rows, tmp_path, batch):
+    df = rows("i int", *[(i,) for i in range(23)]).coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        write_json_arrays(df, f"{tmp_path}/a.json", rows_per_file=5)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    files = sorted((tmp_path / "a.json").glob("part-*"))
+    arrays = [[o["i"] for o in json.loads(f.read_text())] for f in files]
+    assert sorted(map(len, arrays)) == [3, 5, 5, 5, 5]
+    assert values(load(spark, f"{tmp_path}/a.json")) == values(df)
+    write_json_arrays(df.limit(0), f"{tmp_path}/none")
+    assert not any(f.stat().st_size for f in (tmp_path / "none").glob("part-*"))
+
+
 def test_json_array_of_a_short_table(rows, monkeypatch):
     df = rows("i int", (1,), (2,))
     assert json.loads(json_array(df).first()[0]) == [{"i": 1}, {"i": 2}]

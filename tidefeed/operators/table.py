@@ -13,9 +13,8 @@ from pyspark.sql import types as T
 from tidefeed.functions import as_number, col, type_of
 from tidefeed.storage import materialize, new_folder
 
-#: Above this many distinct keys a key list is joined by shuffle, not broadcast. A key list holds only
-#: the key columns, so a million of them stay in the tens of megabytes.
-BROADCAST_KEYS = 1_000_000
+#: Up to this size a list of distinct keys is broadcast, else it is joined by shuffle.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -132,18 +131,28 @@ def append_rows(df: DataFrame, batch: DataFrame) -> DataFrame:
 def drop_keys(df: DataFrame, keys: DataFrame, *on: str) -> DataFrame:
     """Remove the rows whose key occurs in ``keys``.
 
-    Repeated keys collapse before they are shuffled, and the distinct list is stored, so its size is
-    known. A short list is broadcast and ``df`` is not shuffled at all. A long one is joined by shuffle
+    Repeated keys collapse before they are shuffled. The distinct list is stored, and its size is taken
+    on the way. A short list is broadcast and ``df`` is not shuffled at all. A long one is joined by shuffle
     straight from its table, a shape in which adaptive execution can split a hot key of ``df``.
     """
     require_columns(df, *on)
     require_columns(keys, *on)
-    listed, seen = materialize(keys.select(*map(col, on)).distinct(), "keys")
-    if seen["rows"] <= BROADCAST_KEYS:
+    distinct = keys.select(*map(col, on)).distinct()
+    size = reduce(Column.__add__, [_stored_bytes(distinct, name) for name in on])
+    listed, seen = materialize(distinct, "keys", F.sum(size).alias("bytes"))
+    if (seen["bytes"] or 0) <= BROADCAST_BYTES:
         listed = F.broadcast(listed)
     return df.join(listed, list(on), "left_anti")
 
 
+def _stored_bytes(df: DataFrame, name: str) -> Column:
+    """What a value takes up, with room for the overhead of a hash table."""
+    overhead = F.lit(32)
+    if isinstance(type_of(df, name), T.StringType):
+        return overhead + F.coalesce(F.octet_length(col(name)), F.lit(0))
+    return overhead
+
+
 def add_column(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, value)
 

@@ -107,32 +107,40 @@ def scan_id_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select * from supplier")
 def scan_database(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each task lands its rows as one database file; the scan cuts the files by row ids."""
+    """Tasks land their rows as database files of a bounded size; the scan cuts them by row ids."""
     supplier = table(spark, sf_dir, "supplier")
     place = mounted(new_folder(spark, "supplier") + ".db")
     place.mkdir(parents=True)
     folder = str(place)
 
-    def land(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Built in memory and moved into place in one step: a retried task replaces its file.
+    def store(batches: list[pd.DataFrame], number: int) -> pd.DataFrame:
+        # Built in memory and moved into place in one step: a retried task replaces its files.
         database = sqlite3.connect(":memory:")
         database.execute("create table suppliers (s_suppkey, s_name, s_nationkey, s_acctbal)")
-        written = 0
-        for batch in batches:
-            rows = batch.astype(object).itertuples(index=False, name=None)
-            database.executemany("insert into suppliers values (?, ?, ?, ?)", rows)
-            written += len(batch)
-        if written:
-            file = f"{folder}/part-{TaskContext.get().partitionId():06d}.db"
-            unfinished = f"{file}.{uuid.uuid4().hex}"
-            Path(unfinished).write_bytes(database.serialize())
-            os.replace(unfinished, file)
+        rows = pd.concat(batches).astype(object).itertuples(index=False, name=None)
+        database.executemany("insert into suppliers values (?, ?, ?, ?)", rows)
+        file = f"{folder}/part-{TaskContext.get().partitionId():06d}-{number:06d}.db"
+        unfinished = f"{file}.{uuid.uuid4().hex}"
+        Path(unfinished).write_bytes(database.serialize())
+        os.replace(unfinished, file)
         database.close()
-        yield pd.DataFrame({"rows": [written]})
+        return pd.DataFrame({"rows": [sum(map(len, batches))]})
 
-    landed = supplier.mapInPandas(land, "rows long").agg(F.sum("rows")).first()[0]
-    stride = max(1, landed // 4)
-    parts = read_database(spark, folder, schema=supplier.schema, rows_per_partition=stride)
+    def land(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        number = 0
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) >= 500_000:
+                yield store(held, number)
+                held, number = [], number + 1
+        if held:
+            yield store(held, number)
+
+    landed = supplier.mapInPandas(land, "rows long").agg(F.max("rows")).first()[0]
+    parts = read_database(
+        spark, folder, schema=supplier.schema, rows_per_partition=max(1, landed // 4)
+    )
     return parts.accepted
 
 

@@ -1,20 +1,31 @@
-"""Session settings. On a cluster pass ``SCALE_CONF`` to the submit command or the builder."""
+"""Session settings. On a cluster pass ``scale_conf`` to the submit command or the builder."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-#: Sized for inputs of many terabytes: start with many small shuffle partitions and let adaptive
-#: execution merge them, split skewed ones, and turn a join into a broadcast when its side is small.
-SCALE_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.session.timeZone": "UTC",
-}
+_MIB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int) -> dict[str, str]:
+    """Settings for a cluster that works on inputs of about this size.
+
+    The shuffle starts with many partitions, which adaptive execution merges where little is left after
+    the partial aggregates. Their number ends at 50,000: with the number of input splits it determines
+    how much the driver has to track, so very large inputs get larger splits and partitions instead.
+    """
+    partitions = min(50_000, max(200, input_bytes // (256 * _MIB)))
+    split = 512 if input_bytes > 10 * _MIB * _MIB else 128
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": f"{split}m",
+        "spark.sql.session.timeZone": "UTC",
+    }
 
 
 def local_session(name: str = "tidefeed", cores: int | str = "*", **conf: str) -> SparkSession:

@@ -8,4 +8,12 @@ from tidefeed.sinks.files import (
     write_outputs,
 )
 
-__all__ = ["as_json", "json_array", "text_form", "write_csv", "write_json", "write_json_arrays", "write_outputs"]
+__all__ = [
+    "as_json",
+    "json_array",
+    "text_form",
+    "write_csv",
+    "write_json",
+    "write_json_arrays",
+    "write_outputs",
+]

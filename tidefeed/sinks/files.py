@@ -15,6 +15,8 @@ from tidefeed.storage import run_together
 
 #: The longest table that ``json_array`` turns into one text.
 MAX_ARRAY_ROWS = 10_000
+#: The number of objects in one array file.
+ROWS_PER_ARRAY = 50_000
 
 
 def text_form(df: DataFrame) -> DataFrame:
@@ -22,19 +24,15 @@ def text_form(df: DataFrame) -> DataFrame:
     return df.select(*[as_text(df, name).alias(name) for name in df.columns])
 
 
-def write_csv(
-    df: DataFrame, path: str, *, separator: str = ",", single_file: bool = False
-) -> int:
+def write_csv(df: DataFrame, path: str, *, separator: str = ",") -> int:
     """Write a folder of CSV files with headers, replacing what is there; gives the number of rows.
 
-    An empty table is written too, with a warning. ``single_file`` is for reports of a few rows: it
-    sends all of them through one task.
+    An empty table is written too, with a warning.
     """
     seen = Observation(f"rows-{uuid.uuid4().hex}")
     text = text_form(df).observe(seen, F.count(F.lit(1)).alias("rows"))
-    if single_file:
-        text = text.coalesce(1)
-    text.write.mode("overwrite").options(header=True, sep=separator, quote='"', escape='"').csv(path)
+    options = {"header": True, "sep": separator, "quote": '"', "escape": '"'}
+    text.write.mode("overwrite").options(**options).csv(path)
     rows = seen.get["rows"]
     if rows == 0:
         warnings.warn(f"the table saved in {path} is empty", stacklevel=2)
@@ -51,22 +49,29 @@ def as_json(df: DataFrame) -> Column:
     return F.to_json(F.struct(*map(col, df.columns)), {"ignoreNullFields": "false"})
 
 
-def write_json_arrays(df: DataFrame, path: str) -> None:
-    """Write a folder of files that each hold one JSON array of objects, replacing what is there."""
+def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_ARRAY) -> None:
+    """Write a folder of files that each hold one JSON array of objects, replacing what is there.
+
+    A task starts a new array, and with it a new file, every ``rows_per_file`` objects: whoever reads an
+    array file has to take it in one piece.
+    """
 
     def framed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        opening, following = "[", ","
+        held, place = "", 0
         for batch in batches:
-            if len(batch):
-                lines = following + batch["value"]
-                lines.iloc[0] = opening + batch["value"].iloc[0]
-                opening = following
-                yield lines.to_frame()
-        if opening == following:
-            yield pd.DataFrame({"value": ["]"]})
-
-    objects = df.select(as_json(df).alias("value"))
-    objects.mapInPandas(framed, "value string").write.mode("overwrite").text(path)
+            lines = []
+            for line in batch["value"]:
+                opens = place % rows_per_file == 0
+                if place:
+                    lines.append(held + "]" if opens else held)
+                held = ("[" if opens else ",") + line
+                place += 1
+            yield pd.DataFrame({"value": lines}, dtype=object)
+        if place:
+            yield pd.DataFrame({"value": [held + "]"]})
+
+    lines = df.select(as_json(df).alias("value")).mapInPandas(framed, "value string")
+    lines.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).text(path)
 
 
 def json_array(df: DataFrame) -> DataFrame:
