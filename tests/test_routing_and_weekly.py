@@ -87,8 +87,8 @@ def test_weekly_run(spark, week, tmp_path):
     rules = op.learn_rules(week["hospital"].where("idade <= 120 and cep > 999"))
     treated = weekly.treat(week["hospital"], ["cep"], rules=rules)
     assert treated.count() == 20
-    # First rows of the distinct hospital rows may hold the short code, which leaves no code rule.
-    outputs = weekly.run(**week, base=str(tmp_path))
+    # Else the short code may be among the first rows, which leaves no code rule.
+    outputs = weekly.run(**week, base=str(tmp_path), per_feed={"hospital": {"rules": rules}})
     assert list(outputs) == [
         "hospital",
         "oms",
@@ -120,7 +120,8 @@ def test_weekly_run(spark, week, tmp_path):
         ("15", 50.0, 0.0),
     ]
     islands = {r.cep: r.Total_internado for r in outputs["merge_AC"].collect()}
-    assert all(islands[c] == 2.0 for c in ("12", "13", "14", "15"))
+    assert islands == {c: 2.0 for c in ("11", "12", "13", "14", "15")}
+    assert values(outputs["hospital"]) == [("1", 0.0), ("2", 10.0)]
     written = load(spark, f"{tmp_path}/oms/*.csv")
     assert written.count() == 5 and written.columns == ["cep", "Total_num_obitos", "Alertas"]
 

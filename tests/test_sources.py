@@ -89,6 +89,12 @@ def test_a_late_bad_value_is_set_aside_under_a_schema(spark, put):
     assert [r.motivo for r in parts.rejected.collect()] == ["type:id"] * 3
 
 
+def test_a_schema_is_matched_by_name_or_else_by_position(spark, put):
+    by_name = load(spark, put("named.csv", "v,extra,id\na,q,1\nb,r,2\n"), PAIR)
+    assert values(by_name) == [(1, "a"), (2, "b")] and by_name.columns == ["id", "v"]
+    assert values(load(spark, put("other.csv", "x,y\n1,a\n"), PAIR)) == [(1, "a")]
+
+
 def test_missing_numbers_drop_the_row_and_missing_text_does_not(spark, put):
     parts = load_split(spark, put("missing.csv", "id,v\n,x\n1,\n2,y\n"), PAIR)
     assert values(parts.accepted) == [(1, None), (2, "y")]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidefeed.operators import (
     alert_summary,
@@ -20,8 +22,11 @@ from tidefeed.operators import (
     validate,
 )
 from tidefeed.operators.clean import SPARSE_THRESHOLD
+from tidefeed.operators.routing import ORIGINS
 from tidefeed.operators.validate import SAMPLE_ROWS, Rule
+from tidefeed.schemas import FEEDS
 from tidefeed.sinks import write_outputs
+from tidefeed.sources import load
 from tidefeed.storage import materialize, run_together
 
 # The key and the measure of each feed, and the common code of the merge.
@@ -51,31 +56,39 @@ def run(
     secretaria: DataFrame,
     hospital: DataFrame,
     base: str | None = None,
+    *,
+    per_feed: Mapping[str, Mapping] | None = None,
     **treatment,
 ) -> dict[str, DataFrame]:
     """Treat, total and merge the three feeds; write the outputs below ``base`` if given.
 
+    ``treatment`` goes to ``treat`` for all feeds and ``per_feed`` for one, say
+    ``{"hospital": {"rules": rules}}`` for rules that an earlier run has learnt.
+
     The outputs are the three feeds' totals and the merges. The feeds are treated side by side. The
     hospital feed is treated once for both of its totals. All totals are stored, so that the merges and
     the analyses start from a few rows per island instead of from the feeds.
     """
 
+    def treated(name: str, feed: DataFrame, *keep: str) -> DataFrame:
+        return treat(feed, keep, **{**treatment, **(per_feed or {}).get(name, {})})
+
     def stored(label: str, table: DataFrame) -> DataFrame:
         return materialize(table, label)[0]
 
     def hospital_totals() -> tuple[DataFrame, DataFrame]:
-        rows = treat(hospital, [HOSPITAL_KEY, CODE, HOSPITAL_MEASURE], **treatment)
+        rows = treated("hospital", hospital, HOSPITAL_KEY, CODE, HOSPITAL_MEASURE)
         return (
             stored("hospital", group_sum(rows, HOSPITAL_KEY, HOSPITAL_MEASURE)),
             stored("hospital-island", group_sum_island(rows, CODE, HOSPITAL_MEASURE)),
         )
 
     def oms_totals() -> DataFrame:
-        rows = treat(oms, [CODE, OMS_MEASURE], **treatment)
+        rows = treated("oms", oms, CODE, OMS_MEASURE)
         return stored("oms", group_sum(rows, CODE, OMS_MEASURE))
 
     def secretaria_totals() -> DataFrame:
-        rows = treat(secretaria, [CODE, SECRETARIA_MEASURE], **treatment)
+        rows = treated("secretaria", secretaria, CODE, SECRETARIA_MEASURE)
         return stored("secretaria", group_sum_island(rows, CODE, SECRETARIA_MEASURE))
 
     # The merge takes the totals of the feeds as received for these two.
@@ -100,6 +113,34 @@ def run(
     return outputs
 
 
+def feeds_of(spark: SparkSession, paths: Sequence[str]) -> dict[str, DataFrame]:
+    """The feeds in files of any supported format, each path routed by the name of its file.
+
+    Several files of one feed are pooled. A path of no known feed is left out with a warning, and a
+    feed without a path is an error.
+    """
+    found: dict[str, list[DataFrame]] = {}
+    for path in paths:
+        name = path.rstrip("/").rpartition("/")[2]
+        origin = next((word for word in ORIGINS if word in name), None)
+        if origin is None:
+            warnings.warn(f"unknown origin: {path}", stacklevel=2)
+        else:
+            found.setdefault(origin, []).append(load(spark, path, FEEDS[origin]))
+    absent = sorted(set(FEEDS) - set(found))
+    if absent:
+        raise ValueError(f"no file of {', '.join(absent)}")
+    return {origin: reduce(DataFrame.unionByName, parts) for origin, parts in found.items()}
+
+
+def run_files(
+    spark: SparkSession, paths: Sequence[str], base: str | None = None, **treatment
+) -> dict[str, DataFrame]:
+    """``run`` over the feeds in files."""
+    feeds = feeds_of(spark, paths)
+    return run(feeds["oms"], feeds["secretaria"], feeds["hospital"], base, **treatment)
+
+
 def report(outputs: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The five analyses of a run's outputs."""
     internados = f"Total_{HOSPITAL_MEASURE}"

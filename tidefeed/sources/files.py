@@ -94,18 +94,23 @@ def read_delimited(
 ) -> Split:
     """Delimited text with a header line; quoted fields may hold the separator.
 
-    Lines with too few or too many fields, and fields that do not fit their column, set a row aside.
+    Lines with too few or too many fields, and fields that do not fit their column, set a row aside. A
+    schema is matched to the header by name, or by position where the header lacks one of its names.
     """
-    reader = spark.read.options(header=True, sep=separator, quote='"', escape='"')
+    options = {"header": True, "sep": separator, "quote": '"', "escape": '"'}
     if schema is None:
-        options = {"inferSchema": True, "samplingRatio": sampling_ratio}
-        schema = three_types(reader.options(**options).csv(path).schema)
+        inference = {"inferSchema": True, "samplingRatio": sampling_ratio}
+        schema = three_types(spark.read.options(**options, **inference).csv(path).schema)
         if not schema:
             raise ValueError(f"no header in {path}")
+    fields = schema
+    header = spark.read.options(**options).csv(path).columns
+    if set(schema.names) <= set(header):
+        fields = T.StructType([T.StructField(name, T.StringType()) for name in header])
     raw = (
-        spark.read.options(header=True, sep=separator, quote='"', escape='"')
+        spark.read.options(**options)
         .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
-        .schema(_all_text(schema))
+        .schema(_all_text(fields))
         .csv(path)
     )
     return _typed(raw, schema, "arity")
