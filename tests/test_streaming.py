@@ -82,6 +82,26 @@ def test_refused_records_do_not_complete_a_round(spark, tmp_path, drop, follow):
     assert values(reasons) == [("linha:mismatch", 5), ("origem:refused", 7)]
 
 
+def test_records_that_cannot_be_read_are_set_aside_with_their_text(spark, tmp_path, drop, follow):
+    for feed in FEEDS:
+        drop(feed)
+    good = '{"num_obitos":1,"populacao":1,"cep":11,"num_recuperados":1,"num_vacinados":1}'
+    lines = [
+        '{"origem":"oms","linha_oms":' + good.replace(":11", ':"x"') + "}",
+        '{"origem":"oms","linha_oms":' + good.replace('"cep":11,', "") + "}",
+        '{"origem":"oms","linha_oms":',
+        '{"origem":"oms","linha_oms":' + good + "}",
+    ]
+    (tmp_path / "landing" / "part-x.json").write_text("\n".join(lines) + "\n")
+    assert follow()[0][1]["oms"] == len(ROWS["oms"]) + 1
+    refused = spark.read.parquet(f"{tmp_path}/base/staging").where("destino = 'recusado'")
+    assert values(refused.select("motivo", "_corrupt_record")) == [
+        ("json", lines[2]),
+        ("json", lines[0]),
+        ("missing:cep", None),
+    ]
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path, drop):
     for feed in FEEDS:
         drop(feed)
@@ -90,7 +110,7 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path, drop):
     def job(feeds, folder, number):
         seen.append({f: df.count() for f, df in feeds.items()})
 
-    batch = spark.read.schema(rounds_module.TAGGED_UNION).json(f"{tmp_path}/landing")
+    batch = spark.read.schema(rounds_module.DROP).json(f"{tmp_path}/landing")
     rounds_module._take(batch, 0, base, job)
     rounds_module._take(batch, 0, base, job)
     assert len(seen) == 1
@@ -100,7 +120,7 @@ def test_a_round_that_failed_is_run_again(spark, tmp_path, drop):
     for feed in FEEDS:
         drop(feed)
     base, seen = f"{tmp_path}/base", []
-    batch = spark.read.schema(rounds_module.TAGGED_UNION).json(f"{tmp_path}/landing")
+    batch = spark.read.schema(rounds_module.DROP).json(f"{tmp_path}/landing")
 
     def failing(feeds, folder, number):
         raise RuntimeError("lost")

@@ -27,6 +27,7 @@ from tidefeed.operators.routing import (
     by_origin,
     check_union,
     listed_fields,
+    missing_field,
     origin_of,
     split_union,
     union_fault,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidefeed.functions import col, fold_case
 from tidefeed.operators.table import Split, require_columns, split
@@ -66,6 +67,18 @@ def union_fault() -> Column:
     )
 
 
+def missing_field() -> Column:
+    """NULL, or the first number that the record of a row's origin lacks."""
+    origin = fold_case(F.col("origem"))
+    faults = [
+        F.when((origin == feed) & F.col(f"linha_{feed}.{f.name}").isNull(), f"missing:{f.name}")
+        for feed, layout in FEEDS.items()
+        for f in layout
+        if isinstance(f.dataType, T.NumericType)
+    ]
+    return F.coalesce(*faults)
+
+
 def check_union(df: DataFrame) -> Split:
     """Set aside records of a refused origin, and those whose variant is not that of their origin."""
     return split(df.withColumn("origem", fold_case(F.col("origem"))), union_fault())

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidefeed.functions import fold_case
-from tidefeed.operators.routing import union_fault
+from tidefeed.operators.routing import missing_field, union_fault
 from tidefeed.plans import weekly
 from tidefeed.schemas import FEEDS, TAGGED_UNION
 from tidefeed.sinks import write_outputs
@@ -30,6 +30,11 @@ from tidefeed.streaming.accumulate import accumulated
 
 REFUSED = "recusado"
 
+_CORRUPT = "_corrupt_record"
+
+#: What is read of a drop: the tagged record, and its text where it is not one.
+DROP = T.StructType([*TAGGED_UNION, T.StructField(_CORRUPT, T.StringType())])
+
 _DONE = T.StructType([T.StructField("round", T.LongType()), T.StructField("batch", T.LongType())])
 _COUNTS = T.StructType(
     [T.StructField("feed", T.StringType()), T.StructField("rows", T.LongType())]
@@ -77,7 +82,7 @@ def start_rounds(
     and the query ends.
     """
     base = base.rstrip("/")
-    drops = spark.readStream.schema(TAGGED_UNION).format(file_format)
+    drops = spark.readStream.schema(DROP).format(file_format)
     if files_per_batch:
         drops = drops.option("maxFilesPerTrigger", files_per_batch)
     trigger = {"processingTime": every} if every else {"availableNow": True}
@@ -108,9 +113,9 @@ def _take(batch: DataFrame, number: int, base: str, job: RoundJob) -> None:
 
 def _stage(batch: DataFrame, number: int, base: str) -> None:
     """Store a batch by feed in one pass, with the refused records beside it, and count on the way."""
-    checked = batch.withColumn("origem", fold_case(F.col("origem"))).withColumn(
-        "motivo", union_fault()
-    )
+    unread = F.when(F.col(_CORRUPT).isNotNull(), F.lit("json"))
+    fault = F.coalesce(unread, union_fault(), missing_field())
+    checked = batch.withColumn("origem", fold_case(F.col("origem"))).withColumn("motivo", fault)
     destination = F.when(F.col("motivo").isNull(), F.col("origem")).otherwise(F.lit(REFUSED))
     seen = Observation(f"batch-{number}")
     counted = [F.count_if(F.col("destino") == feed).alias(feed) for feed in FEEDS]
