@@ -5,6 +5,8 @@ from conftest import plan_of
 
 from tidefeed import operators as op
 from tidefeed.plans.catalogue import QUERIES
+from tidefeed.sinks import write_csv, write_json_arrays
+from tidefeed.sources import load
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -94,7 +96,19 @@ def test_sampling_stops_early_or_takes_the_top(items):
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
 
 
-PYTHON_QUERIES = {"scan_json_array", "scan_database"}
+def test_loading_checks_rows_without_building_reasons(spark, rows, tmp_path):
+    df = rows("id int, v double, s string", (1, 2.0, "a"))
+    write_csv(df, f"{tmp_path}/a.csv")
+    plan = plan_of(load(spark, f"{tmp_path}/a.csv", df.schema).select("s"))
+    assert "CASE" not in plan and "to_json" not in plan
+    assert "id#" in plan and "v#" in plan  # the check reads all numbers, whatever is selected
+
+
+def test_json_arrays_are_parsed_once(spark, rows, tmp_path):
+    df = rows("id int, s string", (1, "a"))
+    write_json_arrays(df, f"{tmp_path}/a.json")
+    plan = plan_of(load(spark, f"{tmp_path}/a.json", df.schema))
+    assert plan.count("from_json(") == 1
 
 
 @pytest.mark.parametrize("name", ["weekly_outputs", "merge_abc", "stats_by_key", "clean_full"])

@@ -82,8 +82,12 @@ def split(df: DataFrame, reason: Column, good: Column | None = None) -> Split:
     return Split(df.withColumn("motivo", reason), columns, (*columns, "motivo"), good)
 
 
+def is_number(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.NumericType)
+
+
 def _numeric(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+    return [f.name for f in df.schema if is_number(f)]
 
 
 def missing_number(df: DataFrame) -> Column:

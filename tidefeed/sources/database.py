@@ -59,7 +59,8 @@ def read_database(
         lost = col(field.name).isNotNull() & value.isNull()
         faults.append(F.when(lost, F.lit(f"type:{field.name}")))
         typed.append(value.alias(field.name))
-    return record_split(rows, typed, F.coalesce(*faults), as_record(rows.drop(_UNFIT)))
+    record = as_record(rows.drop(_UNFIT))
+    return record_split(rows, typed, F.coalesce(*faults), record, F.col(_UNFIT).isNull())
 
 
 def read_jdbc_table(

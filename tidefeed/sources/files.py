@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidefeed.functions import col
-from tidefeed.operators.table import Split, missing_number
+from tidefeed.operators.table import Split, all_of, is_number, missing_number
 
 # File suffixes and what they hold.
 SEPARATORS = {"csv": ",", "txt": "\t"}
@@ -24,7 +24,9 @@ JSON_SUFFIX = "json"
 JSON_LINES_SUFFIX = "jsonl"
 
 _CORRUPT = "_corrupt_record"
+_READ = "__read"
 _OPENS_ARRAY = r"^[\s\x{FEFF}]*\["
+_EMPTY_ARRAY = _OPENS_ARRAY + r"\s*\]\s*$"
 
 
 def suffix_of(path: str) -> str:
@@ -81,8 +83,12 @@ def load_split(
         parts = read_json(spark, path, schema, suffix == JSON_LINES_SUFFIX, sampling_ratio)
     else:
         raise ValueError(f"unsupported format: {suffix!r}")
-    reason = F.coalesce("motivo", missing_number(parts.accepted))
-    return replace(parts, marked=parts.marked.withColumn("motivo", reason))
+    typed = parts.accepted
+    reason = F.coalesce("motivo", missing_number(typed))
+    # A number that could not be read is missing too, so one condition covers both faults.
+    numbers = [col(f.name).isNotNull() for f in typed.schema if is_number(f)]
+    good = all_of([F.col(_READ), *numbers])
+    return replace(parts, marked=parts.marked.withColumn("motivo", reason), good=good)
 
 
 def read_delimited(
@@ -103,10 +109,10 @@ def read_delimited(
         schema = three_types(spark.read.options(**options, **inference).csv(path).schema)
         if not schema:
             raise ValueError(f"no header in {path}")
-    fields = schema
-    header = spark.read.options(**options).csv(path).columns
-    if set(schema.names) <= set(header):
-        fields = T.StructType([T.StructField(name, T.StringType()) for name in header])
+        fields = schema
+    else:
+        header = spark.read.options(**options).csv(path).schema
+        fields = header if set(schema.names) <= set(header.names) else schema
     raw = (
         spark.read.options(**options)
         .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
@@ -134,7 +140,7 @@ def read_json(
     if schema is None:
         schema = _json_schema(spark, path, lines, sampling_ratio)
     if not schema:
-        nothing = spark.createDataFrame([], "motivo STRING, registro STRING")
+        nothing = spark.createDataFrame([], f"motivo STRING, registro STRING, {_READ} BOOLEAN")
         return Split(nothing, (), ("motivo", "registro"))
     read = _json_lines if lines else _json_arrays
     return _typed(read(spark, path, schema), schema, "json")
@@ -151,11 +157,15 @@ def _json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     The files are parsed as values and not by the multi-line reader, which goes back to the file for
     the text of every single number.
     """
-    objects = F.from_json("value", T.ArrayType(_text_fields(schema)))
-    arrays = _array_files(spark, path).select("value", objects.alias("objects"))
-    filled = F.coalesce(F.size("objects") > 0, F.lit(True))
-    broken = F.when(F.col("objects").isNull(), F.col("value")).alias(_CORRUPT)
-    return arrays.where(filled).select(broken, F.inline_outer("objects"))
+    layout = T.ArrayType(_all_text(schema))
+    nothing = [F.lit(None).cast("string").alias(name) for name in schema.names]
+    broken = F.array(F.struct(*nothing, F.col("value").alias(_CORRUPT)))
+    # A file is to be parsed once, so no condition on the parsed value may be moved below its use: a
+    # broken file becomes one object that holds its text, empty arrays are told by their text, and the
+    # outer form of the generator keeps the optimizer from adding a check that there are objects.
+    objects = F.coalesce(F.from_json("value", layout), broken).alias("objects")
+    filled = _array_files(spark, path).where(~F.col("value").rlike(_EMPTY_ARRAY))
+    return filled.select(objects).select(F.inline_outer("objects"))
 
 
 def _array_files(spark: SparkSession, path: str) -> DataFrame:
@@ -232,17 +242,25 @@ def _typed(raw: DataFrame, schema: T.StructType, malformed: str) -> Split:
             unfit = F.coalesce(text, F.lit("")) != ""
             reasons.append(F.when(unfit & value.isNull(), F.lit(f"type:{field.name}")))
         typed.append(value.alias(field.name))
-    # Spark refuses to read the corrupt-record column alone, so the check also touches a field.
-    reasons.append(F.when(F.length(col(schema[0].name)) < 0, F.lit(malformed)))
+    # Spark refuses to read the corrupt-record column alone, so the checks also touch a field.
+    any_text = F.coalesce(F.length(col(schema[0].name)), F.lit(0)) >= 0
+    reasons.append(F.when(~any_text, F.lit(malformed)))
     record = F.coalesce(F.col(_CORRUPT), as_record(raw.drop(_CORRUPT)))
-    return record_split(raw, typed, F.coalesce(*reasons), record)
+    read = F.col(_CORRUPT).isNull() & any_text
+    return record_split(raw, typed, F.coalesce(*reasons), record, read)
+
 
+def record_split(
+    raw: DataFrame, typed: list[Column], reason: Column, record: Column, read: Column
+) -> Split:
+    """Typed columns, and for the rows at fault the reason and the row as text.
 
-def record_split(raw: DataFrame, typed: list[Column], reason: Column, record: Column) -> Split:
-    """Typed columns, and for the rows at fault the reason and the row as text."""
-    marked = raw.select(*typed, reason.alias("motivo"), record.alias("registro"))
-    *columns, _, _ = marked.columns
-    return Split(marked, tuple(columns), ("motivo", "registro"))
+    ``read`` tells whether the row could be read as such, whatever the values of its numbers.
+    """
+    faults = [reason.alias("motivo"), record.alias("registro"), read.alias(_READ)]
+    marked = raw.select(*typed, *faults)
+    columns = tuple(marked.columns[: len(typed)])
+    return Split(marked, columns, ("motivo", "registro"))
 
 
 def as_record(raw: DataFrame) -> Column:
