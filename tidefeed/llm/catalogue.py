@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefeed.llm import linedup, urlrules, warc
+from tidefeed.llm import decontam, langid, linedup, quality, toxicity, urlrules, warc
+from tidefeed.llm.columns import crc_part
 from tidefeed.llm.sharing import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,74 @@ def query(sql: str | None = None):
     return register
 
 
+@query(
+    r"""
+    with low as (
+        select 'd' as side, doc_id as id, text from documents union all
+        select 'i', item_id, text from benchmark
+    ),
+    split as (
+        select side, id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+        from low
+    ),
+    windows as (
+        select distinct id as item_id, least(len(words), 13) as size,
+               array_to_string(words[i : i + least(len(words), 13) - 1], ' ') as run
+        from (select id, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) as i
+              from split where side = 'i' and len(words) > 0)
+    ),
+    runs as (
+        select id as doc_id, size, i, array_to_string(words[i : i + size - 1], ' ') as run
+        from (select id, words, size, unnest(range(1, len(words) - size + 2)) as i
+              from split, (select distinct size from windows) where side = 'd' and len(words) >= size)
+    ),
+    hits as (select doc_id, item_id, i, r.size from runs r join windows w on r.size = w.size and r.run = w.run),
+    places as (select doc_id, count(distinct p) as n_hit from (
+        select doc_id, unnest(range(i, i + size)) as p from (select distinct doc_id, i, size from hits)) group by 1),
+    items as (
+        select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as listed
+        from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by 1
+    )
+    select id as doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+           sha256(coalesce(listed, '')) as items_sha256,
+           coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words) as contaminated
+    from split left join places on id = places.doc_id left join items on id = items.doc_id
+    where side = 'd'
+    """
+)
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the benchmark items whose windows they hold."""
+    out = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, ["doc_id"])
+
+
+@query()
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of good quality for every document; a fifth of the ids is kept from learning."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.learn(docs, labels.where(crc_part("doc_id", 5) != 0))
+    docs = docs.select("doc_id", "text", (crc_part("doc_id", 5) == 0).alias("held_out"))
+    return quality.score(docs, model, ["doc_id", "held_out"], threshold=0.3)
+
+
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; a quarter of the ids is kept from learning."""
+    docs = table(spark, sf_dir, "documents")
+    held = (crc_part("doc_id", 4) == 2).alias("held_out")
+    model = langid.learn(docs.where(crc_part("doc_id", 4) != 2))
+    return langid.predict(docs.select("doc_id", "text", held), model, ["doc_id", "held_out"])
+
+
 @query(
     """
     with payloads as (

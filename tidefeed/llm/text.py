@@ -31,6 +31,11 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def salt(number: int) -> np.uint64:
+    """A constant of its own for each number, to tell hashes of different kinds apart."""
+    return _U(number * 0xD1342543DE82EF95 % (1 << 64))
+
+
 def _byte_codes(fold: bool) -> np.ndarray:
     codes = mix(np.arange(1, 257, dtype=np.uint64) * _U(_BASE)) | _U(1)
     if fold:
