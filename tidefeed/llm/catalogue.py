@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefeed.llm import decontam, langid, linedup, quality, toxicity, urlrules, warc
+from tidefeed.llm import capfilter, decontam, langid, linedup, quality, toxicity, urlrules, warc
 from tidefeed.llm.columns import crc_part
 from tidefeed.llm.sharing import table
 
@@ -67,6 +67,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query()
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors with their links at cosine 0.98 and the components of these."""
+    return capfilter.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 @query()
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document."""
