@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefeed.llm import capfilter, decontam, langid, linedup, quality, toxicity, urlrules, warc
+from tidefeed.llm import capfilter, decontam, jaccard, langid, linedup, quality, toxicity, urlrules, warc
 from tidefeed.llm.columns import crc_part
 from tidefeed.llm.sharing import table
 
@@ -67,12 +67,67 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-@query()
+@query(
+    """
+    with recursive vecs as (
+        select vec_id, label, cast(embedding as double[]) as v from embeddings
+    ),
+    links as (
+        select a.vec_id as a, b.vec_id as b from vecs a join vecs b on a.label = b.label and a.vec_id <> b.vec_id
+        where list_cosine_similarity(a.v, b.v) >= 0.98
+    ),
+    reach as (
+        select vec_id, vec_id as other from vecs
+        union
+        select r.vec_id, l.b from reach r join links l on r.other = l.a
+    ),
+    roots as (select vec_id, min(other) as component_id from reach group by vec_id),
+    counts as (select a, count(*) as n from links group by a)
+    select r.vec_id, coalesce(n, 0) as n_links, component_id, r.vec_id = component_id as kept
+    from roots r left join counts on r.vec_id = counts.a
+    """
+)
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors with their links at cosine 0.98 and the components of these."""
     return capfilter.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
 
 
+@query(
+    r"""
+    with recursive split as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words
+        from documents
+    ),
+    shingles as (
+        select distinct doc_id, array_to_string(words[i : i + 4], ' ') as shingle
+        from (select doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as i
+              from split where len(words) > 0)
+    ),
+    sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+    shared as (
+        select a.doc_id as a, b.doc_id as b, count(*) as k
+        from shingles a join shingles b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by 1, 2
+    ),
+    links as (
+        select a, b from shared join sizes x on a = x.doc_id join sizes y on b = y.doc_id
+        where 100 * k >= 75 * (x.n + y.n - k)
+    ),
+    reach as (
+        select doc_id, doc_id as other from split
+        union
+        select r.doc_id, l.b from reach r join links l on r.other = l.a
+    )
+    select split.doc_id, coalesce(n, 0) as n_shingles, component_id
+    from split join (select doc_id, min(other) as component_id from reach group by doc_id) c on split.doc_id = c.doc_id
+    left join sizes on split.doc_id = sizes.doc_id
+    """
+)
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the components of near copies by shingles."""
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document."""
