@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefeed.llm import capfilter, decontam, jaccard, langid, linedup, quality, toxicity, urlrules, warc
+from tidefeed.llm import capfilter, decontam, jaccard, langid, linedup, pieces, quality, toxicity, urlrules, warc
 from tidefeed.llm.columns import crc_part
 from tidefeed.llm.sharing import table
 
@@ -67,6 +67,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query()
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of every document, seeded by its id."""
+    return pieces.encode(table(spark, sf_dir, "documents"), F.col("doc_id"), ["doc_id"], k=2)
+
+
 @query(
     """
     with recursive vecs as (

@@ -94,11 +94,11 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offsets
 
 
-def groups(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``GROUP_BYTES`` together; a longer text is a range of its own."""
+def groups(offsets: np.ndarray, size: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``size`` bytes together; a longer text is a range of its own."""
     at, n = 0, len(offsets) - 1
     while at < n:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + GROUP_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
         yield at, min(to, n)
         at = min(to, n)
 
