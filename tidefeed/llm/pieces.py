@@ -326,12 +326,12 @@ def sample_texts(data: np.ndarray, offsets: np.ndarray, seeds: np.ndarray, p: Pi
             out = excluded.setdefault((int(of[i]), at), [int(d.edge[at])])
             edges = np.arange(lat.first[node], lat.first[node + 1])
             share = np.where(np.isin(edges, out), 0.0, lat.share[edges])
-            u = _uniform(np.array([seeds[i] + T.salt(number * 4 + 2)], np.uint64))[0]
+            u = _uniform(seeds[i : i + 1] + T.salt(number * 4 + 2))[0]
             pick = int(edges[min(np.searchsorted(np.cumsum(share), u * share.sum()), np.flatnonzero(share)[-1])])
             out.append(pick)
             left = share.sum() - lat.share[pick]
             mass = d.prefix[at] + np.log(left) if left > 1e-15 and len(out) < len(edges) else -np.inf
-            w = _uniform(np.array([seeds[i] + T.salt(number * 4 + 3)], np.uint64))
+            w = _uniform(seeds[i : i + 1] + T.salt(number * 4 + 3))
             d.rest[at] = gumbel_below(np.array([mass]), best[i : i + 1], w)[0]
             prefix_occ.append(np.append(d.occ[a:at], d.occ[at]))
             prefix_edge.append(np.append(d.edge[a:at], pick))
