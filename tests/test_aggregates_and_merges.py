@@ -85,15 +85,15 @@ def test_alert_edges(rows):
         op.mean_alert(rows("v string"), "v")
 
 
-def test_alert_summary_edges(rows, monkeypatch):
+def test_alert_summary_edges(spark, rows):
     df = rows("cep string, Alertas string", ("2", "Verde"), ("10", "Verde"), ("10", "Verde"), ("3", "?"))
-    assert tuple(op.alert_summary(df, "cep").first()) == ("(nenhum)", "10, 2")
+    assert tuple(op.alert_summary(df, "cep").first()) == ("(nenhum)", "02, 10")
     assert values(op.alert_rows(df, "cep")) == [("Verde", "10"), ("Verde", "2")]
     with pytest.raises(ValueError, match="missing"):
         op.alert_summary(df, "CEP2")
-    monkeypatch.setattr("tidefeed.operators.analyses.MAX_LISTED_CODES", 0)
-    with pytest.raises(ValueError, match="alert_rows"):
-        op.alert_summary(df, "cep")
+    many = spark.range(10000, 260000).selectExpr("cast(id as string) cep", "'Verde' Alertas")
+    assert op.alert_summary(many, "cep").first().verde == ", ".join(str(k) for k in range(10, 100))
+    assert op.alert_rows(many, "cep").count() == 250000
 
 
 def test_stats(rows):

@@ -4,6 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entries
+from tidefeed.plans.catalogue import ORACLES, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -13,10 +14,10 @@ def con():
     return oracle.connect(SMALL)
 
 
-@pytest.mark.parametrize("name", list(entries.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    df = entries.queries()[name](spark, SMALL)
-    assert oracle.compare(df, con, entries.oracle_sql()[name]) > 0
+    df = QUERIES[name](spark, SMALL)
+    assert oracle.compare(df, con, ORACLES[name]) > 0
 
 
 def test_entry(spark):
@@ -24,4 +25,5 @@ def test_entry(spark):
 
 
 def test_every_oracle_has_its_query():
-    assert set(entries.oracle_sql()) == set(entries.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entries.queries())

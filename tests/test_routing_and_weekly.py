@@ -128,7 +128,13 @@ def test_weekly_run(spark, week, tmp_path):
 
 def test_weekly_report(week):
     report = weekly.report(weekly.run(**week))
-    assert tuple(report["alertas"].first()) == ("14, 15", "11, 12, 13")
+    assert [tuple(r) for r in report["alertas"].collect()] == [
+        ("Verde", "11"),
+        ("Verde", "12"),
+        ("Verde", "13"),
+        ("Vermelho", "14"),
+        ("Vermelho", "15"),
+    ]
     assert report["estatisticas"].first().registros == 2
     assert [r.id_hospital for r in report["estatisticas_por_hospital"].collect()] == [1, 2]
     assert -1 <= report["correlacao"].first()[0] <= 1

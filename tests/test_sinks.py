@@ -6,7 +6,6 @@ from conftest import values
 
 from tidefeed.sinks import (
     as_json,
-    json_array,
     write_csv,
     write_json,
     write_json_arrays,
@@ -83,11 +82,3 @@ def test_json_array_files_are_bounded(spark, rows, tmp_path, batch):
     assert values(load(spark, f"{tmp_path}/a.json")) == values(df)
     write_json_arrays(df.limit(0), f"{tmp_path}/none")
     assert not any(f.stat().st_size for f in (tmp_path / "none").glob("part-*"))
-
-
-def test_json_array_of_a_short_table(rows, monkeypatch):
-    df = rows("i int", (1,), (2,))
-    assert json.loads(json_array(df).first()[0]) == [{"i": 1}, {"i": 2}]
-    monkeypatch.setattr("tidefeed.sinks.files.MAX_ARRAY_ROWS", 1)
-    with pytest.raises(ValueError, match="write_json_arrays"):
-        json_array(df)

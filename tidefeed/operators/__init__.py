@@ -17,6 +17,7 @@ from tidefeed.operators.analyses import (
 )
 from tidefeed.operators.clean import (
     clean,
+    clean_observed,
     drop_duplicate_rows,
     drop_sparse_columns,
     drop_sparse_rows,
@@ -27,7 +28,7 @@ from tidefeed.operators.routing import (
     by_origin,
     check_union,
     listed_fields,
-    missing_field,
+    filled_numbers,
     origin_of,
     split_union,
     union_fault,

@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefeed.functions import as_number, as_text, col, join_or, norm_key
+from tidefeed.functions import as_number, as_text, col, island_code, join_or, norm_key
 from tidefeed.operators.aggregate import ABOVE_MEAN, ALERT_COLUMN, NOT_ABOVE
 from tidefeed.operators.table import require_columns
 
-#: The longest list of codes that is shown as one text. Longer ones are for ``alert_rows``.
-MAX_LISTED_CODES = 100_000
-
-
 def alert_rows(df: DataFrame, code: str, alert: str = ALERT_COLUMN) -> DataFrame:
     """The distinct ``(alert, code)`` pairs, one per row, of the two known labels."""
     require_columns(df, code, alert)
@@ -20,23 +16,17 @@ def alert_rows(df: DataFrame, code: str, alert: str = ALERT_COLUMN) -> DataFrame
     return known.select(col(alert), as_text(df, code).alias(code)).distinct()
 
 
-def alert_summary(
-    df: DataFrame, code: str, alert: str = ALERT_COLUMN, code_domain: int | None = None
-) -> DataFrame:
-    """One row ``(vermelho, verde)``: the codes under each label in text order, joined by commas.
+def alert_summary(df: DataFrame, code: str, alert: str = ALERT_COLUMN) -> DataFrame:
+    """One row ``(vermelho, verde)``: the island codes under each label in text order, joined by commas.
 
-    The lists are as long as there are codes. Say in ``code_domain`` how many there can be (a hundred
-    island codes, say); where that is not known the distinct pairs are counted first. Too many are
-    refused: ``alert_rows`` gives the same result as rows, at any size.
+    A code counts under its island, the first two digits, so a list has a hundred entries at most.
+    ``alert_rows`` gives the full codes as rows.
     """
-    pairs = alert_rows(df, code, alert)
-    if code_domain is None:
-        code_domain = pairs.limit(2 * MAX_LISTED_CODES + 1).count()
-    if code_domain > 2 * MAX_LISTED_CODES:
-        raise ValueError("too many codes for one text; use alert_rows")
+    require_columns(df, code, alert)
+    pairs = df.select(island_code(df, code).alias("island"), col(alert).alias("alert"))
 
     def listed(label: str):
-        return join_or(F.collect_set(F.when(col(alert) == label, col(code))))
+        return join_or(F.collect_set(F.when(F.col("alert") == label, F.col("island"))))
 
     return pairs.agg(listed(ABOVE_MEAN).alias("vermelho"), listed(NOT_ABOVE).alias("verde"))
 

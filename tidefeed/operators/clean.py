@@ -39,10 +39,18 @@ def drop_sparse_columns(
     """Drop the columns in which at least ``int(rows * threshold)`` cells are missing (or zero).
 
     Which columns stay depends on the data, so this runs one aggregate over all columns; a single row
-    of counts comes back. Columns in ``keep`` always stay. Tables of fewer than two rows are unchanged.
+    of counts comes back. Columns in ``keep`` always stay. Tables of fewer than two rows are unchanged,
+    as the formula would leave them no column.
     """
-    counts = df.agg(F.count(F.lit(1)).alias("rows"), *_missing_counts(df)).first().asDict()
-    return df.select(*map(col, _kept_columns(df, counts, threshold, keep)))
+    return _without_sparse(df, threshold, keep)[0]
+
+
+def _without_sparse(
+    df: DataFrame, threshold: float, keep: Sequence[str], *metrics: Column
+) -> tuple[DataFrame, dict]:
+    count = F.count(F.lit(1)).alias("rows")
+    counts = df.agg(count, *_missing_counts(df), *metrics).first().asDict()
+    return df.select(*map(col, _kept_columns(df, counts, threshold, keep))), counts
 
 
 def drop_sparse_rows(df: DataFrame, threshold: float = SPARSE_THRESHOLD) -> DataFrame:
@@ -71,11 +79,34 @@ def clean(
     written: one scan and one shuffle, and the readers of the result prune the dropped columns. Without
     it the rows stay where they are and only the count reads them twice.
     """
-    if not dedupe:
-        rows = drop_sparse_rows(df, threshold) if sparse_rows else df
-        return drop_sparse_columns(rows, threshold, keep)
-    rows = drop_duplicate_rows(df)
+    return clean_observed(
+        df, threshold, dedupe=dedupe, sparse_rows=sparse_rows, keep=keep
+    )[0]
+
+
+def clean_observed(
+    df: DataFrame,
+    threshold: float = SPARSE_THRESHOLD,
+    metrics: Sequence[Column] = (),
+    *,
+    dedupe: bool = True,
+    sparse_rows: bool = False,
+    keep: Sequence[str] = (),
+    copies: str | None = None,
+) -> tuple[DataFrame, dict]:
+    """As ``clean``, with the values of ``metrics`` over the rows kept, taken in the same pass.
+
+    With ``copies`` a column of this name says how often each distinct row was there, so that sums over
+    the table as received need no other scan of it.
+    """
+    if copies and dedupe:
+        rows = df.groupBy(*map(col, df.columns)).agg(F.count(F.lit(1)).alias(copies))
+        keep = [*keep, copies]
+    else:
+        rows = drop_duplicate_rows(df) if dedupe else df
     if sparse_rows:
         rows = drop_sparse_rows(rows, threshold)
-    stored, counts = materialize(rows, "clean", *_missing_counts(rows))
-    return stored.select(*map(col, _kept_columns(stored, counts, threshold, keep)))
+    if not dedupe:
+        return _without_sparse(rows, threshold, keep, *metrics)
+    stored, counts = materialize(rows, "clean", *_missing_counts(rows), *metrics)
+    return stored.select(*map(col, _kept_columns(stored, counts, threshold, keep))), counts

@@ -67,16 +67,18 @@ def union_fault() -> Column:
     )
 
 
-def missing_field() -> Column:
-    """NULL, or the first number that the record of a row's origin lacks."""
-    origin = fold_case(F.col("origem"))
-    faults = [
-        F.when((origin == feed) & F.col(f"linha_{feed}.{f.name}").isNull(), f"missing:{f.name}")
-        for feed, layout in FEEDS.items()
-        for f in layout
-        if isinstance(f.dataType, T.NumericType)
-    ]
-    return F.coalesce(*faults)
+def filled_numbers(df: DataFrame) -> DataFrame:
+    """Numbers that a set variant leaves out are 0: the sender's format does not put zeros on the wire."""
+    filled = {}
+    for feed, layout in FEEDS.items():
+        variant = col(f"linha_{feed}")
+        fields = [
+            (F.coalesce(value, F.lit(0).cast(f.dataType)) if isinstance(f.dataType, T.NumericType) else value).alias(f.name)
+            for f in layout
+            for value in [variant[f.name]]
+        ]
+        filled[f"linha_{feed}"] = F.when(variant.isNotNull(), F.struct(*fields))
+    return df.withColumns(filled)
 
 
 def check_union(df: DataFrame) -> Split:

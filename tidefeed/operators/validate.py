@@ -1,8 +1,8 @@
-"""Validation rules: learnt from column names and a small sample, then checked on every row."""
+"""Validation rules: learnt from column names and the values, then checked on every row."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -65,39 +65,65 @@ def learn_rules(
     order_by: Sequence[str] | None = None,
     exempt: Sequence[str] = EXEMPT_NAMES,
 ) -> list[Rule]:
-    """One rule per column, from its name and, where the name does not tell, the first rows.
+    """One rule per column, from its name and, where the name does not tell, from the values.
 
-    Only ``sample`` rows of the undecided columns come to the driver. Give ``order_by`` to make "first"
-    independent of how the table is laid out; else it is the order of the files, and the read stops
-    after the first partition that fills the sample.
+    With ``order_by`` these are the values of the first ``sample`` rows in that order; without, those of
+    all rows. Either way the rules do not depend on how the table is partitioned, and a single row of
+    evidence comes to the driver.
     """
-    asked = [name for name in df.columns if _asks_sample(df, name)]
-    rows = []
-    if asked:
-        source = df.orderBy(*map(col, order_by)) if order_by else df
-        rows = source.select(*map(col, asked)).head(sample)
-    seen = {name: [row[i] for row in rows] for i, name in enumerate(asked)}
-    return [_rule(df, name, seen.get(name, []), exempt) for name in df.columns]
+    source = df.orderBy(*map(col, order_by)).limit(sample) if order_by else df
+    evidence = rule_evidence(df)
+    seen = source.agg(*evidence).first().asDict() if evidence else {}
+    return rules_from(df, seen, exempt)
+
+
+def rule_evidence(df: DataFrame) -> list[Column]:
+    """Aggregates over the columns whose names leave their rule to the values: how many values there are
+    and are missing, whether all are 0 or 1, and the least and greatest width of whole numbers."""
+    out = []
+    for i, name in enumerate(df.columns):
+        if not _asks_sample(df, name):
+            continue
+        cell = col(name)
+        out += [
+            F.count(F.lit(1)).alias(f"e{i}_rows"),
+            F.count_if(cell.isNull()).alias(f"e{i}_missing"),
+            F.count_if(~as_number(df, name).isin(0.0, 1.0)).alias(f"e{i}_other"),
+            F.min(F.length(cell.cast("string"))).alias(f"e{i}_least"),
+            F.max(F.length(cell.cast("string"))).alias(f"e{i}_most"),
+        ]
+    return out
+
+
+def rules_from(
+    df: DataFrame, seen: Mapping, exempt: Sequence[str] = EXEMPT_NAMES
+) -> list[Rule]:
+    """One rule per column, given the values of ``rule_evidence``."""
+
+    def of(i: int) -> dict:
+        keys = ("rows", "missing", "other", "least", "most")
+        return {k: seen.get(f"e{i}_{k}") or 0 for k in keys}
+
+    return [_rule(df, name, of(i), exempt) for i, name in enumerate(df.columns)]
 
 
-def _rule(df: DataFrame, name: str, values: list, exempt: Sequence[str]) -> Rule:
+def _rule(df: DataFrame, name: str, seen: Mapping, exempt: Sequence[str]) -> Rule:
     if name.lower() in exempt:
         return Rule(name, exempt=True)
 
-    telling = len(values) >= MIN_SAMPLE_ROWS and None not in values
+    telling = seen["rows"] >= MIN_SAMPLE_ROWS and not seen["missing"]
     digits = None
     if _named(name, CODE_WORDS):
         digits = _named_code_length(name)
         if digits is None and telling and isinstance(type_of(df, name), T.IntegralType):
-            widths = {len(str(value)) for value in values}
-            if len(widths) == 1 and widths <= {ISLAND_DIGITS, REGION_DIGITS}:
-                digits = widths.pop()
+            if seen["least"] == seen["most"] and seen["least"] in (ISLAND_DIGITS, REGION_DIGITS):
+                digits = seen["least"]
 
     if _named(name, AGE_WORDS):
         return Rule(name, digits=digits, minimum=0, maximum=MAX_AGE)
     if _named(name, COUNT_WORDS):
         return Rule(name, digits=digits, minimum=0)
-    return Rule(name, digits=digits, boolean=telling and all(v in (0, 1) for v in values))
+    return Rule(name, digits=digits, boolean=telling and not seen["other"])
 
 
 def valid_cell(df: DataFrame, rule: Rule) -> Column:
@@ -152,5 +178,5 @@ def validate(
     exempt: Sequence[str] = EXEMPT_NAMES,
     rules: Sequence[Rule] | None = None,
 ) -> Split:
-    """Learn the rules of a table (unless given) and part its rows by them."""
+    """Learn the rules of a table (unless given) and part its rows by them; see ``learn_rules``."""
     return check_rows(df, rules if rules is not None else learn_rules(df, sample, order_by, exempt))

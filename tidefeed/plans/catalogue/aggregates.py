@@ -105,14 +105,16 @@ def _island_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-select coalesce(string_agg(l_partkey, ', ' order by l_partkey)
+select coalesce(string_agg(lpad(cast(l_partkey as varchar), 2, '0'), ', '
+                order by lpad(cast(l_partkey as varchar), 2, '0'))
                 filter (where "Alertas" = 'Vermelho'), '(nenhum)') vermelho,
-       coalesce(string_agg(l_partkey, ', ' order by l_partkey)
+       coalesce(string_agg(lpad(cast(l_partkey as varchar), 2, '0'), ', '
+                order by lpad(cast(l_partkey as varchar), 2, '0'))
                 filter (where "Alertas" = 'Verde'), '(nenhum)') verde
 from ({_ISLAND_ALERTS})
 """, name="alert_summary")
 def island_alert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alert_summary(_island_alerts(spark, sf_dir), "l_partkey", code_domain=100)
+    return alert_summary(_island_alerts(spark, sf_dir), "l_partkey")
 
 
 @query(f"""

@@ -6,18 +6,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidefeed.plans import weekly
 from tidefeed.plans.catalogue import feeds
 from tidefeed.plans.catalogue.registry import query, rounded, table
 from tidefeed.plans.catalogue.routing import tagged
+from tidefeed.schemas import FEEDS
 from tidefeed.storage import new_folder
 from tidefeed.streaming import (
     accumulated,
     group_totals,
     last_round,
     pooled_stats,
-    round_output,
     start_rounds,
     totals_so_far,
 )
@@ -43,7 +44,7 @@ c as (select cast(cep // 1000 as varchar) id, cast(sum(vacinado) as double) t
 """
 
 
-@query(f"""
+_OUTPUTS_SQL = f"""
 {_RUN_SQL}
 select 'hospital' saida, id chave, t v1, cast(null as double) v2, cast(null as double) v3,
        cast(null as varchar) alerta from per_hospital
@@ -60,7 +61,10 @@ select 'merge_BC', b.id, b.t, coalesce(c.t, 0), null, null from b left join c on
 union all
 select 'merge_ABC', a.id, a.t, coalesce(b.t, 0), coalesce(c.t, 0), null
 from a left join b on a.id = b.id left join c on a.id = c.id
-""")
+"""
+
+
+@query(_OUTPUTS_SQL)
 def weekly_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All seven outputs of a run over the three feeds, under common column names."""
     outputs = weekly.run(
@@ -89,30 +93,46 @@ def _common(name: str, output: DataFrame) -> DataFrame:
 @query(f"""
 {_RUN_SQL},
 alerts as (select id, t > (select avg(t) from per_code) red from per_code)
-select (select coalesce(string_agg(id, ', ' order by id), '(nenhum)') from alerts where red)
-         vermelho,
-       (select coalesce(string_agg(id, ', ' order by id), '(nenhum)') from alerts where not red)
-         verde,
-       (select count(*) from per_hospital) registros,
-       (select round(avg(t), 6) from per_hospital) media,
-       (select round(stddev_pop(t), 6) from per_hospital) desvio,
-       (select round(corr(b.t, coalesce(c.t, 0)), 6) from b left join c on b.id = c.id)
-         correlacao,
-       (select round(regr_intercept(a.t, coalesce(c.t, 0)), 6)
-        from a left join c on a.id = c.id) intercepto,
-       (select round(regr_slope(a.t, coalesce(c.t, 0)), 6)
-        from a left join c on a.id = c.id) coeficiente
+select 'alertas' analise, id chave, case when red then 'Vermelho' else 'Verde' end texto,
+       cast(null as double) v1, cast(null as double) v2, cast(null as double) v3 from alerts
+union all
+select 'estatisticas', null, null, cast(count(*) as double), round(avg(t), 6),
+       round(stddev_pop(t), 6) from per_hospital
+union all
+select 'estatisticas_por_hospital', id, null, round(avg(t), 6), round(stddev_pop(t), 6), null
+from per_hospital group by id
+union all
+select 'correlacao', null, null, round(corr(b.t, coalesce(c.t, 0)), 6), null, null
+from b left join c on b.id = c.id
+union all
+select 'regressao', null, null, round(regr_intercept(a.t, coalesce(c.t, 0)), 6),
+       round(regr_slope(a.t, coalesce(c.t, 0)), 6), null
+from a left join c on a.id = c.id
 """)
 def weekly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The one-row analyses of a run, side by side."""
-    outputs = weekly.run(
-        feeds.oms(spark, sf_dir), feeds.secretaria(spark, sf_dir), feeds.hospital(spark, sf_dir)
+    """The five analyses of a run whose outputs were saved and loaded again, under common names."""
+    base = new_folder(spark, "weekly-saved")
+    weekly.run(
+        feeds.oms(spark, sf_dir),
+        feeds.secretaria(spark, sf_dir),
+        feeds.hospital(spark, sf_dir),
+        base,
+    )
+    parts = weekly.report(weekly.load_outputs(spark, base))
+    return reduce(DataFrame.unionByName, [_analysis(name, part) for name, part in parts.items()])
+
+
+def _analysis(name: str, part: DataFrame) -> DataFrame:
+    texts = {"alertas": ("cep", "Alertas"), "estatisticas_por_hospital": ("id_hospital", None)}
+    key, text = texts.get(name, (None, None))
+    values = [rounded(c, 6).cast("double") for c in part.columns if c not in (key, text)]
+    v = values + [F.lit(None).cast("double")] * (3 - len(values))
+    return part.select(
+        F.lit(name).alias("analise"),
+        (F.col(key) if key else F.lit(None)).cast("string").alias("chave"),
+        (F.col(text) if text else F.lit(None)).cast("string").alias("texto"),
+        *[c.alias(f"v{i}") for i, c in enumerate(v, 1)],
     )
-    parts = weekly.report(outputs)
-    rows = parts["alertas"].crossJoin(parts["estatisticas"])
-    rows = rows.crossJoin(parts["correlacao"]).crossJoin(parts["regressao"])
-    measures = ["media", "desvio", "correlacao", "intercepto", "coeficiente"]
-    return rows.select("vermelho", "verde", "registros", *[rounded(m, 6) for m in measures])
 
 
 @query("""
@@ -129,16 +149,14 @@ def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.withColumn("Total_value", rounded("Total_value"))
 
 
-@query(f"""
-{_RUN_SQL}
-select id cep, t "Total_num_obitos",
-       case when t > (select avg(t) from per_code) then 'Vermelho' else 'Verde' end "Alertas"
-from per_code
-""")
+@query(_OUTPUTS_SQL)
 def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two feeds land and nothing runs; the third lands and one round runs over all of them."""
+    """Two feeds land and nothing runs; the third lands and one round runs over all of them.
+
+    Zeros are left out of the records that land, as the senders' format does. All outputs of the round.
+    """
     landing, base = new_folder(spark, "landing"), new_folder(spark, "rounds")
-    drops = tagged(spark, sf_dir)
+    drops = {feed: _without_zeros(drop, feed) for feed, drop in tagged(spark, sf_dir).items()}
     for feed in ("oms", "hospital"):
         drops[feed].write.mode("append").json(landing)
     start_rounds(spark, landing, base).awaitTermination()
@@ -147,8 +165,17 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     drops["secretaria"].write.mode("append").json(landing)
     start_rounds(spark, landing, base).awaitTermination()
     number = last_round(spark, base)
-    layout = spark.createDataFrame([], "cep string, Total_num_obitos double, Alertas string").schema
-    return round_output(spark, base, number, "oms", layout)
+    outputs = weekly.load_outputs(spark, f"{base}/rounds/round={number}")
+    return reduce(DataFrame.unionByName, [_common(name, part) for name, part in outputs.items()])
+
+
+def _without_zeros(drop: DataFrame, feed: str) -> DataFrame:
+    variant = F.col(f"linha_{feed}")
+    fields = [
+        (F.nullif(variant[f.name], F.lit(0)) if isinstance(f.dataType, T.NumericType) else variant[f.name]).alias(f.name)
+        for f in FEEDS[feed]
+    ]
+    return drop.withColumn(f"linha_{feed}", F.struct(*fields))
 
 
 @query("""

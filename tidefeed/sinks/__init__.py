@@ -1,6 +1,5 @@
 from tidefeed.sinks.files import (
     as_json,
-    json_array,
     text_form,
     write_csv,
     write_json,
@@ -10,7 +9,6 @@ from tidefeed.sinks.files import (
 
 __all__ = [
     "as_json",
-    "json_array",
     "text_form",
     "write_csv",
     "write_json",

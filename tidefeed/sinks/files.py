@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from tidefeed.functions import as_text, col
 from tidefeed.storage import run_together
 
-#: The longest table that ``json_array`` turns into one text.
-MAX_ARRAY_ROWS = 10_000
 #: The number of objects in one array file.
 ROWS_PER_ARRAY = 50_000
 
@@ -74,14 +72,6 @@ def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_AR
     lines.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).text(path)
 
 
-def json_array(df: DataFrame) -> DataFrame:
-    """One row ``json``: a short table as one array. Long ones are for ``write_json_arrays``."""
-    if df.limit(MAX_ARRAY_ROWS + 1).count() > MAX_ARRAY_ROWS:
-        raise ValueError(f"more than {MAX_ARRAY_ROWS} rows; use write_json_arrays")
-    listed = F.array_join(F.array_sort(F.collect_list(as_json(df))), ",")
-    return df.agg(F.concat(F.lit("["), listed, F.lit("]")).alias("json"))
-
-
 def write_outputs(outputs: Mapping[str, DataFrame], base: str) -> dict[str, int]:
     """Write each named table to its own folder below ``base``; gives the number of rows of each."""
     jobs = [

@@ -19,6 +19,8 @@ ROWS_PER_PARTITION = 1_000_000
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 #: Row ids may have wide gaps; a file is never cut into more ranges than this.
 MAX_RANGES = 10_000
+#: The names of a table's row id.
+ROW_ID_NAMES = ("rowid", "_rowid_", "oid")
 _FETCHED = 10_000
 _UNFIT = "__unfit"
 _UNFIT_FIELD = T.StructField(_UNFIT, T.StringType())
@@ -34,7 +36,7 @@ def read_database(
     schema: T.StructType | None = None,
     rows_per_partition: int | None = None,
 ):
-    """A table of a SQLite file, or of all such files in a folder; by default the first in its catalog.
+    """A table of a SQLite file, or of all in a folder or of a glob; by default the first in its catalog.
 
     Cells that do not fit the type of their column set a row aside; binary cells count as missing. The
     path must be one that all executors can open, such as a mounted share.
@@ -86,10 +88,15 @@ def read_jdbc_table(
 
 
 class RowRange(InputPartition):
-    """The rows of one file with ids in ``first`` (included) to ``last`` (excluded); all without ids."""
+    """The rows of one file with ids from ``first`` to ``last``, both included; all rows without ids.
 
-    def __init__(self, file: str, first: int | None = None, last: int | None = None):
-        self.file, self.first, self.last = file, first, last
+    ``row_id`` is the name under which the table gives its row ids.
+    """
+
+    def __init__(
+        self, file: str, first: int | None = None, last: int | None = None, row_id: str = "rowid"
+    ):
+        self.file, self.first, self.last, self.row_id = file, first, last, row_id
 
 
 def _open(file: str):
@@ -113,11 +120,16 @@ def mounted(path: str) -> Path:
 
 
 def _files(path: str) -> list[str]:
+    """The database files of a folder, or those that a path or glob names."""
+    import glob
+
     place = mounted(path)
     if place.is_dir():
         found = sorted(str(f) for f in place.iterdir() if f.suffix in (".db", ".sqlite"))
+    elif place.is_file():
+        found = [str(place)]
     else:
-        found = [str(place)] if place.is_file() else []
+        found = sorted(f for f in glob.glob(str(place)) if Path(f).is_file())
     if not found:
         raise FileNotFoundError(f"no database file at {path}")
     return found
@@ -186,19 +198,26 @@ class TableFileReader(DataSourceReader):
         return ranges
 
     def _ranges(self, connection, file: str) -> list[RowRange]:
+        """Ranges that cover all row ids. A table is read whole where it has none, or no free name for
+        them: a column called like one hides it."""
         import sqlite3
 
         table = _quoted(_table(connection, self.table))
+        cursor = connection.execute(f"SELECT * FROM {table} LIMIT 0")
+        taken = {d[0].lower() for d in cursor.description}
+        row_id = next((name for name in ROW_ID_NAMES if name not in taken), None)
+        if row_id is None:
+            return [RowRange(file)]
         try:
-            ends = f"SELECT min(rowid), max(rowid) FROM {table}"
+            ends = f"SELECT min({row_id}), max({row_id}) FROM {table}"
             first, last = connection.execute(ends).fetchone()
-        except sqlite3.OperationalError:  # a table without row ids cannot be cut
+        except sqlite3.OperationalError:
+            return [RowRange(file)]
+        if not isinstance(first, int) or not isinstance(last, int):  # empty, or a view
             return [RowRange(file)]
-        if first is None:
-            return []
         stride = max(self.stride or ROWS_PER_PARTITION, (last - first) // MAX_RANGES + 1)
         starts = range(first, last + 1, stride)
-        return [RowRange(file, start, start + stride) for start in starts]
+        return [RowRange(file, at, min(at + stride - 1, last), row_id) for at in starts]
 
     def read(self, partition: RowRange) -> Iterator:
         import pyarrow as pa
@@ -208,7 +227,7 @@ class TableFileReader(DataSourceReader):
         names = ", ".join(_quoted(f.name) for f in self.columns)
         query, bounds = f"SELECT {names} FROM {table}", ()
         if partition.first is not None:
-            query += " WHERE rowid >= ? AND rowid < ?"
+            query += f" WHERE {partition.row_id} BETWEEN ? AND ?"
             bounds = (partition.first, partition.last)
         cursor = connection.execute(query, bounds)
         kinds = [_accepted_kinds(f.dataType) for f in self.columns]

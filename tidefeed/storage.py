@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
+_run: ContextVar[str | None] = ContextVar("run", default=None)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -32,8 +35,26 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other run uses; within ``run_folder``, below that."""
+    return f"{_run.get() or shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder for all intermediate tables of a run, removed with them at its end."""
+    folder = new_folder(spark, label)
+    token = _run.set(folder)
+    try:
+        yield folder
+    finally:
+        _run.reset(token)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever storage it lies, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialize(
@@ -55,5 +76,7 @@ def materialize(
 def run_together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
     """Run independent driver-side jobs at once, so that one job's tail does not idle the cluster."""
     with ThreadPoolExecutor(max_workers=max(1, min(4, len(jobs)))) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        running = [
+            pool.submit(copy_context().run, inheritable_thread_target(spark)(job)) for job in jobs
+        ]
         return [job.result() for job in running]

@@ -3,12 +3,14 @@
 Everything a round needs is on shared storage below one base folder:
 
     staging/batch_id=K/destino=F/   the records of micro-batch K, by feed, and those set aside
-    batches/batch_id=K/             the number of records per feed in micro-batch K
+    batches/batch_id=K/             the number of records per feed since the last round, up to K
     rounds/round=K/<output>/        what the round that micro-batch K completed has written
     rounds_done/round=K/            the record that this round is complete, written last
 
 A replayed micro-batch has the number it had before. It replaces its own folders and runs its round
-again only if that round was not recorded, so a restart neither loses nor repeats records.
+again only if that round was not recorded, so a restart neither loses nor repeats records. What a
+recorded round has used up is removed, and each batch reads one folder of counts, so neither grows
+with the batches.
 """
 
 from __future__ import annotations
@@ -22,10 +24,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidefeed.functions import fold_case
-from tidefeed.operators.routing import missing_field, union_fault
+from tidefeed.operators.routing import filled_numbers, union_fault
 from tidefeed.plans import weekly
 from tidefeed.schemas import FEEDS, TAGGED_UNION
 from tidefeed.sinks import write_outputs
+from tidefeed.storage import remove
 from tidefeed.streaming.accumulate import accumulated
 
 REFUSED = "recusado"
@@ -100,22 +103,29 @@ def _take(batch: DataFrame, number: int, base: str, job: RoundJob) -> None:
     previous = last_round(spark, base)
     if previous is not None and previous >= number:
         return
-    _stage(batch, number, base)
-    pending = range(0 if previous is None else previous + 1, number + 1)
-    counts = spark.read.schema(_COUNTS).parquet(*[f"{base}/batches/batch_id={k}" for k in pending])
-    complete = counts.groupBy("feed").agg(F.sum("rows").alias("rows")).where(F.col("rows") > 0)
-    if complete.count() < len(FEEDS):
+    first = 0 if previous is None else previous + 1
+    counts = _stage(batch, number, first, base)
+    if not all(counts.values()):
         return
-    job(_feeds(spark, pending, base), f"{base}/rounds/round={number}", number)
+    job(_feeds(spark, first, number, base), f"{base}/rounds/round={number}", number)
     done = spark.createDataFrame([(number, number)], _DONE).select("batch")
     done.write.mode("overwrite").parquet(f"{base}/rounds_done/round={number}")
+    for k in range(first, number + 1):
+        for feed in FEEDS:  # refused records stay
+            remove(spark, f"{base}/staging/batch_id={k}/destino={feed}")
+        remove(spark, f"{base}/batches/batch_id={k}")
 
 
-def _stage(batch: DataFrame, number: int, base: str) -> None:
-    """Store a batch by feed in one pass, with the refused records beside it, and count on the way."""
+def _stage(batch: DataFrame, number: int, first: int, base: str) -> dict[str, int]:
+    """Store a batch by feed in one pass, with the refused records beside it, and count on the way.
+
+    Gives the records per feed since batch ``first``. Numbers that a record leaves out are 0.
+    """
+    spark = batch.sparkSession
     unread = F.when(F.col(_CORRUPT).isNotNull(), F.lit("json"))
-    fault = F.coalesce(unread, union_fault(), missing_field())
+    fault = F.coalesce(unread, union_fault())
     checked = batch.withColumn("origem", fold_case(F.col("origem"))).withColumn("motivo", fault)
+    checked = filled_numbers(checked)
     destination = F.when(F.col("motivo").isNull(), F.col("origem")).otherwise(F.lit(REFUSED))
     seen = Observation(f"batch-{number}")
     counted = [F.count_if(F.col("destino") == feed).alias(feed) for feed in FEEDS]
@@ -123,17 +133,21 @@ def _stage(batch: DataFrame, number: int, base: str) -> None:
     staged.write.mode("overwrite").partitionBy("destino").parquet(
         f"{base}/staging/batch_id={number}"
     )
-    rows = [(feed, seen.get[feed]) for feed in FEEDS]
-    counts = batch.sparkSession.createDataFrame(rows, _COUNTS).coalesce(1)
+    before = {}
+    if number > first:
+        earlier = spark.read.schema(_COUNTS).parquet(f"{base}/batches/batch_id={number - 1}")
+        before = {row.feed: row.rows for row in earlier.collect()}
+    total = {feed: before.get(feed, 0) + seen.get[feed] for feed in FEEDS}
+    counts = spark.createDataFrame(list(total.items()), _COUNTS).coalesce(1)
     counts.write.mode("overwrite").parquet(f"{base}/batches/batch_id={number}")
+    return total
 
 
-def _feeds(spark: SparkSession, batches: range, base: str) -> dict[str, DataFrame]:
+def _feeds(spark: SparkSession, first: int, last: int, base: str) -> dict[str, DataFrame]:
     added = [T.StructField(name, T.StringType()) for name in ("motivo", "destino")]
-    layout = T.StructType([*TAGGED_UNION, *added])
-    staging = f"{base}/staging"
-    paths = [f"{staging}/batch_id={k}" for k in batches]
-    rows = spark.read.schema(layout).option("basePath", staging).parquet(*paths)
+    layout = T.StructType([*TAGGED_UNION, *added, T.StructField("batch_id", T.LongType())])
+    rows = spark.read.schema(layout).parquet(f"{base}/staging")
+    rows = rows.where(F.col("batch_id").between(first, last))
     return {
         feed: rows.where(F.col("destino") == feed).select(f"linha_{feed}.*") for feed in FEEDS
     }
