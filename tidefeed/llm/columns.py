@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from tidefeed.functions import col
 from tidefeed.llm.sharing import stored
 from tidefeed.llm.text import groups, text_buffers
 
@@ -20,24 +21,43 @@ Compute = Callable[[np.ndarray, np.ndarray], Sequence[np.ndarray | list]]
 def with_columns(docs: DataFrame, keep: Sequence[str], added: str, compute: Compute, text: str = "text") -> DataFrame:
     """The columns ``keep`` of ``docs`` and those of the DDL text ``added``, computed from ``text``.
 
-    ``compute`` gets about a megabyte of texts at a time. A kept column with the name of a new one is left
+    ``compute`` gets a bounded group of texts at a time. A kept column with the name of a new one is left
     out. NULL texts count as empty.
     """
+    def run(kept: list[pa.Array], given: list[pa.Array]) -> Iterator[list[pa.Array]]:
+        data, offsets = text_buffers(given[0])
+        for a, b in groups(offsets):
+            made = compute(data, offsets[a : b + 1])
+            yield [c.slice(a, b - a) for c in kept] + [pa.array(x) for x in made]
+
+    return mapped(docs, keep, [col(text)], added, run)
+
+
+#: From the kept columns of a batch and the given ones to batches of kept and new columns.
+Run = Callable[[list[pa.Array], list[pa.Array]], Iterator[list[pa.Array]]]
+
+
+def mapped(docs: DataFrame, keep: Sequence[str], given: Sequence[Column], added: str, run: Run) -> DataFrame:
+    """The columns ``keep`` of ``docs`` but those that ``added`` names, and the latter, by ``run``.
+
+    On the way the kept columns have plain names, so theirs may hold anything.
+    """
     new = _parse_datatype_string(added)
     keep = [c for c in dict.fromkeys(keep) if c not in new.fieldNames()]
-    docs = docs.select(*dict.fromkeys([*keep, text]))
-    schema = StructType([docs.schema[c] for c in keep] + new.fields)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    plain = [f"__kept{i}" for i in range(len(keep))]
+    rows = docs.select(
+        *(col(c).alias(p) for c, p in zip(keep, plain, strict=True)),
+        *(c.alias(f"__given{i}") for i, c in enumerate(given)),
+    )
+    schema = StructType(rows.schema.fields[: len(keep)] + new.fields)
+    n, names = len(keep), schema.fieldNames()
+
+    def batched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_buffers(batch.column(batch.schema.get_field_index(text)))
-            for a, b in groups(offsets):
-                made = compute(data, offsets[a : b + 1])
-                kept = [batch.column(batch.schema.get_field_index(c)).slice(a, b - a) for c in keep]
-                arrays = kept + [x if isinstance(x, pa.Array) else pa.array(x) for x in made]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *new.fieldNames()])
-
-    return docs.mapInArrow(run, schema)
+            for arrays in run(batch.columns[:n], batch.columns[n:]):
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return rows.mapInArrow(batched, schema).toDF(*keep, *new.fieldNames())
 
 
 def crc_part(doc_id: str, parts: int) -> Column:

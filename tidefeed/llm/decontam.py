@@ -21,10 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
 
 from tidefeed.llm import text as T
-from tidefeed.llm.columns import with_columns
+from tidefeed.llm.columns import mapped, with_columns
 from tidefeed.llm.sharing import checked, ids, stored
 
 _NOT_WORD = bytes(b if (b >= 0x80 or chr(b).isalnum()) else 32 for b in range(256))
@@ -110,29 +109,30 @@ def _bit_map(prints: DataFrame, plan: Winnowing) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def extended(doc: list[bytes], item: list[bytes], seeds: list[tuple[int, int]], window: int) -> list[tuple[int, int]]:
-    """Runs of the document's words, from where to where, that the seeds (position in document and item)
-    extend to, if they are as long as a window or the whole item."""
-    need, runs, done = min(window, len(item)), [], {}
-    for at, start in sorted(seeds):
-        if done.get(at - start, -1) >= at:
-            continue
-        if not (at < len(doc) and start < len(item)) or doc[at] != item[start]:
-            continue
-        a, b = at, start
-        while a > 0 and b > 0 and doc[a - 1] == item[b - 1]:
-            a, b = a - 1, b - 1
-        stop = at
-        while stop < len(doc) and start + stop - at < len(item) and doc[stop] == item[start + stop - at]:
-            stop += 1
-        done[at - start] = stop - 1
-        if stop - a >= need:
-            runs.append((a, stop))
-    return runs
+def extended(doc: list[bytes], item: list[bytes], seeds: list[int], window: int) -> list[tuple[int, int]]:
+    """Runs of the document's words, from where to where, in which the item's windows occur.
+
+    A hit is extended to both sides of its position as far as windows reach, and further wherever the last
+    window found goes on.
+    """
+    need = min(window, len(item))
+    if not need:
+        return []
+    known = {tuple(item[i : i + need]) for i in range(len(item) - need + 1)}
+    runs: list[tuple[int, int]] = []
+    tried = -1
+    for seed in sorted(seeds):
+        at, stop = max(0, tried + 1, seed - need + 1), seed
+        while at <= stop and at + need <= len(doc):
+            if tuple(doc[at : at + need]) in known:
+                runs.append((at, at + need))
+                stop = max(stop, at + 1)
+            tried = at
+            at += 1
+    return merged(runs)
 
 
 FOUND = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<array<int>>, items array<bigint>"
-FOUND_NAMES = [x.split()[0] for x in FOUND.split(", ")]
 FOUND_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.list_(pa.int32())), pa.list_(pa.int64())]
 
 
@@ -156,38 +156,34 @@ def decontaminate(
     sized = with_columns(items, [], "n int", lambda d, o: [np.diff(T.words(d, o, T.ALNUM).first).astype(np.int32)], "item_text")
     lengths = sorted(r[0] for r in sized.where(f"n > 0 and n < {plan.window}").distinct().collect())
     item_prints = fingerprints(items, ["item_key"], "item_text", plan, lengths, items=True)
-    item_prints = checked(item_prints.withColumnRenamed("pos", "item_pos"), "item-prints", 32)
+    item_prints = checked(item_prints.select("item_key", "print").distinct(), "item-prints", 24)
     bits = spark.sparkContext.broadcast(_bit_map(item_prints, plan))
     hits = (
         fingerprints(docs, ["doc_id"], "text", plan, lengths, bits=bits)
         .join(item_prints, "print")
         .groupBy("doc_id", "item_key")
-        .agg(F.collect_set(F.struct("pos", "item_pos")).alias("seeds"))
+        .agg(F.collect_set("pos").alias("seeds"))
         .join(items, "item_key")
-        .groupBy(F.col("doc_id").alias("of_doc"))
-        .agg(F.collect_list(F.struct("item_id", "item_text", "seeds")).alias("hits"))
+        .groupBy(F.col("doc_id").alias("__of_doc"))
+        .agg(F.collect_list(F.struct("item_id", "item_text", "seeds")).alias("__hits"))
     )
-    hits = checked(hits, "hits", F.expr("24 + aggregate(hits, 0L, (s, h) -> s + 40 + octet_length(h.item_text) + 24 * size(h.seeds))"))
-    keep = [c for c in keep if c not in FOUND_NAMES]
-    joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("of_doc")), "left")
-    joined = joined.select(*[docs[c] for c in keep], docs["text"].alias("__text"), "hits")
+    hits = checked(hits, "hits", F.expr("24 + aggregate(__hits, 0L, (s, h) -> s + 40 + octet_length(h.item_text) + 8 * size(h.seeds))"))
+    joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("__of_doc")), "left")
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                rows = [_judged(*x, plan.window, share) for x in zip(*(c.to_pylist() for c in part.columns[-2:]), strict=True)]
-                made = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), FOUND_TYPES, strict=True)]
-                yield pa.RecordBatch.from_arrays(part.columns[:-2] + made, names=[*keep, *FOUND_NAMES])
+    def judge(kept: list[pa.Array], given: list[pa.Array]) -> Iterator[list[pa.Array]]:
+        for a in range(0, len(given[0]), 500):
+            pairs = zip(*(c.slice(a, 500).to_pylist() for c in given), strict=True)
+            rows = [_judged(text, found, plan.window, share) for text, found in pairs]
+            made = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), FOUND_TYPES, strict=True)]
+            yield [c.slice(a, 500) for c in kept] + made
 
-    return joined.mapInArrow(judge, StructType([*docs.select(*keep).schema, *_parse_datatype_string(FOUND)]))
+    return mapped(joined, keep, [F.col("text"), F.col("__hits")], FOUND, judge)
 
 
 def _judged(text: str | None, hits: list[dict] | None, window: int, share: int) -> tuple:
     words, spans, of = split_words(text), [], []
     for hit in hits or ():
-        seeds = [(s["pos"], s["item_pos"]) for s in hit["seeds"]]
-        if runs := extended(words, split_words(hit["item_text"]), seeds, window):
+        if runs := extended(words, split_words(hit["item_text"]), hit["seeds"], window):
             spans += runs
             of.append(hit["item_id"])
     spans = merged(spans)

@@ -19,7 +19,8 @@ no pair is missed. Where a rare shingle is still shared by many documents, all a
 them, which joins a group of copies; then only those that lie in different components are compared.
 
 Equal texts are one document to all this. Candidates are verified exactly on whole shingle sets, after a
-bound from counts of shingles by bucket that no similar pair fails.
+bound from counts of shingles by bucket that no similar pair fails. Only links that connect are needed, so
+pairs already connected are not compared.
 """
 
 from __future__ import annotations
@@ -243,31 +244,50 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets are similar."""
+def _side(sets: DataFrame, name: str, *columns: str) -> DataFrame:
+    return sets.select(F.col("doc_id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
 
-    def side(name: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("doc_id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
 
+def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` that sizes and counts by bucket do not rule out."""
     least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     bound = F.aggregate(F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    near = (
-        pairs.join(side("a", "n", "counts"), "a")
-        .join(side("b", "n", "counts"), "b")
+    return (
+        pairs.join(_side(sets, "a", "n", "counts"), "a")
+        .join(_side(sets, "b", "n", "counts"), "b")
         .where(OF * least >= SHARE * most)
         .where(OF * bound >= SHARE * (F.col("n_a") + F.col("n_b") - bound))
         .select("a", "b")
         .distinct()
     )
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` whose sets are similar."""
+    shared = F.size(F.array_intersect("set_a", "set_b"))
     return (
-        near.join(side("a", "set", "n"), "a")
-        .join(side("b", "set", "n"), "b")
+        pairs.join(_side(sets, "a", "set", "n"), "a")
+        .join(_side(sets, "b", "set", "n"), "b")
         .where(OF * shared >= SHARE * (F.col("n_a") + F.col("n_b") - shared))
         .select("a", "b")
     )
 
 
+def _connecting(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Enough similar pairs of ``pairs`` to connect all that they connect.
+
+    First each document is compared with the smallest of its candidates, which joins groups of copies by
+    one comparison each; then the pairs whose ends are not connected yet.
+    """
+    near = stored(_near(pairs, sets), "near")
+    first = stored(_similar(near.groupBy("b").agg(F.min("a").alias("a")), sets), "linked-first")
+    roots = components(first, "a", "b")
+    for end in ("a", "b"):
+        near = near.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    apart = near.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    return first.unionAll(_similar(apart, sets))
+
+
 def _prefixes(order: np.ndarray | None):
     """The first quarter of each set in an order of all shingles: by how many documents share their slot
     (in powers of two), then by hash."""
@@ -348,14 +368,14 @@ def links(docs: DataFrame, hot: int = 8) -> DataFrame:
         singles.join(wanted, "doc_id", "left_semi"), ["doc_id"], "n long, counts array<int>, set array<bigint>", _full_sets
     )
     sets = stored(sets, "sets")
-    linked = stored(_verified(pairs, sets), "linked")
+    linked = stored(_connecting(pairs, sets), "linked")
     roots = components(linked, "a", "b").select(F.col("node").alias("doc_id"), "root")
     rooted = prefixes.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     held = rooted.select(F.explode("tokens").alias("key"), "doc_id", "root", "n")
     mixed = held.groupBy("key").agg(F.count("*").alias("k"), F.min("root").alias("r0"), F.max("root").alias("r1"))
     mixed = mixed.where(f"k > {2 * hot} and r0 < r1").select("key")
     across = held.join(mixed, "key").select("key", "doc_id", "root", "n").repartition("key").mapInArrow(_across, "a long, b long")
-    late = stored(_verified(across.distinct(), sets), "linked-late")
+    late = stored(_connecting(across.distinct(), sets), "linked-late")
     return copies.unionAll(linked).unionAll(late)
 
 

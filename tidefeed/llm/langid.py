@@ -13,6 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidefeed.functions import col
 from tidefeed.llm import text as T
 from tidefeed.llm.columns import sorted_lookup, with_columns
 from tidefeed.llm.sharing import stored
@@ -170,7 +171,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str], evide
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     keep = [c for c in keep if c not in ("text", "lang_pred", "score")]
-    low = docs.select(*keep, F.lower("text").alias("text"), lettered.alias("__lettered"))
+    low = docs.select(*map(col, keep), F.lower("text").alias("text"), lettered.alias("__lettered"))
     out = with_columns(low, [*keep, "__lettered"], "lang_pred string, score double", compute)
     return out.withColumns(
         {

@@ -125,27 +125,27 @@ def dedup_lines(
         keyed_lines(docs, min_chars)
         .join(hot, [*KEY])
         .where(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
-        .groupBy(F.col("doc_id").alias("of_doc"))
-        .agg(F.collect_set(F.struct("h1", "h2")).alias("doomed"))
+        .groupBy(F.col("doc_id").alias("__of_doc"))
+        .agg(F.collect_set(F.struct("h1", "h2")).alias("__doomed"))
     )
-    doomed = checked(doomed, "doomed-lines", F.lit(24) + 32 * F.size("doomed"))
+    doomed = checked(doomed, "doomed-lines", F.lit(24) + 32 * F.size("__doomed"))
     lines = lines_of(F.col("text"))
 
     def stays(line: Column) -> Column:
         key = line_key(line)
         long = F.length(key) >= min_chars
-        return ~(long & F.array_contains(F.col("doomed"), F.struct(*_hashes(key))))
+        return ~(long & F.array_contains(F.col("__doomed"), F.struct(*_hashes(key))))
 
-    joined = docs.join(doomed, F.col("doc_id").eqNullSafe(F.col("of_doc")), "left")
-    kept = F.when(F.col("doomed").isNull(), lines).otherwise(F.filter(lines, stays))
+    joined = docs.join(doomed, F.col("doc_id").eqNullSafe(F.col("__of_doc")), "left")
+    kept = F.when(F.col("__doomed").isNull(), lines).otherwise(F.filter(lines, stays))
     return joined.withColumns(
-        {"n_lines": F.size(lines).cast("long"), "kept_lines": kept}
+        {"n_lines": F.size(lines).cast("long"), "__kept": kept}
     ).withColumns(
         {
-            "n_dropped": F.col("n_lines") - F.size("kept_lines"),
-            "text": F.array_join("kept_lines", "\n"),
+            "n_dropped": F.col("n_lines") - F.size("__kept"),
+            "text": F.array_join("__kept", "\n"),
         }
-    ).drop("of_doc", "doomed", "kept_lines")
+    ).drop("__of_doc", "__doomed", "__kept")
 
 
 def count_fresh(docs: DataFrame, runs: LineRuns, min_chars: int = 40) -> int:

@@ -27,9 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
 
 from tidefeed.llm import text as T
+from tidefeed.llm.columns import mapped
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Texts of about so many bytes walk together.
@@ -411,7 +411,6 @@ SAMPLED = (
     "n_samples int, n_pieces array<int>, log_probs array<double>, inclusion array<double>, "
     "digests array<string>, round_trip boolean"
 )
-_NAMES = [x.split()[0] for x in SAMPLED.split(", ")] + ["pieces"]
 
 
 def encode(
@@ -430,44 +429,48 @@ def encode(
     """
     with open(model, "rb") as file:
         content = docs.sparkSession.sparkContext.broadcast(file.read())
-    keep = [c for c in keep if c not in _NAMES]
     added = SAMPLED + (", pieces array<int>" if with_ids else "")
-    schema = StructType([*docs.select(*keep).schema, *_parse_datatype_string(added)])
-    docs = docs.select(*keep, F.xxhash64(key).alias("__seed"), F.col("text").alias("__text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(kept: list[pa.Array], given: list[pa.Array]) -> Iterator[list[pa.Array]]:
         p = load(content.value, flatten)
-        sizes = np.array([len(s) if s else 0 for s in p.surfaces])
-        sizes[p.byte_id] = 1
-        flat = b"".join(s or b"" for s in p.surfaces) + bytes(range(256))
-        at = np.concatenate([[0], np.cumsum([len(s) if s else 0 for s in p.surfaces])])[:-1]
-        at[p.byte_id] = len(flat) - 256 + np.arange(256)
-        flat = np.frombuffer(flat, np.uint8)
-        for batch in batches:
-            data, offsets = T.text_buffers(batch.column(len(keep) + 1))
-            seeds = batch.column(len(keep)).to_numpy().view(np.uint64)
-            for a, b in T.groups(offsets, WALK_BYTES):
-                found = sample_texts(data, offsets[a : b + 1], seeds[a:b], p, k)
-                rows = []
-                for i, samples in enumerate(found, a):
-                    text = data[offsets[i] : offsets[i + 1]]
-                    same = all(np.array_equal(_bytes_of(s.ids, sizes, at, flat)[1:], text) for s in samples)
-                    rows.append(
-                        (
-                            len(samples),
-                            [len(s.ids) for s in samples],
-                            [s.log_p for s in samples],
-                            [s.inclusion for s in samples],
-                            [hashlib.sha256(s.ids.astype("<i4").tobytes()).hexdigest() for s in samples],
-                            same and bool(samples or not len(text)),
-                            *([samples[0].ids if samples else []] if with_ids else []),
-                        )
+        table = surface_table(p)
+        data, offsets = T.text_buffers(given[1])
+        seeds = given[0].to_numpy().view(np.uint64)
+        for a, b in T.groups(offsets, WALK_BYTES):
+            rows = []
+            for i, samples in enumerate(sample_texts(data, offsets[a : b + 1], seeds[a:b], p, k), a):
+                text = data[offsets[i] : offsets[i + 1]]
+                same = all(np.array_equal(_bytes_of(s.ids, *table)[1:], text) for s in samples)
+                rows.append(
+                    (
+                        len(samples),
+                        [len(s.ids) for s in samples],
+                        [s.log_p for s in samples],
+                        [s.inclusion for s in samples],
+                        [hashlib.sha256(s.ids.astype("<i4").tobytes()).hexdigest() for s in samples],
+                        same and bool(samples or not len(text)),
+                        *([samples[0].ids if samples else []] if with_ids else []),
                     )
-                made = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _TYPES, strict=False)]
-                kept = [c.slice(a, b - a) for c in batch.columns[: len(keep)]]
-                yield pa.RecordBatch.from_arrays(kept + made, names=[*keep, *_NAMES[: len(made)]])
+                )
+            made = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _TYPES, strict=False)]
+            yield [c.slice(a, b - a) for c in kept] + made
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, keep, [F.xxhash64(key), F.col("text")], added, run)
+
+
+@lru_cache(maxsize=4)
+def _surface_table(surfaces: tuple[bytes | None, ...], byte_id: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids = np.frombuffer(byte_id, np.int64)
+    sizes = np.array([len(s) if s else 0 for s in surfaces])
+    at = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    flat = b"".join(s or b"" for s in surfaces) + bytes(range(256))
+    sizes[ids], at[ids] = 1, len(flat) - 256 + np.arange(256)
+    return sizes, at, np.frombuffer(flat, np.uint8)
+
+
+def surface_table(p: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Length and place of each id's bytes, and the bytes."""
+    return _surface_table(tuple(p.surfaces), p.byte_id.astype(np.int64).tobytes())
 
 
 _TYPES = [

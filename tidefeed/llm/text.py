@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are hashed in groups of about so many bytes, which bounds the memory of a task.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
 
