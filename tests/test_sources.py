@@ -148,10 +148,15 @@ def test_json_key_that_starts_as_null_is_text(spark, put):
     assert values(frame) == [(1, None), (2, "3")]
 
 
-def test_json_must_be_an_array(spark, put):
-    with pytest.raises(ValueError, match="list of objects"):
-        load(spark, put("object.json", '{"a": 1}'))
+def test_files_that_are_no_array_are_set_aside(spark, put, tmp_path):
+    object_file = put("object.json", '{"id": 1}')
+    assert values(load_split(spark, object_file).rejected) == [("json", '{"id": 1}')]
     assert load(spark, put("none.json", "[]")).count() == 0
+    put("good.json", '[{"id": 2, "v": "x"}]')
+    put("torn.json", '[{"id": 3, "v": "x"')
+    parts = load_split(spark, f"{tmp_path}/*.json", PAIR)
+    assert values(parts.accepted) == [(2, "x")]
+    assert sorted(r.motivo for r in parts.rejected.collect()) == ["json", "json"]
 
 
 def test_json_lines_and_broken_lines(spark, put):
@@ -257,3 +262,47 @@ def test_json_arrays_of_several_files_one_of_them_broken(spark, put, tmp_path):
         ("type:id", '{"id":"2.5","v":"y"}'),
     ]
     assert parts.accepted.count() == 2 and parts.accepted.select("v").count() == 2
+
+
+def test_each_file_has_its_own_header(spark, tmp_path):
+    from tidefeed.sources import read_delimited
+
+    (tmp_path / "a.csv").write_text("cep,num\n1,11\n2,12\n")
+    (tmp_path / "b.csv").write_text("num,cep\n13,3\n14,4\n")
+    (tmp_path / "c.csv").write_text("other,names\n5,6\n")
+    (tmp_path / "d.csv").write_text("")
+    schema = T.StructType([T.StructField("cep", T.IntegerType()), T.StructField("num", T.IntegerType())])
+    parts = read_delimited(spark, f"{tmp_path}/*.csv", schema=schema)
+    assert values(parts.accepted) == [(1, 11), (2, 12), (3, 13), (4, 14)]
+    assert values(parts.rejected) == [("header", "5,6"), ("header", "other,names")]
+    inferred = read_delimited(spark, f"{tmp_path}/[ab].csv").accepted
+    assert values(inferred) == [(1, 11), (2, 12), (3, 13), (4, 14)]
+
+
+def test_csv_round_trip(spark, rows, tmp_path):
+    from tidefeed.sinks import write_csv
+    from tidefeed.sources import read_delimited
+
+    texts = [" a ", "", None, "x,y", 'say "hi"', "a\nb\r\nc", "\\n", "\\\\s\\", "tab\t"]
+    df = rows("k int, t string", *enumerate(texts))
+    assert write_csv(df, f"{tmp_path}/out", line_safe=True) == len(texts)
+    parts = read_delimited(spark, f"{tmp_path}/out", schema=df.schema, line_safe=True)
+    assert sorted((r.k, r.t) for r in parts.accepted.collect()) == list(enumerate(texts))
+    assert parts.rejected.count() == 0
+
+
+def test_row_ids_hidden_by_a_column(spark, tmp_path):
+    import sqlite3
+
+    db = sqlite3.connect(tmp_path / "t.db")
+    db.execute("create table t (rowid text, v integer)")
+    db.executemany("insert into t (_rowid_, rowid, v) values (?, ?, ?)", [(-5, None, 1), (3, "x", 2), (900, "7", 3), (2**63 - 1, None, 4)])
+    db.execute("create table u (rowid int, oid int, _rowid_ int)")
+    db.executemany("insert into u values (?, ?, ?)", [(None, 1, None), (2, None, 2)])
+    db.commit()
+    db.close()
+    whole = read_database(spark, f"{tmp_path}/t.db").accepted
+    cut = read_database(spark, f"{tmp_path}/t.db", rows_per_partition=2).accepted
+    assert values(whole) == values(cut) and cut.count() == 4
+    assert read_database(spark, f"{tmp_path}/t.db", table="u", rows_per_partition=1).accepted.count() == 2
+    assert load(spark, f"{tmp_path}/*.db").count() == 4

@@ -22,14 +22,28 @@ def text_form(df: DataFrame) -> DataFrame:
     return df.select(*[as_text(df, name).alias(name) for name in df.columns])
 
 
-def write_csv(df: DataFrame, path: str, *, separator: str = ",") -> int:
+def _one_line(value: Column) -> Column:
+    for plain, written in (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r")):
+        value = F.replace(value, F.lit(plain), F.lit(written))
+    return F.when(value == "", F.lit("\\e")).otherwise(value)
+
+
+def write_csv(
+    df: DataFrame, path: str, *, separator: str = ",", line_safe: bool = False
+) -> int:
     """Write a folder of CSV files with headers, replacing what is there; gives the number of rows.
 
-    An empty table is written too, with a warning.
+    An empty table is written too, with a warning. Blanks are kept. With ``line_safe`` line breaks and
+    backslashes are written as ``\\n``, ``\\r`` and ``\\s`` and the empty text as ``\\e``, so that each row is
+    one line and NULL is told from the empty text; ``read_delimited(line_safe=True)`` undoes this.
     """
     seen = Observation(f"rows-{uuid.uuid4().hex}")
-    text = text_form(df).observe(seen, F.count(F.lit(1)).alias("rows"))
-    options = {"header": True, "sep": separator, "quote": '"', "escape": '"'}
+    text = text_form(df)
+    if line_safe:
+        text = text.select(*[_one_line(col(name)).alias(name) for name in text.columns])
+    text = text.observe(seen, F.count(F.lit(1)).alias("rows"))
+    options = {"header": True, "sep": separator, "quote": '"', "escape": '"', "emptyValue": '""'}
+    options |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     text.write.mode("overwrite").options(**options).csv(path)
     rows = seen.get["rows"]
     if rows == 0:

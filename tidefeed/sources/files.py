@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidefeed.functions import col
 from tidefeed.operators.table import Split, all_of, is_number, missing_number
+from tidefeed.storage import run_together
 
 # File suffixes and what they hold.
 SEPARATORS = {"csv": ",", "txt": "\t"}
@@ -97,29 +100,79 @@ def read_delimited(
     separator: str = ",",
     schema: T.StructType | None = None,
     sampling_ratio: float = 1.0,
+    *,
+    line_safe: bool = False,
 ) -> Split:
     """Delimited text with a header line; quoted fields may hold the separator.
 
-    Lines with too few or too many fields, and fields that do not fit their column, set a row aside. A
-    schema is matched to the header by name, or by position where the header lacks one of its names.
+    Lines with too few or too many fields, and fields that do not fit their column, set a row aside. Each
+    file has its own header, and a schema is matched to it by name. Where no file has all of its names, it
+    is matched by position; where some have, the lines of the others are set aside. The first line of
+    each file is read when the table is declared. ``line_safe`` is for files that ``write_csv`` wrote so.
     """
     options = {"header": True, "sep": separator, "quote": '"', "escape": '"'}
+    by_header = _files_by_header(spark, path, options)
     if schema is None:
         inference = {"inferSchema": True, "samplingRatio": sampling_ratio}
-        schema = three_types(spark.read.options(**options, **inference).csv(path).schema)
-        if not schema:
+        if not by_header:
             raise ValueError(f"no header in {path}")
-        fields = schema
-    else:
-        header = spark.read.options(**options).csv(path).schema
-        fields = header if set(schema.names) <= set(header.names) else schema
-    raw = (
-        spark.read.options(**options)
-        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
-        .schema(_all_text(fields))
-        .csv(path)
+        reader = spark.read.options(**options, **inference)
+        names = set(next(iter(by_header)))
+        found = [three_types(reader.csv(f).schema) for h, f in by_header.items() if set(h) == names]
+        schema = reduce(_wider, found)
+    fitting = {h: f for h, f in by_header.items() if set(schema.names) <= set(h)}
+    if not fitting:  # headers that say nothing, or no file with a line
+        fitting, by_header = {tuple(schema.names): path}, {}
+    parts = []
+    for header, files in fitting.items():
+        fields = T.StructType([T.StructField(name, T.StringType()) for name in header])
+        raw = (
+            spark.read.options(**options)
+            .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
+            .schema(_all_text(fields))
+            .csv(path if len(by_header) < 2 else files)
+        )
+        if line_safe:
+            raw = raw.withColumns({name: _with_breaks(col(name)) for name in header})
+        parts.append(_typed(raw, schema, "arity"))
+    foreign = [f for header, files in by_header.items() if header not in fitting for f in files]
+    if foreign:
+        lines = spark.read.text(foreign).where(F.col("value") != "")
+        typed = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        parts.append(record_split(lines, typed, F.lit("header"), F.col("value"), F.lit(False)))
+    marked = reduce(DataFrame.unionByName, [part.marked for part in parts])
+    return replace(parts[0], marked=marked)
+
+
+def _with_breaks(value: Column) -> Column:
+    written_empty = value == "\\e"
+    for written, plain in (("\\n", "\n"), ("\\r", "\r"), ("\\s", "\\")):
+        value = F.replace(value, F.lit(written), F.lit(plain))
+    return F.when(written_empty, F.lit("")).otherwise(value)
+
+
+def _files_by_header(
+    spark: SparkSession, path: str, options: dict
+) -> dict[tuple[str, ...], list[str]]:
+    """The files of a path by the names in their first lines; files without a line are left out."""
+    files = [unquote(f) for f in sorted(spark.read.text(path).inputFiles())]
+    reader = spark.read.options(**options)
+    headers = run_together(spark, *[lambda f=f: reader.csv(f).schema.names for f in files])
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers, strict=True):
+        if header:
+            out.setdefault(tuple(header), []).append(file)
+    return out
+
+
+def _wider(a: T.StructType, b: T.StructType) -> T.StructType:
+    """The types of ``a``, widened to hold those of ``b``, which has the same names."""
+    order = [T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType()]
+    held = {f.name: f.dataType for f in b}
+    rank = {t: i for i, t in enumerate(order)}
+    return T.StructType(
+        [T.StructField(f.name, max(f.dataType, held[f.name], key=lambda t: rank.get(t, 3))) for f in a]
     )
-    return _typed(raw, schema, "arity")
 
 
 def read_json(
@@ -131,17 +184,18 @@ def read_json(
 ) -> Split:
     """Files that each hold one array of objects, or (``lines``) one object per line.
 
+    A file that is no array is set aside as one row. A file is read as one text, so it must be below 2 GB.
+
     The columns are the keys of the first object, in name order. Nested values and booleans stay JSON
     text. One array file is read by one task, so large inputs should be landed as lines or as many
     files, and read with a schema.
     """
-    if not lines:
-        _require_arrays(spark, path)
     if schema is None:
         schema = _json_schema(spark, path, lines, sampling_ratio)
-    if not schema:
-        nothing = spark.createDataFrame([], f"motivo STRING, registro STRING, {_READ} BOOLEAN")
-        return Split(nothing, (), ("motivo", "registro"))
+    if not schema:  # no object in any file: what is there is set aside
+        left = spark.read.text(path) if lines else _array_files(spark, path)
+        left = left.where(F.col("value").rlike(r"\S") & ~F.col("value").rlike(_EMPTY_ARRAY))
+        return record_split(left, [], F.lit("json"), F.col("value"), F.lit(False))
     read = _json_lines if lines else _json_arrays
     return _typed(read(spark, path, schema), schema, "json")
 
@@ -163,7 +217,8 @@ def _json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     # A file is to be parsed once, so no condition on the parsed value may be moved below its use: a
     # broken file becomes one object that holds its text, empty arrays are told by their text, and the
     # outer form of the generator keeps the optimizer from adding a check that there are objects.
-    objects = F.coalesce(F.from_json("value", layout), broken).alias("objects")
+    listed = F.when(F.col("value").rlike(_OPENS_ARRAY), F.from_json("value", layout))
+    objects = F.coalesce(listed, broken).alias("objects")
     filled = _array_files(spark, path).where(~F.col("value").rlike(_EMPTY_ARRAY))
     return filled.select(objects).select(F.inline_outer("objects"))
 
@@ -172,12 +227,6 @@ def _array_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).where(F.col("value").rlike(r"\S"))
 
 
-def _require_arrays(spark: SparkSession, path: str) -> None:
-    """Refuse files that start with anything but an opening bracket."""
-    if not _array_files(spark, path).where(~F.col("value").rlike(_OPENS_ARRAY)).isEmpty():
-        raise ValueError(f"{path} must hold a list of objects")
-
-
 def _json_schema(
     spark: SparkSession, path: str, lines: bool, sampling_ratio: float
 ) -> T.StructType:
@@ -185,7 +234,8 @@ def _json_schema(
     if lines:
         first = spark.read.text(path).where(F.col("value").rlike(r"\S")).select("value")
     else:
-        first = _array_files(spark, path).select(F.get_json_object("value", "$[0]").alias("value"))
+        arrays = _array_files(spark, path).where(F.col("value").rlike(_OPENS_ARRAY))
+        first = arrays.select(F.get_json_object("value", "$[0]").alias("value"))
     start = first.select(F.from_json("value", "map<string, string>")).head()
     keys = (start[0] if start is not None else None) or {}
     options = {"multiLine": not lines, "samplingRatio": sampling_ratio}
