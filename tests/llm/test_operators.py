@@ -529,7 +529,7 @@ def test_runs_are_compacted_by_level(rows):
 
 def test_url_rules(rows):
     bad = [f"http://x{i}.spam.org/buy/{i}?ref=1" for i in range(30)]
-    good = [f"http://y{i}.fine.org/read/{i}?ref=1" for i in range(70)] + [f"http://z.org/buy/{i}" for i in range(5)]
+    good = [f"http://y{i}.fine.org/read/{i}?ref=1" for i in range(70)] + [f"http://z.org/buy/{i}?ref=1" for i in range(20)]
     labelled = rows("url string, bad boolean", *[(u, True) for u in bad], *[(u, False) for u in good], (None, True), ("", None))
     mined = urlrules.mine(labelled, min_support=0.05, min_confidence=0.9)
     assert [r.rule for r in mined.collect()] == [["h:spam"]]
