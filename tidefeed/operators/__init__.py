@@ -40,6 +40,7 @@ from tidefeed.operators.table import (
     age_filter,
     append_rows,
     drop_keys,
+    fitting_rows,
     keep_rows,
     remove_column,
     require_columns,

@@ -124,12 +124,25 @@ def threshold_flag(df: DataFrame, name: str, mean: float | Column, flag: str) ->
     return df.withColumn(flag, F.when(above, F.lit("True")).otherwise(F.lit("False")))
 
 
-def append_rows(df: DataFrame, batch: DataFrame) -> DataFrame:
-    """Add the well-typed rows of a batch with the same columns."""
+def fitting_rows(df: DataFrame, batch: DataFrame) -> Split:
+    """The rows of a batch that fit the columns of a table, in its types, and those that do not."""
     if set(batch.columns) != set(df.columns):
         raise ValueError("the batch must have the columns of the table")
-    matching = batch.select(*[col(f.name).try_cast(f.dataType).alias(f.name) for f in df.schema])
-    return df.unionByName(typed_rows(matching).accepted)
+    faults, typed = [], []
+    for field in df.schema:
+        value = col(field.name).try_cast(field.dataType)
+        faults.append(F.when(col(field.name).isNotNull() & value.isNull(), F.lit(f"type:{field.name}")))
+        if is_number(field):
+            faults.append(F.when(value.isNull(), F.lit(f"missing:{field.name}")))
+        typed.append(value.alias(field.name))
+    record = F.to_json(F.struct(*map(col, df.columns))).alias("registro")
+    marked = batch.select(*typed, F.coalesce(*faults, F.lit(None)).alias("motivo"), record)
+    return Split(marked, tuple(df.columns), ("motivo", "registro"))
+
+
+def append_rows(df: DataFrame, batch: DataFrame) -> DataFrame:
+    """Add the rows of a batch that fit; ``fitting_rows`` gives the others too."""
+    return df.unionByName(fitting_rows(df, batch).accepted)
 
 
 def drop_keys(df: DataFrame, keys: DataFrame, *on: str) -> DataFrame:
@@ -151,9 +164,12 @@ def drop_keys(df: DataFrame, keys: DataFrame, *on: str) -> DataFrame:
 
 def _stored_bytes(df: DataFrame, name: str) -> Column:
     """What a value takes up, with room for the overhead of a hash table."""
-    overhead = F.lit(32)
-    if isinstance(type_of(df, name), T.StringType):
+    overhead, dtype = F.lit(32), type_of(df, name)
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
         return overhead + F.coalesce(F.octet_length(col(name)), F.lit(0))
+    if isinstance(dtype, (T.ArrayType, T.StructType)):
+        text = F.to_json(F.struct(col(name)))  # never shorter than half of what the value takes
+        return overhead + 2 * F.octet_length(text)
     return overhead
 
 

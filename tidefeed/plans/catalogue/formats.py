@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import sqlite3
 import uuid
-from collections.abc import Iterator
+import warnings
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pandas as pd
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefeed.operators import typed_rows
+from tidefeed.operators import require_columns, require_numeric, typed_rows
 from tidefeed.plans.catalogue.registry import query, table
 from tidefeed.sinks import (
     as_json,
@@ -24,7 +25,14 @@ from tidefeed.sinks import (
     write_json_arrays,
     write_outputs,
 )
-from tidefeed.sources import any_of, id_number_pairs, load, load_split, read_database
+from tidefeed.sources import (
+    any_of,
+    id_number_pairs,
+    load,
+    load_split,
+    read_database,
+    read_delimited,
+)
 from tidefeed.sources.database import mounted
 from tidefeed.storage import new_folder
 
@@ -108,16 +116,31 @@ def scan_id_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select * from supplier")
 def scan_database(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tasks land their rows as database files of a bounded size; the scan cuts them by row ids."""
+    return _through_database(spark, table(spark, sf_dir, "supplier"))
+
+
+@query("""
+select case when s_nationkey % 3 = 0 then null else s_suppkey end rowid, s_name, s_nationkey, s_acctbal
+from supplier
+""")
+def scan_database_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column of the table's own hides the usual name of its row ids, and is often NULL."""
+    hidden = F.when(F.col("s_nationkey") % 3 != 0, F.col("s_suppkey")).alias("rowid")
     supplier = table(spark, sf_dir, "supplier")
+    return _through_database(spark, supplier.select(hidden, "s_name", "s_nationkey", "s_acctbal"))
+
+
+def _through_database(spark: SparkSession, supplier: DataFrame) -> DataFrame:
     place = mounted(new_folder(spark, "supplier") + ".db")
     place.mkdir(parents=True)
-    folder = str(place)
+    folder, names = str(place), ", ".join(supplier.columns)
 
     def store(batches: list[pd.DataFrame], number: int) -> pd.DataFrame:
         # Built in memory and moved into place in one step: a retried task replaces its files.
         database = sqlite3.connect(":memory:")
-        database.execute("create table suppliers (s_suppkey, s_name, s_nationkey, s_acctbal)")
-        rows = pd.concat(batches).astype(object).itertuples(index=False, name=None)
+        database.execute(f"create table suppliers ({names})")
+        table = pd.concat(batches).convert_dtypes().astype(object)
+        rows = table.where(table.notna(), None).itertuples(index=False, name=None)
         database.executemany("insert into suppliers values (?, ?, ?, ?)", rows)
         file = f"{folder}/part-{TaskContext.get().partitionId():06d}-{number:06d}.db"
         unfinished = f"{file}.{uuid.uuid4().hex}"
@@ -144,6 +167,94 @@ def scan_database(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.accepted
 
 
+@query("""
+select s_suppkey, s_name, s_acctbal from supplier
+union all select c_custkey, c_name, c_acctbal from customer
+""")
+def scan_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables under the same names in another order, and a third that has other names."""
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    customer = table(spark, sf_dir, "customer")
+    swapped = customer.select(
+        F.col("c_acctbal").alias("s_acctbal"),
+        F.col("c_name").alias("s_name"),
+        F.col("c_custkey").alias("s_suppkey"),
+    )
+    foreign = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    base = new_folder(spark, "headers")
+    write_outputs({"a.csv": supplier, "b.csv": swapped, "c.csv": foreign}, base)
+    return load(spark, f"{any_of(base, ['a.csv', 'b.csv', 'c.csv'])}/*.csv", supplier.schema)
+
+
+@query("""
+select p_partkey, case p_size % 6 when 0 then ' ' || p_name || ' ' when 1 then '' when 2 then null
+       when 3 then p_name || chr(10) || p_brand when 4 then '"' || p_name || '",\\n' || p_brand
+       else p_name || '\\' end p_name
+from part
+""".replace("\\\\", "\\"))
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blanks at both ends, the empty text beside NULL, line breaks, quotes, separators, backslashes."""
+    kind, name, brand = F.col("p_size") % 6, F.col("p_name"), F.col("p_brand")
+    hard = (
+        F.when(kind == 0, F.concat(F.lit(" "), name, F.lit(" ")))
+        .when(kind == 1, "")
+        .when(kind == 3, F.concat(name, F.lit("\n"), brand))
+        .when(kind == 4, F.concat(F.lit('"'), name, F.lit('",\\n'), brand))
+        .when(kind == 5, F.concat(name, F.lit("\\")))
+    )
+    part = table(spark, sf_dir, "part").select("p_partkey", hard.alias("p_name"))
+    path = new_folder(spark, "hard")
+    write_csv(part, path, line_safe=True)
+    return read_delimited(spark, path, schema=part.schema, line_safe=True).accepted
+
+
+@query("""
+select p_partkey, p_name from part
+""")
+def scan_json_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array files beside files that hold something else; the others are set aside."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    base = new_folder(spark, "mixed")
+    write_json_arrays(part, f"{base}/a.json")
+    table(spark, sf_dir, "nation").select(F.to_json(F.struct("n_name")).alias("value")).write.text(
+        f"{base}/b.json"
+    )
+    return load(spark, f"{base}/*.json", part.schema)
+
+
+@query("""
+select 'empty file' caso, 'no header' resultado
+union all select 'header only', '0'
+union all select 'missing column', 'missing column(s): nada'
+union all select 'text column', 'column p_name is not numeric'
+union all select 'empty table', 'warned, 0'
+""")
+def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the guards on files, columns and empty outputs say, as rows."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    base = new_folder(spark, "guards")
+    part.select(F.lit("")).limit(0).write.text(f"{base}/empty.csv")
+    with warnings.catch_warnings(record=True) as said:
+        warnings.simplefilter("always")
+        written = write_csv(part.where("p_partkey < 0"), f"{base}/header.csv")
+    said_empty = any("is empty" in str(w.message) for w in said)
+
+    def outcome(action: Callable[[], object]) -> str:
+        try:
+            return str(action())
+        except ValueError as refused:
+            return str(refused).split(" in ")[0]
+
+    rows = [
+        ("empty file", outcome(lambda: load(spark, f"{base}/empty.csv"))),
+        ("header only", outcome(lambda: load(spark, f"{base}/header.csv", part.schema).count())),
+        ("missing column", outcome(lambda: require_columns(part, "nada"))),
+        ("text column", outcome(lambda: require_numeric(part, "p_name"))),
+        ("empty table", f"{'warned' if said_empty else 'silent'}, {written}"),
+    ]
+    return spark.createDataFrame(rows, "caso string, resultado string")
+
+
 def _uneven_lines(spark: SparkSession, sf_dir: str):
     """Orders as CSV, and beside them lines with a field too few (suppliers) and too many (parts)."""
     base = new_folder(spark, "uneven")

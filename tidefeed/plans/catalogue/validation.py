@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefeed.operators import validate
+from tidefeed.plans import weekly
 from tidefeed.plans.catalogue.registry import query, table
 
 
@@ -83,3 +84,14 @@ def validate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", note.alias("nota"), F.date_format("o_orderdate", "dd-MM-yyyy").alias("data")
     )
     return validate(orders, order_by=["o_orderkey"]).accepted
+
+
+@query("""
+select event_id, case when event_id % 97 = 0 then 7 when event_type = 'click' then 1 else 0 end clicou
+from events
+""")
+def validate_treat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rare values show in all rows, so no rule is learnt that the first rows would suggest."""
+    clicked = F.when(F.col("event_id") % 97 == 0, 7).otherwise((F.col("event_type") == "click").cast("int"))
+    events = table(spark, sf_dir, "events").select("event_id", clicked.alias("clicou"))
+    return weekly.treat(events, ["event_id", "clicou"])
