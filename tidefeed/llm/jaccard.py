@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidefeed.llm import text as T
 from tidefeed.llm.columns import with_columns
-from tidefeed.llm.sharing import checked, components, stored
+from tidefeed.llm.sharing import checked, components, release, stored
 
 SIZE = 5
 #: Similar: SHARE * intersection >= OF * union ... as whole numbers: 100 * intersection >= 75 * union.
@@ -154,12 +154,18 @@ def _signatures(data: np.ndarray, offsets: np.ndarray) -> list:
     return [spare, _split(sigs.view(np.int64), docs, len(n))]
 
 
-def _full_sets(data: np.ndarray, offsets: np.ndarray) -> list:
+def _bucket_counts(data: np.ndarray, offsets: np.ndarray) -> list:
     of, hashes = shingle_sets(data, offsets)
     m = len(offsets) - 1
     bucket = (hashes >> _U(33)) % _U(BUCKETS)
     counts = np.bincount(of * BUCKETS + bucket.astype(np.int64), minlength=m * BUCKETS).reshape(m, BUCKETS)
-    return [np.bincount(of, minlength=m), list(counts.astype(np.int32)), _split(hashes.view(np.int64), of, m)]
+    return [np.bincount(of, minlength=m), list(counts.astype(np.int32))]
+
+
+def _full_sets(data: np.ndarray, offsets: np.ndarray) -> list:
+    of, hashes = shingle_sets(data, offsets)
+    m = len(offsets) - 1
+    return [np.bincount(of, minlength=m), _split(hashes.view(np.int64), of, m)]
 
 
 def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -248,8 +254,16 @@ def _side(sets: DataFrame, name: str, *columns: str) -> DataFrame:
     return sets.select(F.col("doc_id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
 
 
-def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The documents of the pairs, to read no other's text."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    return checked(ends, "ends", 16)
+
+
+def _near(pairs: DataFrame, singles: DataFrame) -> DataFrame:
     """The pairs ``a``, ``b`` that sizes and counts by bucket do not rule out."""
+    texts = singles.join(_ends(pairs), "doc_id", "left_semi")
+    sets = stored(with_columns(texts, ["doc_id"], "n long, counts array<int>", _bucket_counts), "counts")
     least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     bound = F.aggregate(F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     return (
@@ -263,28 +277,35 @@ def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets are similar."""
+    """The pairs ``a``, ``b`` whose sets are similar. Only sets that are met move."""
     shared = F.size(F.array_intersect("set_a", "set_b"))
+    met = {end: checked(pairs.select(F.col(end).alias("doc_id")).distinct(), "met", 16) for end in ("a", "b")}
+    a, b = (sets.join(met[end], "doc_id", "left_semi") for end in ("a", "b"))
     return (
-        pairs.join(_side(sets, "a", "set", "n"), "a")
-        .join(_side(sets, "b", "set", "n"), "b")
+        pairs.join(_side(a, "a", "set", "n"), "a")
+        .join(_side(b, "b", "set", "n"), "b")
         .where(OF * shared >= SHARE * (F.col("n_a") + F.col("n_b") - shared))
         .select("a", "b")
     )
 
 
-def _connecting(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _connecting(pairs: DataFrame, singles: DataFrame) -> DataFrame:
     """Enough similar pairs of ``pairs`` to connect all that they connect.
 
     First each document is compared with the smallest of its candidates, which joins groups of copies by
     one comparison each; then the pairs whose ends are not connected yet.
     """
-    near = stored(_near(pairs, sets), "near")
-    first = stored(_similar(near.groupBy("b").agg(F.min("a").alias("a")), sets), "linked-first")
+    near = stored(_near(pairs, singles), "near")
+    texts = singles.join(_ends(near), "doc_id", "left_semi")
+    sets = stored(with_columns(texts, ["doc_id"], "n long, set array<bigint>", _full_sets), "sets")
+    least = stored(near.groupBy("b").agg(F.min("a").alias("a")), "least")
+    first = stored(_similar(least, sets), "linked-first")
+    release(near.sparkSession)
     roots = components(first, "a", "b")
     for end in ("a", "b"):
         near = near.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
     apart = near.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    apart = stored(apart.join(least, ["a", "b"], "left_anti"), "apart")
     return first.unionAll(_similar(apart, sets))
 
 
@@ -348,6 +369,7 @@ def links(docs: DataFrame, hot: int = 8) -> DataFrame:
     found = stored(
         _entries(filed, "sigs").mapInArrow(_candidates(hot, star=False), "a long, b long, n long"), "segment-pairs"
     )
+    release(docs.sparkSession)
     lost = found.where("b is null").groupBy(F.col("a").alias("doc_id")).agg(F.sum("n").alias("lost"))
     spare = with_columns(singles, ["doc_id"], "spare long, sigs array<bigint>", _spare_only).select("doc_id", "spare")
     # A hot entry of a band with deletions costs two credits at most.
@@ -362,20 +384,15 @@ def links(docs: DataFrame, hot: int = 8) -> DataFrame:
         _entries(prefixes, "tokens").mapInArrow(_candidates(2 * hot, star=True), "a long, b long, n long"), "prefix-pairs"
     )
     pairs = stored(found.unionAll(more).where("b is not null").select("a", "b").distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionAll(short).distinct()
-    wanted = checked(wanted, "wanted", 16)
-    sets = with_columns(
-        singles.join(wanted, "doc_id", "left_semi"), ["doc_id"], "n long, counts array<int>, set array<bigint>", _full_sets
-    )
-    sets = stored(sets, "sets")
-    linked = stored(_connecting(pairs, sets), "linked")
+    linked = stored(_connecting(pairs, singles), "linked")
     roots = components(linked, "a", "b").select(F.col("node").alias("doc_id"), "root")
     rooted = prefixes.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     held = rooted.select(F.explode("tokens").alias("key"), "doc_id", "root", "n")
     mixed = held.groupBy("key").agg(F.count("*").alias("k"), F.min("root").alias("r0"), F.max("root").alias("r1"))
     mixed = mixed.where(f"k > {2 * hot} and r0 < r1").select("key")
     across = held.join(mixed, "key").select("key", "doc_id", "root", "n").repartition("key").mapInArrow(_across, "a long, b long")
-    late = stored(_connecting(across.distinct(), sets), "linked-late")
+    across = stored(across.distinct(), "across")
+    late = stored(_connecting(across, singles), "linked-late")
     return copies.unionAll(linked).unionAll(late)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,12 +34,14 @@ def checked(df: DataFrame, label: str, width: Column | int = 64) -> DataFrame:
     return F.broadcast(out) if (seen["bytes"] or 0) <= BROADCAST_BYTES else out
 
 
-def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """Equality of columns of both sides in which NULL equals NULL."""
-    out = F.lit(True)
-    for name in names:
-        out = out & left[name].eqNullSafe(right[name])
-    return out
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of plans that nobody holds any more.
+
+    Spark removes them when the driver's JVM happens to collect its garbage, which an idle driver does
+    twice an hour. Between large steps that is too late for the executors' disks.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
