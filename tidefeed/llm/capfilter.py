@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefeed.llm.sharing import components, stored
+from tidefeed.llm.sharing import components, shipped, stored
 
 
 class CapCode(NamedTuple):
@@ -214,7 +214,7 @@ def near_duplicates(
     usable = rows.where(F.col("label").isNotNull() & F.col("vector").isNotNull() & ~F.exists("vector", F.isnull))
     classes = usable.groupBy("label", "vector").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("weight"))
     classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "vectors")
-    filters = classes.select("cls", "vector").mapInArrow(_filters(plan), "cls long, filters array<bigint>")
+    filters = shipped(classes.select("cls", "vector")).mapInArrow(_filters(plan), "cls long, filters array<bigint>")
     filters = stored(filters, "filters")
     full = classes.join(filters, "cls")
     passed = full.select("cls", "label", F.explode("filters").alias("filter"))
@@ -229,7 +229,7 @@ def near_duplicates(
     keys = ["label", "filter", "p", "q"]
     met = placed.join(full.drop("least_id"), "cls").select(*keys, "cls", "block", "weight", "vector", "filters")
     met = met.repartition(*keys).sortWithinPartitions(*keys)
-    found = stored(met.mapInArrow(_compare(least), "cls long, n_links long, root long"), "links-found")
+    found = stored(shipped(met).mapInArrow(_compare(least), "cls long, n_links long, root long"), "links-found")
     linked = found.groupBy("cls").agg(F.sum("n_links").alias("n_links"))
     roots = components(found.where("cls != root"), "cls", "root").select(F.col("node").alias("cls"), "root")
     of_class = stored(

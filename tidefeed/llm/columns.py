@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from tidefeed.functions import col
-from tidefeed.llm.sharing import stored
+from tidefeed.llm.sharing import shipped, stored
 from tidefeed.llm.text import groups, text_buffers
 
 #: From the bytes of a group of texts and their offsets to one array per new column.
@@ -57,7 +57,7 @@ def mapped(docs: DataFrame, keep: Sequence[str], given: Sequence[Column], added:
             for arrays in run(batch.columns[:n], batch.columns[n:]):
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return rows.mapInArrow(batched, schema).toDF(*keep, *new.fieldNames())
+    return shipped(rows).mapInArrow(batched, schema).toDF(*keep, *new.fieldNames())
 
 
 def crc_part(doc_id: str, parts: int) -> Column:

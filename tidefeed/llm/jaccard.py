@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidefeed.llm import text as T
 from tidefeed.llm.columns import with_columns
-from tidefeed.llm.sharing import checked, components, release, stored
+from tidefeed.llm.sharing import checked, components, release, shipped, stored
 
 SIZE = 5
 #: Similar: SHARE * intersection >= OF * union ... as whole numbers: 100 * intersection >= 75 * union.
@@ -342,7 +342,7 @@ def _slot_counts(docs: DataFrame) -> np.ndarray:
         slot = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(out[slot])], names=["slot", "n"])
 
-    found = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    found = shipped(docs.select("text")).mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(_SLOTS, np.int64)
     out[found["slot"].to_numpy()] = found["n"].to_numpy()
     return np.ceil(np.log2(out + 1) * 2).astype(np.int16)

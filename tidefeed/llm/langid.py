@@ -78,12 +78,12 @@ def _counts(data: np.ndarray, offsets: np.ndarray) -> list[list]:
 
 def learn(docs: DataFrame, max_rows: int = 8000, min_count: int = 2, max_entries: int = 400_000) -> LanguageModel | None:
     """Fit to at most ``max_rows`` rows of ``docs`` (``doc_id``, ``text``, ``lang``), an equal share for each
-    language, chosen by a hash of the id; None without any. NULL languages and texts are left out.
+    language, chosen by a hash of the id; None without any. NULL languages are left out, NULL texts empty.
 
     Words and n-grams that occur less than ``min_count`` times are left out, and of each kind all but the
     ``max_entries`` most frequent.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = docs.where(F.col("lang").isNotNull())  # texts are read for the chosen rows only
     langs = sorted(r[0] for r in known.select("lang").distinct().limit(1000).collect())
     if not langs:
         return None

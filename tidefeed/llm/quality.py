@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidefeed.llm import text as T
 from tidefeed.llm.columns import labelled_sample, per_text, sorted_lookup, with_columns
-from tidefeed.llm.sharing import stored
+from tidefeed.llm.sharing import shipped, stored
 from tidefeed.llm.toxicity import sigmoid
 
 DIM = 64
@@ -139,7 +139,7 @@ def _word_vectors(sample: DataFrame, known: np.ndarray, window: int = 2) -> np.n
                     np.add.at(out, right, index[left])
         yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()])], names=["part"])
 
-    parts = sample.select("text").coalesce(8).mapInArrow(gather, "part binary").toPandas()["part"]
+    parts = shipped(sample.select("text").coalesce(8)).mapInArrow(gather, "part binary").toPandas()["part"]
     total = sum((np.frombuffer(x, np.float32).reshape(-1, DIM) for x in parts), np.zeros((len(known), DIM), np.float32))
     total = total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-6) + index_vectors(known) / np.sqrt(8)
     return (total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-6)).astype(np.float32)

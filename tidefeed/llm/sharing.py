@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import gc
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,26 @@ from tidefeed.storage import materialize
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
+_shipped: set[str] = set()
+
+
+def shipped(df: DataFrame) -> DataFrame:
+    """``df``, after making sure that its tasks can import this package, once per application.
+
+    Functions that run in tasks call others of the package, which executors need not have installed.
+    """
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent.parent
+        file = Path(tempfile.mkdtemp(prefix=f"{package.name}-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(file, "w") as held:
+            for source in sorted(package.rglob("*.py")):
+                held.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(file))
+        _shipped.add(context.applicationId)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -30,19 +30,33 @@ class SeverityModel(NamedTuple):
     thresholds: np.ndarray
 
 
-def _distinct_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text number of each distinct word of each text, in order of texts."""
+#: Word beginnings of so many characters are features beside whole words, as languages inflect and compound.
+PREFIXES = (3, 4, 5, 6, 7)
+
+
+def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of each distinct word and word beginning of each text, in order of texts."""
     w = T.words(data, offsets, T.ALNUM)
     doc = w.text_of()
-    order = np.lexsort((w.hash, doc))
-    h, d = w.hash[order], doc[order]
+    hashes, of = [w.hash], [doc]
+    heads = np.flatnonzero((w.data & 0xC0) != 0x80)  # the first byte of each character
+    head = np.searchsorted(heads, w.start)
+    bounds = np.concatenate([heads, np.full(max(PREFIXES) + 1, len(w.data))])
+    for size in PREFIXES:
+        end = bounds[head + size]
+        longer = end < w.end
+        hashes.append(T.mix(T.span_hash(w.data, w.start[longer], end[longer]) + T.salt(size)))
+        of.append(doc[longer])
+    hashes, doc = np.concatenate(hashes), np.concatenate(of)
+    order = np.lexsort((hashes, doc))
+    h, d = hashes[order], doc[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
     return h[new], d[new]
 
 
 def _word_lists(data: np.ndarray, offsets: np.ndarray) -> list[list[np.ndarray]]:
-    h, d = _distinct_words(data, offsets)
+    h, d = _features(data, offsets)
     return [np.split(h.view(np.int64), np.searchsorted(d, np.arange(1, len(offsets) - 1)))]
 
 
@@ -149,11 +163,10 @@ def score(docs: DataFrame, model: SeverityModel | None, keep: list[str], thresho
 
     def compute(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         words, weights, cuts = sent.value
-        w = T.words(data, offsets, T.ALNUM)
-        at = sorted_lookup(words, w.hash)
+        hashes, of = _features(data, offsets)
+        at = sorted_lookup(words, hashes)
         known = np.flatnonzero(at >= 0)
-        pairs = np.unique(w.text_of()[known] * max(1, len(words)) + at[known])
-        total = np.bincount(pairs // max(1, len(words)), weights[pairs % max(1, len(words))] if len(pairs) else None, len(offsets) - 1)
+        total = np.bincount(of[known], weights[at[known]], len(offsets) - 1)
         above = sigmoid(total[:, None] - cuts)
         grade = np.concatenate([np.ones((len(total), 1)), above], axis=1) - np.concatenate([above, np.zeros((len(total), 1))], axis=1)
         return [above.sum(axis=1), grade.argmax(axis=1).astype(np.int32), above[:, 0], above[:, 0] >= threshold]

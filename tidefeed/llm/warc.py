@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefeed.llm.sharing import checked
+from tidefeed.llm.sharing import checked, shipped
 from tidefeed.storage import new_folder
 
 #: Bytes of a chunk of the transfer framing.
@@ -153,7 +153,7 @@ def write_archives(
         F.monotonically_increasing_id().alias("number"), "page_id", "url", "payload", "refers_to"
     )
     # The text writer puts out the bytes of a string as they are, and a cast keeps them.
-    numbered.mapInPandas(records, "value binary").select(F.col("value").cast("string").alias("value")).write.option(
+    shipped(numbered).mapInPandas(records, "value binary").select(F.col("value").cast("string").alias("value")).write.option(
         "lineSep", _END
     ).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
@@ -213,7 +213,7 @@ def _records(spark: SparkSession, path: str) -> DataFrame:
                 yield _frame(out)
 
     files = spark.read.format("binaryFile").load(path).where(F.col("length") > 0).select("content")
-    return files.mapInPandas(parse, RECORD)
+    return shipped(files).mapInPandas(parse, RECORD)
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
@@ -277,7 +277,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             frame = pd.DataFrame(out, columns=[x.split()[0] for x in READ.split(",")])
             yield frame.astype({c: "Int64" for c in ("page_id", "refers_to", "payload_bytes")})
 
-    return whole.select(*names).unionAll(joined.select(*names)).mapInPandas(decode, READ)
+    return shipped(whole.select(*names).unionAll(joined.select(*names))).mapInPandas(decode, READ)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0, **writing) -> DataFrame:
