@@ -1,9 +1,9 @@
 """Toxicity: severity grades by cumulative-link ordinal regression on sparse text features.
 
 Grades run from 0 (not toxic) to 3. The labels only say toxic or not, so the grade of a labelled toxic
-document follows from how many different indicative words it holds: words that are in toxic documents
-significantly more often than in others. The features are words that tell the labels apart. One weight
-per word is shared by all thresholds: P(grade >= k) = sigmoid(score - threshold_k), with rising
+document follows from how many different indicative features it holds: those that are in toxic documents
+significantly more often than in others. The features are words and word beginnings that tell the labels
+apart. One weight per feature is shared by all thresholds: P(grade >= k) = sigmoid(score - threshold_k), with rising
 thresholds. The result is the expected grade.
 """
 
@@ -107,13 +107,14 @@ def learn(
     min_docs: int = 5,
     min_z: float = 5.0,
     max_words: int = 20000,
-    steps_of_grade: tuple[int, ...] = (2, 4),
+    steps_of_grade: tuple[int, ...] = (4, 10),
 ) -> SeverityModel | None:
     """Fit to at most ``max_rows`` labelled documents; None if none of them is toxic or none is not.
 
-    Features are the words in ``min_docs`` sampled documents or more whose share among toxic documents
-    differs from that among others by ``min_z`` standard errors, the strongest ``max_words`` of them. A toxic
-    document's grade is 1, and one more for each number of indicative words in ``steps_of_grade`` reached.
+    Features are the words and word beginnings in ``min_docs`` sampled documents or more whose share among
+    toxic documents differs from that among others by ``min_z`` standard errors, the strongest ``max_words``
+    of them. A toxic document's grade is 1, and one more for each number in ``steps_of_grade`` that its
+    different indicative features reach; a word mostly brings several.
     """
     sample = labelled_sample(docs, labels, "toxic", max_rows)
     lists = stored(with_columns(sample, ["label"], "words array<bigint>", _word_lists), "word-lists")
