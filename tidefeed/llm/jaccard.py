@@ -231,23 +231,47 @@ def _candidates(hot: int, star: bool):
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From entries ``key``, ``doc_id``, ``root``, ``n``: pairs of different roots and fitting sizes."""
-    parts = [[c.to_numpy() for c in b.columns] for b in batches]
-    if not parts:
+    """Pairs of different roots that sizes and counts by bucket do not rule out.
+
+    From entries ``key``, ``doc_id``, ``root``, ``n``, ``counts``, ``keys``, sorted by key. Only one group is
+    held at a time. A pair that meets under several keys comes from the smallest of them.
+    """
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1), len(keys)]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and b > a and held[0].column(0)[0].as_py() != keys[a]:
+                yield from _pairs_across(held)
+                held = []
+            if b > a:
+                held.append(batch.slice(a, b - a))
+    if held:
+        yield from _pairs_across(held)
+
+
+def _pairs_across(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    group = pa.Table.from_batches(held)
+    key = group.column(0)[0].as_py()
+    docs, roots, sizes = (group.column(i).to_numpy() for i in (1, 2, 3))
+    if (roots == roots[0]).all():
         return
-    keys, docs, roots, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order, at, size = _groups(keys)
-    docs, roots, sizes = docs[order], roots[order], sizes[order]
-    for start, k in zip(at, size, strict=True):
-        d, r, n = docs[start : start + k], roots[start : start + k], sizes[start : start + k]
-        if len(np.unique(r)) < 2:
-            continue
-        for i in range(k - 1):
-            least, most = np.minimum(n[i], n[i + 1 :]), np.maximum(n[i], n[i + 1 :])
-            j = np.flatnonzero((r[i + 1 :] != r[i]) & (OF * least >= SHARE * most)) + i + 1
-            if len(j):
-                a, b = _distinct(np.minimum(d[i], d[j]), np.maximum(d[i], d[j]))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    counts = group.column(4).combine_chunks().flatten().to_numpy().reshape(-1, BUCKETS).astype(np.int32)
+    lists = group.column(5).combine_chunks()
+    of, flat = np.repeat(np.arange(len(docs)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+    names, at = np.unique(flat[flat < key], return_inverse=True)
+    member = np.zeros((len(docs), len(names)), np.float32)  # the smaller keys of each document
+    member[of[flat < key], at] = 1
+    for i in range(len(docs) - 1):
+        rest = slice(i + 1, None)
+        least, most = np.minimum(sizes[i], sizes[rest]), np.maximum(sizes[i], sizes[rest])
+        j = np.flatnonzero((roots[rest] != roots[i]) & (OF * least >= SHARE * most) & (docs[rest] != docs[i])) + i + 1
+        j = j[member[j] @ member[i] == 0]
+        bound = np.minimum(counts[i], counts[j]).sum(axis=1)
+        j = j[OF * bound >= SHARE * (sizes[i] + sizes[j] - bound)]
+        if len(j):
+            ends = np.minimum(docs[i], docs[j]), np.maximum(docs[i], docs[j])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in ends], names=["a", "b"])
 
 
 def _side(sets: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -289,13 +313,12 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _connecting(pairs: DataFrame, singles: DataFrame) -> DataFrame:
-    """Enough similar pairs of ``pairs`` to connect all that they connect.
+def _connecting(near: DataFrame, singles: DataFrame) -> DataFrame:
+    """Enough similar pairs of the candidates ``near`` to connect all that they connect.
 
     First each document is compared with the smallest of its candidates, which joins groups of copies by
     one comparison each; then the pairs whose ends are not connected yet.
     """
-    near = stored(_near(pairs, singles), "near")
     texts = singles.join(_ends(near), "doc_id", "left_semi")
     sets = stored(with_columns(texts, ["doc_id"], "n long, set array<bigint>", _full_sets), "sets")
     least = stored(near.groupBy("b").agg(F.min("a").alias("a")), "least")
@@ -306,7 +329,9 @@ def _connecting(pairs: DataFrame, singles: DataFrame) -> DataFrame:
         near = near.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
     apart = near.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
     apart = stored(apart.join(least, ["a", "b"], "left_anti"), "apart")
-    return first.unionAll(_similar(apart, sets))
+    linked = stored(first.unionAll(_similar(apart, sets)), "linked")
+    release(near.sparkSession)
+    return linked
 
 
 def _prefixes(order: np.ndarray | None):
@@ -384,15 +409,21 @@ def links(docs: DataFrame, hot: int = 8) -> DataFrame:
         _entries(prefixes, "tokens").mapInArrow(_candidates(2 * hot, star=True), "a long, b long, n long"), "prefix-pairs"
     )
     pairs = stored(found.unionAll(more).where("b is not null").select("a", "b").distinct(), "pairs")
-    linked = stored(_connecting(pairs, singles), "linked")
+    near = stored(_near(pairs, singles), "near")
+    release(docs.sparkSession)
+    linked = _connecting(near, singles)
     roots = components(linked, "a", "b").select(F.col("node").alias("doc_id"), "root")
     rooted = prefixes.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     held = rooted.select(F.explode("tokens").alias("key"), "doc_id", "root", "n")
     mixed = held.groupBy("key").agg(F.count("*").alias("k"), F.min("root").alias("r0"), F.max("root").alias("r1"))
     mixed = mixed.where(f"k > {2 * hot} and r0 < r1").select("key")
-    across = held.join(mixed, "key").select("key", "doc_id", "root", "n").repartition("key").mapInArrow(_across, "a long, b long")
-    across = stored(across.distinct(), "across")
-    late = stored(_connecting(across, singles), "linked-late")
+    met = stored(held.join(mixed, "key"), "mixed")
+    keys = met.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    texts = rest.join(checked(met.select("doc_id").distinct(), "mixed-docs", 16), "doc_id", "left_semi")
+    counts = with_columns(texts, ["doc_id"], "size long, counts array<int>", _bucket_counts).drop("size")
+    met = met.join(keys, "doc_id").join(counts, "doc_id").select("key", "doc_id", "root", "n", "counts", "keys")
+    across = met.repartition("key").sortWithinPartitions("key").mapInArrow(_across, "a long, b long")
+    late = _connecting(stored(across.distinct(), "across"), singles)
     return copies.unionAll(linked).unionAll(late)
 
 
