@@ -33,7 +33,7 @@ from tidefeed.llm.columns import mapped
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Texts of about so many bytes walk together.
-WALK_BYTES = 3 << 20
+WALK_BYTES = 2 << 20
 _U = np.uint64
 
 
