@@ -39,9 +39,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Two sampled segmentations of each document, the ids of the first with it."""
+    """Two sampled segmentations of each document, with the ids of both."""
     keep = [c for c in docs.columns if c != "text"]
-    return pieces.encode(docs, F.col("doc_id"), keep, k=2, with_ids=True)
+    return pieces.encode(docs, F.col("doc_id"), keep, k=2)
 
 
 STAGES = [

@@ -217,6 +217,43 @@ def test_encoding_of_messy_rows(messy, rows, model):
     assert pieces.encode(messy.limit(0), F.col("doc_id"), ["doc_id"]).count() == 0
 
 
+def test_all_samples_come_out_and_decode(spark, messy, rows, model):
+    from pyspark.sql import functions as F
+
+    out = pieces.encode(messy, F.col("doc_id"), ["doc_id", "text"], k=3)
+    back = pieces.decode_samples(out, out.columns)
+    found = back.collect()
+    assert len(found) == messy.count() and max(r.n_samples for r in found) == 3
+    for r in found:
+        assert [len(x) for x in r.ids] == r.n_pieces and len({tuple(x) for x in r.ids}) == r.n_samples
+        assert [hashlib.sha256(np.array(x, "<i4").tobytes()).hexdigest() for x in r.ids] == r.digests
+        assert r.texts == [r.text] * r.n_samples
+    assert values(pieces.encode(messy, F.col("doc_id"), ["doc_id", "text"], k=3, with_texts=True)) == values(back)
+    assert pieces.decode_samples(out.limit(0), ["doc_id"]).count() == 0
+    a, bad = int(model.byte_id[ord("a")]), int(model.byte_id[0xFF])
+    odd = rows(
+        "n int, ids array<array<int>>, texts int",
+        *[(0, None, 1), (1, [], 1), (2, [[], None, [a]], 1), (3, [[a, None], [a, 10**6], [-1], [a, a]], 1), (4, [[a, bad, a]], 1)],
+    )
+    texts = dict(values(pieces.decode_samples(odd, ["n", "texts"])))
+    assert texts == {0: None, 1: [], 2: ["", None, "a"], 3: [None, None, None, "aa"], 4: ["a\ufffda"]}
+
+
+def test_query_and_last_stage_carry_all_samples(spark):
+    import corpus_pipeline
+    from tidefeed.llm.catalogue import QUERIES
+
+    at = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    for out in (QUERIES["op2_sentencepiece"](spark, at), corpus_pipeline.sentencepiece_stage(spark, docs, at)):
+        found = out.collect()
+        assert len(found) == len(text) and all(len(r.ids) == r.n_samples for r in found)
+        assert max(r.n_samples for r in found) == 2
+    for r in QUERIES["op2_sentencepiece"](spark, at).collect():
+        assert r.texts == [text[r.doc_id]] * r.n_samples
+
+
 # 3
 
 

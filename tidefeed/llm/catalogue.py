@@ -69,8 +69,8 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two distinct sampled segmentations of every document, seeded by its id."""
-    return pieces.encode(table(spark, sf_dir, "documents"), F.col("doc_id"), ["doc_id"], k=2)
+    """Two distinct sampled segmentations of every document, seeded by its id, and the text of each."""
+    return pieces.encode(table(spark, sf_dir, "documents"), F.col("doc_id"), ["doc_id"], k=2, with_texts=True)
 
 
 @query(

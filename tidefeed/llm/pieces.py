@@ -25,9 +25,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidefeed.functions import col
 from tidefeed.llm import text as T
 from tidefeed.llm.columns import mapped
 
@@ -409,19 +411,28 @@ def _ids(lat: Lattice, edge: np.ndarray, first: np.ndarray, data: np.ndarray, p:
 
 SAMPLED = (
     "n_samples int, n_pieces array<int>, log_probs array<double>, inclusion array<double>, "
-    "digests array<string>, round_trip boolean"
+    "digests array<string>, round_trip boolean, ids array<array<int>>"
 )
 
 
 def encode(
-    docs: DataFrame, key: Column, keep: list[str], k: int = 2, model: str = MODEL, flatten: float = 1.0, with_ids: bool = False
+    docs: DataFrame,
+    key: Column,
+    keep: list[str],
+    k: int = 2,
+    model: str = MODEL,
+    flatten: float = 1.0,
+    with_ids: bool = False,
+    with_texts: bool = False,
 ) -> DataFrame:
     """The columns ``keep`` of every row with ``k`` distinct segmentations of its whole text.
 
     ``n_samples`` (fewer than ``k`` where there are no more), and by sample, best perturbed score first:
     ``n_pieces``, ``log_probs``, ``inclusion`` (log of the probability of being among the samples, given the
-    best score left out), ``digests`` (SHA-256 of the ids as 4-byte little-endian). ``round_trip``: each
-    sample decodes to the text. With ``with_ids`` also ``pieces``, the ids of the first.
+    best score left out), ``ids`` (the segmentation itself), ``digests`` (SHA-256 of the ids as 4-byte
+    little-endian). ``round_trip``: each sample decodes to the text. With ``with_ids`` also ``pieces``, the
+    ids of the first. ``decode_samples`` turns ``ids`` back into texts; ``with_texts`` adds the same column
+    ``texts`` in this pass, which spares the executors a second set of Python workers.
 
     ``key`` seeds the noise: equal keys and texts have equal samples, wherever the row lies. NULL and
     empty texts have no samples and a true round trip. Kept columns named like a new one are replaced. The
@@ -429,7 +440,7 @@ def encode(
     """
     with open(model, "rb") as file:
         content = docs.sparkSession.sparkContext.broadcast(file.read())
-    added = SAMPLED + (", pieces array<int>" if with_ids else "")
+    added = SAMPLED + (", pieces array<int>" if with_ids else "") + (", texts array<string>" if with_texts else "")
 
     def run(kept: list[pa.Array], given: list[pa.Array]) -> Iterator[list[pa.Array]]:
         p = load(content.value, flatten)
@@ -437,10 +448,11 @@ def encode(
         data, offsets = T.text_buffers(given[1])
         seeds = given[0].to_numpy().view(np.uint64)
         for a, b in T.groups(offsets, WALK_BYTES):
-            rows = []
+            rows, ids = [], []
             for i, samples in enumerate(sample_texts(data, offsets[a : b + 1], seeds[a:b], p, k), a):
                 text = data[offsets[i] : offsets[i + 1]]
                 same = all(np.array_equal(_bytes_of(s.ids, *table)[1:], text) for s in samples)
+                ids.append([s.ids for s in samples])
                 rows.append(
                     (
                         len(samples),
@@ -453,6 +465,9 @@ def encode(
                     )
                 )
             made = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _TYPES, strict=False)]
+            made.insert(_IDS_AT, nested := _nested(ids))
+            if with_texts:
+                made.append(_texts_of(nested, *table))
             yield [c.slice(a, b - a) for c in kept] + made
 
     return mapped(docs, keep, [F.xxhash64(key), F.col("text")], added, run)
@@ -482,6 +497,17 @@ _TYPES = [
     pa.bool_(),
     pa.list_(pa.int32()),
 ]
+#: Where the ids of all samples stand among the new columns.
+_IDS_AT = 6
+
+
+def _nested(ids: list[list[np.ndarray]]) -> pa.Array:
+    """The ids of all samples of all texts as array<array<int>>."""
+    flat = [x for samples in ids for x in samples]
+    samples = np.cumsum([0, *(len(x) for x in ids)]).astype(np.int32)
+    steps = np.cumsum([0, *(len(x) for x in flat)]).astype(np.int32)
+    values = pa.array(np.concatenate([np.zeros(0, np.int32), *flat]).astype(np.int32))
+    return pa.ListArray.from_arrays(pa.array(samples), pa.ListArray.from_arrays(pa.array(steps), values))
 
 
 def _bytes_of(ids: np.ndarray, sizes: np.ndarray, at: np.ndarray, flat: np.ndarray) -> np.ndarray:
@@ -489,3 +515,62 @@ def _bytes_of(ids: np.ndarray, sizes: np.ndarray, at: np.ndarray, flat: np.ndarr
     n = sizes[ids]
     stop = np.cumsum(n)
     return flat[np.arange(stop[-1] if len(stop) else 0) + np.repeat(at[ids] - (stop - n), n)]
+
+
+def decode_samples(df: DataFrame, keep: Sequence[str], ids: str = "ids", texts: str = "texts", model: str = MODEL) -> DataFrame:
+    """The columns ``keep`` of every row and ``texts``, the text of each sequence of ids in ``ids``.
+
+    ``ids`` is an array of arrays of numbers, as ``encode`` gives it. A sequence with a NULL or with a number
+    that is no piece's has the text NULL, and so has a NULL sequence; NULL ``ids`` give NULL. Control pieces
+    stand for nothing, bytes that are no UTF-8 become the replacement character, and one blank at the
+    beginning goes, which ``encode`` has put there. A kept column named ``texts`` is replaced. The model
+    file is read where the job is submitted.
+    """
+    with open(model, "rb") as file:
+        held = df.sparkSession.sparkContext.broadcast(surface_table(load(file.read())))
+
+    def run(kept: list[pa.Array], given: list[pa.Array]) -> Iterator[list[pa.Array]]:
+        outer, inner = _offsets(given[0]), _offsets(given[0].values)
+        for a, b in T.groups(inner[outer], WALK_BYTES // 4):
+            yield [c.slice(a, b - a) for c in kept] + [_texts_of(given[0].slice(a, b - a), *held.value)]
+
+    return mapped(df, keep, [col(ids).cast("array<array<int>>")], f"`{texts}` array<string>", run)
+
+
+def _offsets(lists: pa.Array) -> np.ndarray:
+    """The offsets of an array of lists, which may come without any if it is empty."""
+    return lists.offsets.to_numpy().astype(np.int64) if len(lists) else np.zeros(1, np.int64)
+
+
+def _texts_of(rows: pa.Array, *table: np.ndarray) -> pa.Array:
+    """The text of each sequence of ids in an array<array<int>>, as array<string>."""
+    samples = rows.values
+    outer, inner = _offsets(rows), _offsets(samples)
+    steps = inner[outer[0] : outer[-1] + 1]
+    numbers = samples.values.slice(steps[0], steps[-1] - steps[0])
+    found = _texts(numbers.fill_null(-1).to_numpy(), steps - steps[0], *table)
+    held = samples.slice(outer[0], outer[-1] - outer[0]).is_valid()
+    found = pc.if_else(held, found, pa.scalar(None, pa.string()))
+    return pa.ListArray.from_arrays(pa.array((outer - outer[0]).astype(np.int32)), found, mask=rows.is_null())
+
+
+def _texts(ids: np.ndarray, steps: np.ndarray, sizes: np.ndarray, at: np.ndarray, flat: np.ndarray) -> pa.Array:
+    """The text of each sequence of ids, NULL where a number is no piece's."""
+    alien = (ids < 0) | (ids >= len(sizes))
+    ids = np.where(alien, 0, ids)
+    data = _bytes_of(ids, sizes, at, flat)
+    bounds = np.concatenate([[0], np.cumsum(sizes[ids])])[steps]
+    led = np.flatnonzero(bounds[1:] > bounds[:-1])
+    led = led[data[bounds[led]] == 32]
+    stays = np.ones(len(data), bool)
+    stays[bounds[led]] = False
+    size = np.diff(bounds)
+    size[led] -= 1
+    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    raw = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(data[stays])])
+    try:
+        found = raw.cast(pa.string())
+    except pa.ArrowInvalid:
+        found = pa.array([x.as_py().decode("utf-8", "replace") for x in raw], pa.string())
+    wrong = np.diff(np.concatenate([[0], np.cumsum(alien)])[steps]) > 0
+    return pc.if_else(pa.array(wrong), pa.scalar(None, pa.string()), found)
