@@ -357,6 +357,52 @@ def test_jaccard_of_large_groups_and_shared_passages(rows):
     assert len(check_jaccard(rows, docs)) > 4000
 
 
+def test_jaccard_deals_a_large_group_in_blocks(rows):
+    """No task key holds more than two blocks of a hot group, and each two of its documents meet once."""
+    met = rows("key long, k long, doc_id long", *[(5, 300, i) for i in range(300)], *[(6, 9, i) for i in range(9)])
+    tasks = defaultdict(list)
+    for r in jaccard._dealt(met, 20).collect():
+        tasks[r.key, r.x, r.y].append((r.own, r.doc_id))
+    assert len([t for t in tasks if t[0] == 5]) > 100 and len([t for t in tasks if t[0] == 6]) == 1
+    assert max(map(len, tasks.values())) <= 80
+    seen = Counter()
+    for (key, x, y), members in tasks.items():
+        for (o, a), (p, b) in itertools.combinations(members, 2):
+            if x == y or o != p:
+                seen[key, min(a, b), max(a, b)] += 1
+    assert set(seen.values()) == {1} and len(seen) == 300 * 299 // 2 + 9 * 8 // 2
+
+
+def test_jaccard_in_blocks_against_brute_force(rows, monkeypatch):
+    """Documents of a template with own words, mostly below the threshold towards each other."""
+    monkeypatch.setattr(jaccard, "BLOCK", 10)
+    rng = random.Random(21)
+    word = [f"v{i}" for i in range(5000)]
+    template, docs = rng.choices(word, k=48), []
+    for i in range(110):
+        docs.append((i, " ".join(template + rng.choices(word, k=rng.randrange(9, 15)))))
+    for k in range(0, 110, 5):
+        docs.append((len(docs), docs[k][1] + " " + " ".join(rng.choices(word, k=rng.randrange(3, 15)))))
+    assert len(check_jaccard(rows, docs)) > 20
+
+
+def test_jaccard_candidates_hold_no_hot_group():
+    """A group over many batches is told entry by entry; pairs and losses are those of whole partitions."""
+    keys = np.repeat([1, 2, 3, 4, 5], [2, 500, 3, 1, 40])
+    docs = np.concatenate([np.arange(10, 10 + n) for n in (2, 500, 3, 1, 40)])
+    batches = [pa.RecordBatch.from_arrays([pa.array(keys[a : a + 7]), pa.array(docs[a : a + 7])], names=["key", "doc_id"]) for a in range(0, len(keys), 7)]
+    for star in (False, True):
+        pairs, lost = set(), Counter()
+        for out in jaccard._candidates(8, star)(iter(batches)):
+            for r in out.to_pylist():
+                if r["b"] is None:
+                    lost[r["a"]] += r["n"]
+                else:
+                    pairs.add((r["a"], r["b"]))
+        want = {(10, 11), (10, 12), (11, 12)} | ({(10, i) for i in range(11, 510)} if star else set())
+        assert pairs == want and lost == Counter([*range(10, 510), *range(10, 50)])
+
+
 def test_jaccard_of_messy_rows(messy):
     out = jaccard.similar_documents(messy)
     found = defaultdict(set)

@@ -16,7 +16,8 @@ more segments than H, so most documents can spare a few.
 Documents left short of credit are joined among themselves on the rarest quarter of their shingles: two
 similar sets share one of these (prefix filter). A pair that the segments miss has two such documents, so
 no pair is missed. Where a rare shingle is still shared by many documents, all are compared with one of
-them, which joins a group of copies; then only those that lie in different components are compared.
+them, which joins a group of copies; then only those that lie in different components are compared, a large
+group in blocks, each pair of blocks by a task of its own.
 
 Equal texts are one document to all this. Candidates are verified exactly on whole shingle sets, after a
 bound from counts of shingles by bucket that no similar pair fails. Only links that connect are needed, so
@@ -197,76 +198,147 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], b[new]
 
 
+#: So many pairs and hot entries are gathered before they are put out.
+HELD = 1 << 20
+
+
 def _candidates(hot: int, star: bool):
-    """From a partition's entries ``key``, ``doc_id``: pairs ``a``, ``b``; for a hot entry ``a`` with NULL
-    ``b``, ``n`` of them. With ``star``, members of a hot group are paired with its smallest."""
+    """From entries ``key``, ``doc_id`` sorted by both: pairs ``a``, ``b``; for a hot entry ``a`` with NULL
+    ``b``, ``n`` of them. With ``star``, members of a hot group are paired with its smallest.
+
+    A group is held only up to the size at which it is hot.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-        keys = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
-        docs = np.concatenate([p[1] for p in parts]) if parts else keys
-        del parts
-        order, at, size = _groups(keys)
-        docs = docs[order]
-        a, b = _small_pairs(docs, at, size, hot)
-        big = size > hot
-        member = np.repeat(big, size)
-        held = docs[member]
-        if star and len(held):
-            starts = np.concatenate([[0], np.cumsum(size[big])[:-1]])
-            least = np.repeat(np.minimum.reduceat(held, starts), size[big])
-            a, b = np.concatenate([a, least]), np.concatenate([b, held])
-        a, b = _distinct(a, b)
-        lost, n = np.unique(held, return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([a, lost])),
-                pa.array(np.concatenate([b, np.zeros(len(lost), np.int64)]), mask=np.arange(len(a) + len(lost)) >= len(a)),
-                pa.array(np.concatenate([np.zeros(len(a), np.int64), n])),
-            ],
-            names=["a", "b", "n"],
-        )
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        lost: list[np.ndarray] = []
+        waiting = 0
+        keys = docs = np.zeros(0, np.int64)  # what has come of the last group, while it is small
+        open_key, least = None, None  # of a hot group that may go on
+
+        def put(members: np.ndarray, first: np.ndarray) -> None:
+            lost.append(members)
+            if star:
+                pairs.append((first, members))
+
+        def settle(keys: np.ndarray, docs: np.ndarray) -> None:
+            _, at, size = _groups(keys)
+            pairs.append(_distinct(*_small_pairs(docs, at, size, hot)))
+            big = size > hot
+            put(docs[np.repeat(big, size)], np.repeat(docs[at[big]], size[big]))
+
+        for batch in batches:
+            more_keys, more_docs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if open_key is not None:
+                n = int(np.searchsorted(more_keys, open_key, "right"))
+                put(more_docs[:n], np.full(n, least))
+                waiting += n
+                more_keys, more_docs = more_keys[n:], more_docs[n:]
+            if len(more_keys):
+                keys, docs = np.concatenate([keys, more_keys]), np.concatenate([docs, more_docs])
+                cut = int(np.searchsorted(keys, keys[-1], "left"))
+                settle(keys[:cut], docs[:cut])
+                waiting += len(pairs[-1][0]) + cut
+                keys, docs, open_key = keys[cut:], docs[cut:], None
+                if len(keys) > hot:
+                    open_key, least = keys[0], docs[0]
+                    put(docs, np.full(len(docs), least))
+                    waiting += len(docs)
+                    keys = docs = np.zeros(0, np.int64)
+            if waiting > HELD:
+                yield _put_out(pairs, lost)
+                pairs, lost, waiting = [], [], 0
+        settle(keys, docs)
+        yield _put_out(pairs, lost)
 
     return run
 
 
+def _put_out(pairs: list[tuple[np.ndarray, np.ndarray]], lost: list[np.ndarray]) -> pa.RecordBatch:
+    a, b = _distinct(*(np.concatenate(x).astype(np.int64) for x in zip(*pairs)))
+    members, n = np.unique(np.concatenate(lost), return_counts=True)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.concatenate([a, members])),
+            pa.array(np.concatenate([b, np.zeros(len(members), np.int64)]), mask=np.arange(len(a) + len(members)) >= len(a)),
+            pa.array(np.concatenate([np.zeros(len(a), np.int64), n])),
+        ],
+        names=["a", "b", "n"],
+    )
+
+
+#: Groups of more documents are compared in blocks of about so many.
+BLOCK = 1024
+
+
+def _dealt(met: DataFrame, block: int) -> DataFrame:
+    """The rows of each ``key``, ``k`` of them, dealt over pairs of blocks ``x`` <= ``y``; ``own`` is a row's
+    block. Each row comes once for each block, so two documents meet in one pair of blocks across, or in
+    one where both are that block's own."""
+    blocks = F.ceil(F.col("k") / F.lit(block)).cast("int")
+    cut = met.withColumn("own", F.pmod(F.xxhash64("doc_id", F.lit(17)), blocks.cast("long")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return cut.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("k", "other")
+
+
+_AT = ("key", "x", "y")
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of different roots that sizes and counts by bucket do not rule out.
 
-    From entries ``key``, ``doc_id``, ``root``, ``n``, ``counts``, ``keys``, sorted by key. Only one group is
-    held at a time. A pair that meets under several keys comes from the smallest of them.
+    From entries ``key``, ``x``, ``y``, ``own``, ``doc_id``, ``root``, ``n``, ``counts``, ``keys``, sorted by
+    the first three. Only one pair of blocks is held at a time. A pair that meets under several keys comes
+    from the smallest of them.
     """
     held: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
-        keys = batch.column(0).to_numpy()
-        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1), len(keys)]
+        if not batch.num_rows:
+            continue
+        at = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(len(_AT))], axis=1)
+        cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1), len(at)]
         for a, b in zip(cuts, cuts[1:]):
-            if held and b > a and held[0].column(0)[0].as_py() != keys[a]:
+            if held and last != tuple(at[a]):
                 yield from _pairs_across(held)
                 held = []
-            if b > a:
-                held.append(batch.slice(a, b - a))
+            held.append(batch.slice(a, b - a))
+            last = tuple(at[a])
     if held:
         yield from _pairs_across(held)
 
 
 def _pairs_across(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     group = pa.Table.from_batches(held)
-    key = group.column(0)[0].as_py()
-    docs, roots, sizes = (group.column(i).to_numpy() for i in (1, 2, 3))
+    key, x, y = (group.column(i)[0].as_py() for i in range(3))
+    if x < y:  # those of the first block, then those of the other
+        group = group.take(pa.array(np.argsort(group.column(3).to_numpy(), kind="stable")))
+    own, docs, roots, sizes = (group.column(i).to_numpy() for i in (3, 4, 5, 6))
     if (roots == roots[0]).all():
         return
-    counts = group.column(4).combine_chunks().flatten().to_numpy().reshape(-1, BUCKETS).astype(np.int32)
-    lists = group.column(5).combine_chunks()
+    counts = group.column(7).combine_chunks().flatten().to_numpy().reshape(-1, BUCKETS).astype(np.int32)
+    lists = group.column(8).combine_chunks()
     of, flat = np.repeat(np.arange(len(docs)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
-    names, at = np.unique(flat[flat < key], return_inverse=True)
-    member = np.zeros((len(docs), len(names)), np.float32)  # the smaller keys of each document
-    member[of[flat < key], at] = 1
-    for i in range(len(docs) - 1):
-        rest = slice(i + 1, None)
+    of, flat = of[flat < key], flat[flat < key]  # the smaller keys of each document
+    names, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    of, at = of[n[at] > 1], at[n[at] > 1]
+    begin = np.searchsorted(of, np.arange(len(docs) + 1))
+    mark, met = np.zeros(len(names), bool), np.zeros(len(docs), bool)
+    split = int(np.searchsorted(own, y)) if x < y else 0
+    for i in range(split if x < y else len(docs) - 1):
+        rest = slice(split if x < y else i + 1, None)
         least, most = np.minimum(sizes[i], sizes[rest]), np.maximum(sizes[i], sizes[rest])
-        j = np.flatnonzero((roots[rest] != roots[i]) & (OF * least >= SHARE * most) & (docs[rest] != docs[i])) + i + 1
-        j = j[member[j] @ member[i] == 0]
+        j = np.flatnonzero((roots[rest] != roots[i]) & (OF * least >= SHARE * most) & (docs[rest] != docs[i])) + rest.start
+        if not len(j):
+            continue
+        mine = at[begin[i] : begin[i + 1]]
+        if len(mine):
+            mark[mine] = True
+            sharing = of[mark[at]]
+            mark[mine] = False
+            met[sharing] = True
+            j = j[~met[j]]
+            met[sharing] = False
         bound = np.minimum(counts[i], counts[j]).sum(axis=1)
         j = j[OF * bound >= SHARE * (sizes[i] + sizes[j] - bound)]
         if len(j):
@@ -374,7 +446,7 @@ def _slot_counts(docs: DataFrame) -> np.ndarray:
 
 
 def _entries(docs: DataFrame, lists: str) -> DataFrame:
-    return docs.select(F.explode(lists).alias("key"), "doc_id").repartition("key")
+    return docs.select(F.explode(lists).alias("key"), "doc_id").repartition("key").sortWithinPartitions("key", "doc_id")
 
 
 def links(docs: DataFrame, hot: int = 8) -> DataFrame:
@@ -416,13 +488,15 @@ def links(docs: DataFrame, hot: int = 8) -> DataFrame:
     rooted = prefixes.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     held = rooted.select(F.explode("tokens").alias("key"), "doc_id", "root", "n")
     mixed = held.groupBy("key").agg(F.count("*").alias("k"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-    mixed = mixed.where(f"k > {2 * hot} and r0 < r1").select("key")
+    mixed = mixed.where(f"k > {2 * hot} and r0 < r1").select("key", "k")
     met = stored(held.join(mixed, "key"), "mixed")
     keys = met.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
     texts = rest.join(checked(met.select("doc_id").distinct(), "mixed-docs", 16), "doc_id", "left_semi")
     counts = with_columns(texts, ["doc_id"], "size long, counts array<int>", _bucket_counts).drop("size")
-    met = met.join(keys, "doc_id").join(counts, "doc_id").select("key", "doc_id", "root", "n", "counts", "keys")
-    across = met.repartition("key").sortWithinPartitions("key").mapInArrow(_across, "a long, b long")
+    met = met.join(keys, "doc_id").join(counts, "doc_id")
+    met = _dealt(met.select("key", "k", "doc_id", "root", "n", "counts", "keys"), BLOCK)
+    met = met.select(*_AT, "own", "doc_id", "root", "n", "counts", "keys")
+    across = met.repartition(*_AT).sortWithinPartitions(*_AT).mapInArrow(_across, "a long, b long")
     late = _connecting(stored(across.distinct(), "across"), singles)
     return copies.unionAll(linked).unionAll(late)
 
