@@ -610,6 +610,31 @@ def test_runs_are_compacted_by_level(rows):
 # 10
 
 
+@pytest.mark.parametrize("share", [0.16, 0.7])
+def test_mined_rules_against_enumeration(rows, share):
+    """All combinations of tokens, at the thresholds of the query, also where most labels are bad."""
+    rng = random.Random(31)
+    pages = [(f"http://{rng.choice('abc')}/{rng.choice('def')}/{rng.choice('gh')}", rng.random() < share) for _ in range(300)]
+    pages += [("http://a/x/y", True)] * 9 + [("http://b/d/x", True)] * 7
+    sets = [({f"h:{h}", *(f"p:{x}" for x in path.split("/"))}, bad) for url, bad in pages for h, path in [url[7:].split("/", 1)]]
+    held = {}
+    for combination in {c for s, _ in sets for k in (1, 2, 3) for c in itertools.combinations(sorted(s), k)}:
+        among = [bad for s, bad in sets if s.issuperset(combination)]
+        if sum(among) >= 0.002 * len(sets) and sum(among) >= 0.5 * len(among):
+            held[combination] = sum(among) / len(among)
+    want = {c: p for c, p in held.items() if not any(tuple(x for x in c if x != y) in held for y in c)}
+    mined = urlrules.mine(rows("url string, bad boolean", *pages))
+    found = {tuple(r.rule): r.confidence for r in mined.collect()}
+    assert want and found == pytest.approx(want)
+    best = {}
+    for url, _ in pages:
+        s = {f"h:{url[7:].split('/', 1)[0]}", *(f"p:{x}" for x in url[7:].split("/")[1:])}
+        if hits := [p for c, p in want.items() if s.issuperset(c)]:
+            best[url] = max(hits)
+    urls = rows("url string", *[(u,) for u, _ in pages])
+    assert {r.url: r.confidence for r in urlrules.matches(urls, mined).collect()} == pytest.approx(best)
+
+
 def test_url_rules(rows):
     bad = [f"http://x{i}.spam.org/buy/{i}?ref=1" for i in range(30)]
     good = [f"http://y{i}.fine.org/read/{i}?ref=1" for i in range(70)] + [f"http://z.org/buy/{i}?ref=1" for i in range(20)]

@@ -2,7 +2,7 @@
 
 Spark's FP-growth mines combinations of URL tokens (labels of the host, path segments without numbers,
 names of query arguments) that occur with a bad label. A mined rule says: a URL with all these tokens is
-bad. Rules are pruned by support, confidence and lift, and a rule is dropped if without one of its
+bad. Rules are pruned by support and confidence, and a rule is dropped if without one of its
 tokens it is a rule as well.
 They are matched by an inverted index: each rule is filed under one of its tokens, a URL looks up its
 own tokens, and only the rules found there are compared. All of it is DataFrame work.
@@ -89,7 +89,6 @@ def mine(
     bad: str = "bad",
     min_support: float = 0.002,
     min_confidence: float = 0.5,
-    min_lift: float = 2.0,
 ) -> DataFrame:
     """Rules ``rule`` (sorted tokens), ``confidence``, ``support`` that imply a bad page.
 
@@ -106,7 +105,6 @@ def mine(
     found = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     rules = stored(
         found.associationRules.where(F.col("consequent")[0] == BAD)
-        .where(F.col("lift") >= min_lift)
         .select(F.array_sort("antecedent").alias("rule"), "confidence", "support"),
         "rules",
     )
