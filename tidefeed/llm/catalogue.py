@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefeed.llm import capfilter, decontam, jaccard, langid, linedup, pieces, quality, toxicity, urlrules, warc
+from tidefeed.llm import capfilter, decontam, jaccard, kdtree, langid, linedup, pieces, quality, toxicity, urlrules, warc
 from tidefeed.llm.columns import crc_part
 from tidefeed.llm.sharing import table
 
@@ -225,3 +225,25 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
     judged = urlrules.judge(pages, urlrules.labelled_pages(pages, labels), urlrules.RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query(
+    """
+    with vecs as (
+        select row_number() over () as r, vec_id, list_transform(cast(embedding as double[]), lambda x: floor(64 * x)) as v
+        from embeddings
+        where embedding is not null
+          and len(list_filter(cast(embedding as double[]), lambda x: x is null or isnan(x) or isinf(x))) = 0
+    ),
+    scored as (
+        select a.r, a.vec_id as query_id, b.vec_id, cast(list_inner_product(a.v, b.v) as bigint) as score,
+               row_number() over (partition by a.r order by list_inner_product(a.v, b.v) desc, b.vec_id, b.r) as rank
+        from vecs a join vecs b on a.r <> b.r and len(a.v) = len(b.v)
+        where a.vec_id % 20 = 0
+    )
+    select query_id, cast(rank as integer) as rank, vec_id, score from scored where rank <= 20
+    """
+)
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best other vectors of every twentieth vector by exact inner product of whole numbers."""
+    return kdtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
