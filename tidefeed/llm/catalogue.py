@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefeed.llm import capfilter, decontam, jaccard, kdtree, langid, linedup, pieces, quality, toxicity, urlrules, warc
+from tidefeed.llm import capfilter, convtrie, decontam, jaccard, kdtree, langid, linedup, pieces, quality, toxicity, urlrules, warc
 from tidefeed.llm.columns import crc_part
 from tidefeed.llm.sharing import table
 
@@ -247,3 +247,62 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty best other vectors of every twentieth vector by exact inner product of whole numbers."""
     return kdtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+@query(
+    """
+    with recursive ordered as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+               row_number() over (partition by conv_id order by turn nulls first,
+                   md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as i
+        from conversations where conv_id is not null
+    ),
+    ids as (
+        select conv_id, list_reduce(list_prepend(4294967295, flatten(list_transform(
+                   list_transform(string_split(cast(conv_id as varchar), ''), lambda c: cast(ascii(c) as bigint)),
+                   lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                   lambda crc, x: case when x >= 0 then xor(crc, x) when crc % 2 = 1 then xor(crc >> 1, 3988292384) else crc >> 1 end
+               ) as crc
+        from (select distinct conv_id from ordered)
+    ),
+    taken as (select conv_id, conv_id - conv_id % 100 as head, xor(crc, 4294967295) % 6 as h from ids),
+    turns as (
+        select t.conv_id, o.i, o.role, o.text from taken t join ordered o on o.conv_id = t.head and o.i <= h
+        union all
+        select t.conv_id, o.i, o.role, o.text from taken t join ordered o on o.conv_id = t.conv_id and o.i > h
+    ),
+    placed as (
+        select conv_id, row_number() over (partition by conv_id order by i) as depth, text,
+               md5(length(role) || ':' || role || text) as token from turns
+    ),
+    prefixes as (
+        select t.conv_id, 0 as depth, '' as prefix, 0 as size from taken t
+        union all
+        select p.conv_id, p.depth, x.prefix || p.token, length(p.text)
+        from prefixes x join placed p on p.conv_id = x.conv_id and p.depth = x.depth + 1
+    ),
+    lengths as (select conv_id, max(depth) as total from prefixes group by 1),
+    nodes as (
+        select prefix, depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(size) as size,
+               sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where depth = total), '')) as ends_sha256
+        from prefixes join lengths using (conv_id) group by 1, 2
+    ),
+    parents as (
+        select c.*, substr(c.prefix, 1, cast(32 * (c.depth - 1) as bigint)) as above,
+               (select count(*) from nodes k where k.depth = c.depth + 1 and substr(k.prefix, 1, cast(32 * c.depth as bigint)) = c.prefix) as n_children
+        from nodes c
+    ),
+    subtree as (
+        select a.prefix, count(*) filter (where b.n_children = 0) as n_leaves, sum(case when b.depth > 0 then (b.n_convs - 1) * b.size else 0 end) as saved
+        from parents a join parents b on b.depth >= a.depth and substr(b.prefix, 1, cast(32 * a.depth as bigint)) = a.prefix
+        group by 1
+    )
+    select c.conv_id, cast(c.depth as bigint) as depth, p.conv_id as parent_conv_id, c.n_convs, c.n_children, n_leaves,
+           cast(saved as bigint) as saved_tokens, c.ends_sha256
+    from parents c join subtree using (prefix) left join nodes p on c.depth > 0 and p.prefix = c.above
+    """
+)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt so that many share their first turns."""
+    paths = convtrie.turn_paths(table(spark, sf_dir, "conversations"))
+    return convtrie.prefix_trie(convtrie.rebuilt(paths))
