@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefeed.llm import capfilter, convtrie, decontam, jaccard, kdtree, langid, linedup, pieces, quality, toxicity, urlrules, warc
+from tidefeed.llm import capfilter, convtrie, decontam, divergence, jaccard, kdtree, langid, linedup, pieces, quality, toxicity, urlrules, warc
 from tidefeed.llm.columns import crc_part
 from tidefeed.llm.sharing import table
 
@@ -306,3 +306,50 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prefix trie of all conversations, rebuilt so that many share their first turns."""
     paths = convtrie.turn_paths(table(spark, sf_dir, "conversations"))
     return convtrie.prefix_trie(convtrie.rebuilt(paths))
+
+
+@query(
+    r"""
+    with docs as (
+        select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as words
+        from documents
+    ),
+    used as (select r, lang, source, unnest(words) as term from docs),
+    kept as (select lang, term from used group by lang, term having count(distinct r) >= 30),
+    sizes as (select l.lang, count(k.term) as v from (select distinct lang from docs) l left join kept k on k.lang = l.lang group by 1),
+    counts as (select lang, source, term, count(*) as n from used join kept using (lang, term) group by all),
+    groups as (
+        select g.lang, g.source, v, coalesce(total, 0) as total
+        from (select distinct lang, source from docs) g join sizes s on s.lang = g.lang
+        left join (select lang, source, sum(n) as total from counts group by all) t on t.lang = g.lang and t.source = g.source
+    ),
+    shares as (
+        select g.lang, g.source, k.term, coalesce(n, 0) as n, 1 + (1000000000 * (coalesce(n, 0) + 5)) // (total + 5 * v) as p
+        from groups g join kept k on k.lang = g.lang
+        left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+    ),
+    usual as (
+        select lang, term, 1 + (1000000000 * (n + 5)) // (total + 5 * v) as q
+        from (select lang, term, sum(n) as n from counts group by all)
+        join (select lang, sum(n) as total from counts group by all) using (lang) join sizes using (lang)
+    ),
+    found as (
+        select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+        from groups a join groups b on a.lang = b.lang and a.source <> b.source
+        left join (
+            select x.lang as x_lang, x.source as s, y.source as o, sum(abs(x.p - y.p)) as value
+            from shares x join shares y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by all
+        ) on s = a.source and o = b.source and a.lang = x_lang
+        union all
+        select lang, source, 'term', term, p - q from shares join usual using (lang, term) where n > 0 and p > q
+    )
+    select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+    from (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from found)
+    where part = 'pair' or rank <= 50
+    """
+)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ in their words."""
+    return divergence.divergence(table(spark, sf_dir, "documents"), least=30, top=50)
