@@ -208,6 +208,34 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, path, schema=part.schema, line_safe=True).accepted
 
 
+@query("""
+select p_partkey, case p_size % 3 when 0 then p_name || chr(10) || '"' || p_brand || '",' || chr(10) || chr(10) || p_type
+       else p_name end p_name, p_size
+from part
+""")
+def scan_csv_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quoted fields over several lines, blank ones among them, with quotes and separators inside."""
+    broken = F.concat("p_name", F.lit('\n"'), "p_brand", F.lit('",\n\n'), "p_type")
+    name = F.when(F.col("p_size") % 3 == 0, broken).otherwise(F.col("p_name")).alias("p_name")
+    part = table(spark, sf_dir, "part").select("p_partkey", name, "p_size")
+    path = new_folder(spark, "multi-line")
+    part.write.options(header=True, escape='"').csv(path)
+    return read_delimited(spark, path, schema=part.schema, multi_line=True).accepted
+
+
+@query("""
+select 'quote' motivo, p_partkey || ',"' || p_name || ',' || p_size registro from part where p_size % 7 = 0
+""")
+def quote_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a quote that is not closed are set aside; those beside them are not."""
+    part = table(spark, sf_dir, "part")
+    closed = F.when(F.col("p_size") % 7 == 0, "").otherwise('"')
+    line = F.concat(F.col("p_partkey").cast("string"), F.lit(',"'), "p_name", closed, F.lit(","), F.col("p_size").cast("string"))
+    path = new_folder(spark, "open-quotes")
+    part.select(line.alias("p_partkey,p_name,p_size")).write.options(header=True, quote="", sep="\x01").csv(path)
+    return read_delimited(spark, path, schema=part.select("p_partkey", "p_name", "p_size").schema).rejected
+
+
 @query("""
 select p_partkey, p_name from part
 """)

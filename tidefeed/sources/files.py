@@ -7,18 +7,20 @@ converted only the selected ones.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import replace
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidefeed.functions import col
 from tidefeed.operators.table import Split, all_of, is_number, missing_number
-from tidefeed.storage import run_together
 
 # File suffixes and what they hold.
 SEPARATORS = {"csv": ",", "txt": "\t"}
@@ -102,44 +104,41 @@ def read_delimited(
     sampling_ratio: float = 1.0,
     *,
     line_safe: bool = False,
+    multi_line: bool = False,
 ) -> Split:
     """Delimited text with a header line; quoted fields may hold the separator.
 
     Lines with too few or too many fields, and fields that do not fit their column, set a row aside. Each
     file has its own header, and a schema is matched to it by name. Where no file has all of its names, it
-    is matched by position; where some have, the lines of the others are set aside. The first line of
-    each file is read when the table is declared. ``line_safe`` is for files that ``write_csv`` wrote so.
+    is matched by position; where some have, the lines of the others are set aside, as ``arity`` where they
+    have not as many fields as their header and the schema, else as ``header``. A header is never a row.
+    All headers are found in one job when the table is declared.
+
+    A line with a quote that is not closed is set aside as ``quote``. With ``multi_line`` a quoted field may
+    go on over several lines, see ``whole_records``; breaks in it come out as line feeds. ``line_safe`` is for
+    files that ``write_csv`` wrote so.
     """
     options = {"header": True, "sep": separator, "quote": '"', "escape": '"'}
-    by_header = _files_by_header(spark, path, options)
+    by_header = _files_by_header(spark, path, separator)
     if schema is None:
-        inference = {"inferSchema": True, "samplingRatio": sampling_ratio}
         if not by_header:
             raise ValueError(f"no header in {path}")
-        reader = spark.read.options(**options, **inference)
-        names = set(next(iter(by_header)))
-        found = [three_types(reader.csv(f).schema) for h, f in by_header.items() if set(h) == names]
-        schema = reduce(_wider, found)
+        schema = _inferred(spark, by_header, {**options, "samplingRatio": sampling_ratio, "multiLine": multi_line})
     fitting = {h: f for h, f in by_header.items() if set(schema.names) <= set(h)}
+    foreign = {h: f for h, f in by_header.items() if h not in fitting}
     if not fitting:  # headers that say nothing, or no file with a line
-        fitting, by_header = {tuple(schema.names): path}, {}
+        fitting, foreign = {tuple(schema.names): [path]}, {}
     parts = []
     for header, files in fitting.items():
-        fields = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        raw = (
-            spark.read.options(**options)
-            .options(mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
-            .schema(_all_text(fields))
-            .csv(path if len(by_header) < 2 else files)
-        )
+        mine = _plain(files) if foreign or len(fitting) > 1 else path
+        lines = whole_records(_placed(spark.read.text(mine), F.col("value"))) if multi_line else _body_lines(spark, mine)
+        raw = _fields(lines, header, options)
         if line_safe:
             raw = raw.withColumns({name: _with_breaks(col(name)) for name in header})
-        parts.append(_typed(raw, schema, "arity"))
-    foreign = [f for header, files in by_header.items() if header not in fitting for f in files]
+        unclosed = F.when(_open_quote(F.col(_CORRUPT)), F.lit("quote"))
+        parts.append(_typed(raw, schema, F.coalesce(unclosed, F.lit("arity"))))
     if foreign:
-        lines = spark.read.text(foreign).where(F.col("value") != "")
-        typed = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-        parts.append(record_split(lines, typed, F.lit("header"), F.col("value"), F.lit(False)))
+        parts.append(_set_aside(spark, foreign, schema, separator))
     marked = reduce(DataFrame.unionByName, [part.marked for part in parts])
     return replace(parts[0], marked=marked)
 
@@ -151,20 +150,149 @@ def _with_breaks(value: Column) -> Column:
     return F.when(written_empty, F.lit("")).otherwise(value)
 
 
-def _files_by_header(
-    spark: SparkSession, path: str, options: dict
-) -> dict[tuple[str, ...], list[str]]:
-    """The files of a path by the names in their first lines; files without a line are left out."""
-    files = [unquote(f) for f in sorted(spark.read.text(path).inputFiles())]
-    reader = spark.read.options(**options)
-    headers = run_together(spark, *[lambda f=f: reader.csv(f).schema.names for f in files])
+def first_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``file`` and ``line``: the first line of each file that is not blank, in one job for any number of files.
+
+    Each split of a file gives its first line, and of these the one of the first split counts. A task that
+    reads a split which ends before its file does has no other split, and stops after that line; so of a large
+    file no more than its last split is read.
+    """
+    at = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_block_start", "file_block_length", "file_size")]
+    lines = spark.read.text(path).where(F.trim("value") != "").select(*at, "value")
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            split = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            new = [i for i, s in enumerate(split) if s != (split[i - 1] if i else last)]
+            yield batch.take(pa.array(new, pa.int64())).select(["file_path", "file_block_start", "value"])
+            if split:
+                last = split[-1]
+                if last[1] + batch.column(2)[-1].as_py() < batch.column(3)[-1].as_py():
+                    return
+
+    found = lines.mapInArrow(firsts, "file_path string, file_block_start long, value string")
+    return found.groupBy(F.col("file_path").alias("file")).agg(F.min_by("value", "file_block_start").alias("line"))
+
+
+def _files_by_header(spark: SparkSession, path: str, separator: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a path, in URL form, by the names in their first lines; files without a line are left out."""
     out: dict[tuple[str, ...], list[str]] = {}
-    for file, header in zip(files, headers, strict=True):
-        if header:
-            out.setdefault(tuple(header), []).append(file)
+    for file, line in sorted(map(tuple, first_lines(spark, path).collect())):
+        out.setdefault(_header_names(line, separator), []).append(file)
     return out
 
 
+def _plain(files: Sequence[str]) -> list[str]:
+    """Paths as a reader takes them; the metadata column has them in URL form."""
+    return [unquote(f) for f in files]
+
+
+def _header_names(line: str, separator: str) -> tuple[str, ...]:
+    """The names in a header line, as the CSV reader gives them: without a name ``_c`` and the place, and repeated
+    ones with their place added."""
+    names = next(csv.reader([line.removeprefix("\ufeff")], delimiter=separator))
+    seen = Counter(name.lower() for name in names)
+    return tuple(f"_c{i}" if not name else f"{name}{i}" if seen[name.lower()] > 1 else name for i, name in enumerate(names))
+
+
+def _inferred(spark: SparkSession, by_header: dict[tuple[str, ...], list[str]], options: dict) -> T.StructType:
+    """The types of the first header's columns over all files that have these names, in one pass for each order of
+    the names."""
+    reader = spark.read.options(**options, inferSchema=True)
+    names = set(next(iter(by_header)))
+    return reduce(_wider, [three_types(reader.csv(_plain(f)).schema) for h, f in by_header.items() if set(h) == names])
+
+
+def _body_lines(spark: SparkSession, files: str | list[str]) -> DataFrame:
+    """``line`` and its place (``file``, ``block``, ``at``) for every line that is neither blank nor its file's header."""
+    # One column, with a separator that lines do not have; a line that does have it comes as the corrupt record.
+    reader = spark.read.options(header=True, sep="\x01", quote="", escape="", mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
+    whole = reader.schema(T.StructType([T.StructField("value", T.StringType()), T.StructField(_CORRUPT, T.StringType())]))
+    return _placed(whole.csv(files), F.coalesce(_CORRUPT, "value"))
+
+
+def _placed(lines: DataFrame, line: Column) -> DataFrame:
+    return lines.select(
+        line.alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+
+
+def _quotes(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+
+
+def _open_quote(line: Column) -> Column:
+    return _quotes(line) % 2 == 1
+
+
+def _fields(lines: DataFrame, header: Sequence[str], options: dict) -> DataFrame:
+    """The fields of each ``line`` as text, and the line itself where their number is not the header's or a quote is
+    not closed."""
+    wanted = _all_text(T.StructType([T.StructField(name, T.StringType()) for name in header]))
+    options = {"sep": options["sep"], "quote": options["quote"], "escape": options["escape"], "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    parsed = F.from_csv("line", F.lit(wanted.toDDL()), options)
+    # The generator keeps conditions on the fields above it, so that a line is parsed once.
+    rows = lines.select("line", F.inline(F.array(parsed)))
+    fault = F.when(_open_quote(F.col("line")) | F.col(_CORRUPT).isNotNull(), F.col("line"))
+    return rows.withColumn(_CORRUPT, fault).drop("line")
+
+
+def _set_aside(spark: SparkSession, foreign: dict[tuple[str, ...], list[str]], schema: T.StructType, separator: str) -> Split:
+    """The lines of files whose header lacks a name of the schema, each with the reason."""
+    files = [f for listed in foreign.values() for f in listed]
+    own = spark.createDataFrame([(f, len(h)) for h, listed in foreign.items() for f in listed], "file string, own int")
+    outside = F.regexp_replace("line", '"[^"]*"', "")
+    fields = F.length(outside) - F.length(F.replace(outside, F.lit(separator), F.lit(""))) + 1
+    uneven = (fields != len(schema)) | (fields != F.coalesce("own", fields))
+    reason = F.when(_open_quote(F.col("line")), "quote").when(uneven, "arity").otherwise("header")
+    lines = _body_lines(spark, _plain(files)).join(own, "file", "left")
+    typed = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return record_split(lines, typed, reason, F.col("line"), F.lit(False))
+
+
+def whole_records(lines: DataFrame, most_lines: int = 10_000) -> DataFrame:
+    """``line``: records whose quoted fields may hold line breaks, from all lines and their places (``_placed``), without
+    each file's header and the blank lines between records.
+
+    A line is inside a field if the lines of its file before it hold an odd number of quotes. These are summed per
+    block of the file first, so that no task reads more of a file than a block. Most records are a line and stay
+    where they are; only the lines of the others are brought together. Where a field is never closed, or a record
+    would have more than ``most_lines`` lines, its lines come out as they are and are then set aside one by one.
+    """
+    odd = _open_quote(F.col("line")).cast("int")
+    so_far = Window.partitionBy("file", "block").orderBy("at")
+    before = F.coalesce(F.sum(odd).over(so_far.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    lines = lines.withColumns({"odd": odd, "inside": before})
+    begins = {i: F.max(F.when(F.col("inside") == i, F.col("at"))).alias(f"last{i}") for i in (0, 1)}
+    filled = F.trim("line") != ""
+    header = F.min(F.when(filled, F.struct("block", "at"))).alias("header")
+    blocks = lines.groupBy("file", "block").agg((F.sum("odd") % 2).alias("turns"), header, *begins.values())
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("entered", F.coalesce(F.sum("turns").over(earlier), F.lit(0)) % 2)
+    last = F.when(F.col("entered") == 0, F.col("last0")).otherwise(F.col("last1"))
+    start = F.when(last.isNotNull(), F.struct("block", last.alias("at")))
+    blocks = blocks.withColumns(
+        {"open": F.last(start, ignorenulls=True).over(earlier), "header": F.min("header").over(Window.partitionBy("file"))}
+    )
+    placed = lines.join(blocks.select("file", "block", "entered", "open", "header"), ["file", "block"])
+    placed = placed.withColumn("inside", (F.col("inside") + F.col("entered")) % 2)
+    here = F.when(F.col("inside") == 0, F.struct("block", "at"))
+    whole = (F.col("inside") == 0) & (F.col("odd") == 0)
+    placed = placed.withColumn("record", F.coalesce(F.last(here, ignorenulls=True).over(so_far), "open"))
+    parts = placed.where(~whole).withColumn("n", F.count("*").over(Window.partitionBy("file", "record")))
+    parts = parts.withColumn("closes", F.sum("odd").over(Window.partitionBy("file", "record")) == 2)
+    fits = F.col("closes") & (F.col("n") <= most_lines)
+    joined = parts.where(fits).groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("block", "at", "line"))).alias("l"))
+    joined = joined.select(F.array_join("l.line", "\n").alias("line"))
+    body = F.col("header").isNull() | (F.struct("block", "at") != F.col("header"))
+    alone = placed.where(whole & filled & body).select("line")
+    return alone.unionAll(joined).unionAll(parts.where(~fits & filled).select("line"))
+
+
 def _wider(a: T.StructType, b: T.StructType) -> T.StructType:
     """The types of ``a``, widened to hold those of ``b``, which has the same names."""
     order = [T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType()]
@@ -282,8 +410,9 @@ def _all_text(schema: T.StructType) -> T.StructType:
     return _text_fields(schema).add(_CORRUPT, T.StringType())
 
 
-def _typed(raw: DataFrame, schema: T.StructType, malformed: str) -> Split:
-    reasons = [F.when(F.col(_CORRUPT).isNotNull(), F.lit(malformed))]
+def _typed(raw: DataFrame, schema: T.StructType, malformed: str | Column) -> Split:
+    malformed = F.lit(malformed) if isinstance(malformed, str) else malformed
+    reasons = [F.when(F.col(_CORRUPT).isNotNull(), malformed)]
     typed: list[Column] = []
     for field in schema:
         text, value = col(field.name), col(field.name)
@@ -294,7 +423,7 @@ def _typed(raw: DataFrame, schema: T.StructType, malformed: str) -> Split:
         typed.append(value.alias(field.name))
     # Spark refuses to read the corrupt-record column alone, so the checks also touch a field.
     any_text = F.coalesce(F.length(col(schema[0].name)), F.lit(0)) >= 0
-    reasons.append(F.when(~any_text, F.lit(malformed)))
+    reasons.append(F.when(~any_text, malformed))
     record = F.coalesce(F.col(_CORRUPT), as_record(raw.drop(_CORRUPT)))
     read = F.col(_CORRUPT).isNull() & any_text
     return record_split(raw, typed, F.coalesce(*reasons), record, read)
