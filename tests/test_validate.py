@@ -93,3 +93,20 @@ def test_validate_with_given_rules_and_empty_tables(rows):
     assert validate(rows("nota string, data string", ("x", "y"), ("", "y"))).accepted.count() == 1
     wide = rows("nota string", ("x",), ("",))
     assert validate(wide, exempt=("data", "nota")).accepted.count() == 2
+
+
+@pytest.mark.parametrize("parts", [1, 8, 200])
+def test_rules_of_all_rows_reject_strays_however_they_lie(rows, parts):
+    cells = [(11 + i % 80, i % 2, 1.0, i % 2 if i % 10 else None) for i in range(1000)]
+    df = rows("cep int, f int, d double, gaps int", *cells, (11001, 1, 1.0, 1), (12, 7, 0.0, 1), (13, None, 1.0, 1))
+    found = validate(df.repartition(parts))
+    assert values(found.rejected.select("cep", "f", "motivo")) == [(11001, 1, "invalid:cep"), (12, 7, "invalid:f")]
+    assert not rule(df.repartition(parts), "gaps").boolean  # too many cells are missing
+    assert not rule(df, "f", sample=2000).boolean and rule(df, "f", sample=500).boolean
+
+
+def test_a_rule_needs_nearly_all_rows(rows):
+    most = rows("f int", *[(1,)] * 19, (7,))
+    assert rule(most, "f").boolean and rule(most, "f", sample=21).boolean is False
+    assert not rule(rows("f int", *[(1,)] * 18, (7,)), "f").boolean
+    assert rule(rows("cep int", *[(11000,)] * 19, (-5,)), "cep").digits == 5

@@ -67,63 +67,66 @@ def learn_rules(
 ) -> list[Rule]:
     """One rule per column, from its name and, where the name does not tell, from the values.
 
-    With ``order_by`` these are the values of the first ``sample`` rows in that order; without, those of
-    all rows. Either way the rules do not depend on how the table is partitioned, and a single row of
-    evidence comes to the driver.
+    With ``order_by`` a rule of the values is one that the first ``sample`` rows in that order all meet.
+    Without, it is one that all rows but one in ``sample`` meet, so few enough strays do not
+    keep a rule from being learnt and are rejected by it. Either way the rules do not depend on how the
+    table is partitioned, and a single row of evidence comes to the driver.
     """
     source = df.orderBy(*map(col, order_by)).limit(sample) if order_by else df
     evidence = rule_evidence(df)
     seen = source.agg(*evidence).first().asDict() if evidence else {}
-    return rules_from(df, seen, exempt)
+    return rules_from(df, seen, exempt, None if order_by else sample)
 
 
 def rule_evidence(df: DataFrame) -> list[Column]:
-    """Aggregates over the columns whose names leave their rule to the values: how many values there are
-    and are missing, whether all are 0 or 1, and the least and greatest width of whole numbers."""
+    """Aggregates over the columns whose names leave their rule to the values: how many rows there are, and how many
+    of them meet each rule that may be learnt. Counts add up over partitions; a missing cell meets none."""
     out = []
     for i, name in enumerate(df.columns):
         if not _asks_sample(df, name):
             continue
-        cell = col(name)
         out += [
             F.count(F.lit(1)).alias(f"e{i}_rows"),
-            F.count_if(cell.isNull()).alias(f"e{i}_missing"),
-            F.count_if(~as_number(df, name).isin(0.0, 1.0)).alias(f"e{i}_other"),
-            F.min(F.length(cell.cast("string"))).alias(f"e{i}_least"),
-            F.max(F.length(cell.cast("string"))).alias(f"e{i}_most"),
+            F.count_if(as_number(df, name).isin(0.0, 1.0)).alias(f"e{i}_boolean"),
+            *(F.count_if(_of_width(df, name, n)).alias(f"e{i}_{n}") for n in (ISLAND_DIGITS, REGION_DIGITS)),
         ]
     return out
 
 
+def _of_width(df: DataFrame, name: str, digits: int) -> Column:
+    if not isinstance(type_of(df, name), T.IntegralType):
+        return F.lit(False)  # the text form of a fraction is never all digits
+    return col(name).between(10 ** (digits - 1), 10**digits - 1)
+
+
 def rules_from(
-    df: DataFrame, seen: Mapping, exempt: Sequence[str] = EXEMPT_NAMES
+    df: DataFrame, seen: Mapping, exempt: Sequence[str] = EXEMPT_NAMES, one_in: int | None = SAMPLE_ROWS
 ) -> list[Rule]:
-    """One rule per column, given the values of ``rule_evidence``."""
+    """One rule per column, given the values of ``rule_evidence``. A rule is learnt from values if all rows
+    meet it but one in ``one_in``, or all of them without this number."""
 
-    def of(i: int) -> dict:
-        keys = ("rows", "missing", "other", "least", "most")
-        return {k: seen.get(f"e{i}_{k}") or 0 for k in keys}
+    def met(i: int) -> dict:
+        rows = seen.get(f"e{i}_rows") or 0
+        counts = {k: seen.get(f"e{i}_{k}") or 0 for k in ("boolean", ISLAND_DIGITS, REGION_DIGITS)}
+        return {k: rows >= MIN_SAMPLE_ROWS and (rows - n) * (one_in or rows + 1) <= rows for k, n in counts.items()}
 
-    return [_rule(df, name, of(i), exempt) for i, name in enumerate(df.columns)]
+    return [_rule(df, name, met(i), exempt) for i, name in enumerate(df.columns)]
 
 
-def _rule(df: DataFrame, name: str, seen: Mapping, exempt: Sequence[str]) -> Rule:
+def _rule(df: DataFrame, name: str, met: Mapping, exempt: Sequence[str]) -> Rule:
     if name.lower() in exempt:
         return Rule(name, exempt=True)
 
-    telling = seen["rows"] >= MIN_SAMPLE_ROWS and not seen["missing"]
     digits = None
     if _named(name, CODE_WORDS):
-        digits = _named_code_length(name)
-        if digits is None and telling and isinstance(type_of(df, name), T.IntegralType):
-            if seen["least"] == seen["most"] and seen["least"] in (ISLAND_DIGITS, REGION_DIGITS):
-                digits = seen["least"]
+        learnt = next((n for n in (ISLAND_DIGITS, REGION_DIGITS) if met[n]), None)
+        digits = _named_code_length(name) or learnt
 
     if _named(name, AGE_WORDS):
         return Rule(name, digits=digits, minimum=0, maximum=MAX_AGE)
     if _named(name, COUNT_WORDS):
         return Rule(name, digits=digits, minimum=0)
-    return Rule(name, digits=digits, boolean=telling and not seen["other"])
+    return Rule(name, digits=digits, boolean=met["boolean"])
 
 
 def valid_cell(df: DataFrame, rule: Rule) -> Column:
@@ -139,9 +142,7 @@ def _meets(df: DataFrame, rule: Rule) -> Column:
     if rule.digits is not None:
         if isinstance(dtype, T.StringType):
             return only_digits(cell, rule.digits)
-        if isinstance(dtype, T.IntegralType):
-            return cell.between(10 ** (rule.digits - 1), 10**rule.digits - 1)
-        return F.lit(False)  # the text form of a fraction is never all digits
+        return _of_width(df, rule.column, rule.digits)
     if rule.boolean:
         if isinstance(dtype, T.StringType):
             return cell.isin(*BOOLEAN_TEXTS)

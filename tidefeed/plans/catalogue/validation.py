@@ -87,11 +87,33 @@ def validate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select event_id, case when event_id % 97 = 0 then 7 when event_type = 'click' then 1 else 0 end clicou
-from events
+select event_id, case when event_type = 'click' then 1 else 0 end clicou from events where event_id % 97 <> 0
 """)
 def validate_treat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rare values show in all rows, so no rule is learnt that the first rows would suggest."""
+    """Nearly all values are 0 or 1, so the few others are rejected, in whatever order the rows come."""
     clicked = F.when(F.col("event_id") % 97 == 0, 7).otherwise((F.col("event_type") == "click").cast("int"))
     events = table(spark, sf_dir, "events").select("event_id", clicked.alias("clicou"))
     return weekly.treat(events, ["event_id", "clicou"])
+
+
+def _stray_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of two digits, but for one row in fifty; a column of which one value in ten is no 0 or 1."""
+    code = F.when(F.col("o_orderkey") % 50 == 0, 100).otherwise(10 + F.col("o_custkey") % 90).alias("cep")
+    often = F.when(F.col("o_orderkey") % 10 == 0, 5).otherwise(F.col("o_custkey") % 2).alias("vezes")
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey"), code, often)
+
+
+@query("""
+select o_orderkey, 10 + o_custkey % 90 cep, case when o_orderkey % 10 = 0 then 5 else o_custkey % 2 end vezes
+from orders where o_orderkey % 50 <> 0
+""")
+def validate_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of all rows, without an order: too few strays to keep the code's rule from being learnt."""
+    return validate(_stray_codes(spark, sf_dir)).accepted
+
+
+@query("""
+select o_orderkey, cast(100 as bigint) cep, cast(5 as bigint) vezes, 'invalid:cep' motivo from orders where o_orderkey % 50 = 0
+""")
+def validate_unordered_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate(_stray_codes(spark, sf_dir)).rejected
