@@ -35,7 +35,7 @@ from tidefeed.llm.columns import mapped
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Texts of about so many bytes walk together.
-WALK_BYTES = 2 << 20
+WALK_BYTES = 1 << 20
 _U = np.uint64
 
 
@@ -169,30 +169,43 @@ def lattice(data: np.ndarray, start: np.ndarray, end: np.ndarray, p: Pieces) ->
     us.append(node[lone])
     vs.append(node[lone] + 1)
     ids.append(-1 - heads[lone])
-    # Long pieces first, as they tend to be the likely ones, which a walk then meets soon.
-    u, v, piece = np.concatenate(us[::-1]), np.concatenate(vs[::-1]), np.concatenate(ids[::-1])
-    order = np.argsort(u, kind="stable")
-    u, v, piece = u[order], v[order], piece[order]
+    # Long pieces first, as they tend to be the likely ones, which a walk then meets soon. A node has one piece of
+    # each length at most, so each length fills one more place of its nodes.
+    first = np.zeros(n_nodes + 1, np.int64)
+    for u in us:
+        first[u + 1] += 1
+    np.cumsum(first, out=first)
+    free, order = first[:-1].copy(), np.empty(first[-1], np.int64)
+    stops = np.cumsum([len(u) for u in us])
+    for u, stop in zip(us[::-1], stops[::-1]):
+        order[free[u]] = np.arange(stop - len(u), stop)
+        free[u] += 1
+    u, v, piece = (np.concatenate(x)[order] for x in (us, vs, ids))
     width = np.zeros(len(data), np.int64)
     width[heads] = np.diff(bounds)
     log_w = np.where(piece >= 0, p.log_p[np.maximum(piece, 0)], 0)
     bytewise = piece < 0
     log_w[bytewise] = p.log_p[p.byte_id[0]] * width[-1 - piece[bytewise]]
-    first = np.searchsorted(u, np.arange(n_nodes + 1))
     beta = np.zeros(n_nodes)
     # From the ends of the chunks backward: all nodes of one distance together.
     edge_left = np.zeros(n_nodes, np.int64)
     edge_left[node] = left
     edge_left = edge_left[u]
-    by = np.argsort(edge_left, kind="stable")
-    cuts = np.searchsorted(edge_left[by], np.arange(1, int(left.max(initial=0)) + 2))
+    furthest = int(left.max(initial=0))
+    by = np.argsort(edge_left.astype(np.int16) if furthest < 1 << 15 else edge_left, kind="stable")
+    cuts = np.searchsorted(edge_left[by], np.arange(1, furthest + 2))
+    from_node, to_node, weight = u[by], v[by], log_w[by]
+    new = np.ones(len(by), bool)
+    new[1:] = from_node[1:] != from_node[:-1]  # a node's edges are all of one distance
+    heads_of = np.flatnonzero(new)
+    groups = np.searchsorted(heads_of, cuts)
     for d in range(len(cuts) - 1):
-        e = by[cuts[d] : cuts[d + 1]]
-        value = log_w[e] + beta[v[e]]
-        at = np.flatnonzero(np.concatenate([[True], u[e][1:] != u[e][:-1]]))
+        a, b = cuts[d], cuts[d + 1]
+        value = weight[a:b] + beta[to_node[a:b]]
+        at = heads_of[groups[d] : groups[d + 1]] - a
         top = np.maximum.reduceat(value, at)
-        total = np.add.reduceat(np.exp(value - np.repeat(top, np.diff(np.concatenate([at, [len(e)]])))), at)
-        beta[u[e][at]] = top + np.log(total)
+        total = np.add.reduceat(np.exp(value - np.repeat(top, np.diff(np.append(at, b - a)))), at)
+        beta[from_node[a + at]] = top + np.log(total)
     share = np.exp(log_w + beta[v] - beta[u])
     total = np.concatenate([[0.0], np.cumsum(share)])
     cdf = total[1:] - total[first[u]]
@@ -204,6 +217,22 @@ def lattice(data: np.ndarray, start: np.ndarray, end: np.ndarray, p: Pieces) ->
     return Lattice(base, is_end, offset, first, u, v, piece, share, cdf)
 
 
+#: Lattices are built for so many bytes of chunks at a time, whose arrays fit a processor's cache.
+LATTICE_BYTES = 1 << 16
+
+
+def lattices(data: np.ndarray, bounds: np.ndarray, p: Pieces) -> Lattice:
+    """As ``lattice`` for the chunks between the ``bounds``, built block by block."""
+    parts, nodes, edges = [], 0, 0
+    for a, b in T.groups(bounds, LATTICE_BYTES):
+        lat = lattice(data[bounds[a] : bounds[b]], bounds[a:b] - bounds[a], bounds[a + 1 : b + 1] - bounds[a], p)
+        piece = np.where(lat.piece < 0, lat.piece - bounds[a], lat.piece)
+        first = lat.first + edges if not parts else lat.first[1:] + edges
+        parts.append(Lattice(lat.base + nodes, lat.is_end, lat.offset, first, lat.source + nodes, lat.target + nodes, piece, lat.share, lat.cdf))
+        nodes, edges = nodes + len(lat.offset), edges + len(piece)
+    return Lattice(*map(np.concatenate, zip(*parts, strict=True)))
+
+
 def _uniform(key: np.ndarray) -> np.ndarray:
     return ((T.mix(key) >> _U(11)).astype(np.float64) + 0.5) * 2.0**-53
 
@@ -290,7 +319,7 @@ def sample_texts(data: np.ndarray, offsets: np.ndarray, seeds: np.ndarray, p: Pi
     spans = end[one] - start[one]
     where = np.concatenate([[0], np.cumsum(spans)])
     chunk_data = data[np.arange(where[-1]) - np.repeat(where[:-1] - start[one], spans)]
-    lat = lattice(chunk_data, where[:-1], where[1:], p)
+    lat = lattices(chunk_data, where, p)
     text = np.searchsorted(offsets, start, "right") - 1
     first_occ = np.searchsorted(text, np.arange(n + 1))
     place = start - offsets[text]
@@ -301,7 +330,8 @@ def sample_texts(data: np.ndarray, offsets: np.ndarray, seeds: np.ndarray, p: Pi
 
     tops = np.full(n, -np.inf)
     tops[texts] = -np.log(-np.log(_uniform(T.mix(seeds[texts] + T.salt(2)))))
-    path = walk(lat, np.arange(len(start)), lat.base[kind], keyed(0), place)
+    chunk_node = lat.base[kind]
+    path = walk(lat, np.arange(len(start)), chunk_node, keyed(0), place)
     done = [_settled(lat, path, text, n, np.zeros(len(path.edge), bool), tops, keyed(0), place)]
     samples: list[list[tuple]] = [[] for _ in range(n)]
     for i in texts:
@@ -318,29 +348,35 @@ def sample_texts(data: np.ndarray, offsets: np.ndarray, seeds: np.ndarray, p: Pi
                 best[held[better]], of[held[better]] = top[better], s
         if number == k:
             break
-        prefix_occ, prefix_edge, cont_occ, cont_node, fresh_from = [], [], [], [], []
+        prefix_occ, prefix_edge, cont_occ, cont_node = [], [], [], []
         alive = np.flatnonzero(best > -np.inf)
-        for i in alive:
+        draw, noise = (_uniform(seeds + T.salt(number * 4 + j)) for j in (2, 3))
+        places, masses = [], []
+        for i in alive.tolist():
             d = done[of[i]]
             a, b = d.first[i], d.first[i + 1]
-            at = a + int(np.argmax(d.rest[a:b]))
-            node = int(d.node[at])
+            at = int(a + d.rest[a:b].argmax())
+            node = d.node[at]
+            lo, hi = lat.first[node], lat.first[node + 1]
             out = excluded.setdefault((int(of[i]), at), [int(d.edge[at])])
-            edges = np.arange(lat.first[node], lat.first[node + 1])
-            share = np.where(np.isin(edges, out), 0.0, lat.share[edges])
-            u = _uniform(seeds[i : i + 1] + T.salt(number * 4 + 2))[0]
-            pick = int(edges[min(np.searchsorted(np.cumsum(share), u * share.sum()), np.flatnonzero(share)[-1])])
+            share = lat.share[lo:hi].copy()
+            for edge in out:
+                share[edge - lo] = 0.0
+            run = share.cumsum()
+            pick = int(lo + min(run.searchsorted(draw[i] * run[-1]), share.nonzero()[0][-1]))
             out.append(pick)
-            left = share.sum() - lat.share[pick]
-            mass = d.prefix[at] + np.log(left) if left > 1e-15 and len(out) < len(edges) else -np.inf
-            w = _uniform(seeds[i : i + 1] + T.salt(number * 4 + 3))
-            d.rest[at] = gumbel_below(np.array([mass]), best[i : i + 1], w)[0]
-            prefix_occ.append(np.append(d.occ[a:at], d.occ[at]))
-            prefix_edge.append(np.append(d.edge[a:at], pick))
-            later = np.arange(d.occ[at] + 1, first_occ[i + 1])
-            cont_occ.append(np.append(d.occ[at], later))
-            cont_node.append(np.append(lat.target[pick], lat.base[kind[later]]))
+            left = run[-1] - lat.share[pick]
+            places.append((d, at))
+            masses.append(d.prefix[at] + np.log(left) if left > 1e-15 and len(out) < hi - lo else -np.inf)
+            prefix_occ.append(d.occ[a : at + 1])
+            prefix_edge += (d.edge[a:at], [pick])
+            here = d.occ[at]
+            later = slice(here + 1, first_occ[i + 1])
+            cont_occ.append(np.arange(here, first_occ[i + 1]))
+            cont_node += ([lat.target[pick]], chunk_node[later])
             samples[i].append((number, best[i]))
+        for (d, at), rest in zip(places, gumbel_below(np.array(masses), best[alive], noise[alive])):
+            d.rest[at] = rest
         if not len(alive):
             done.append(_settled(lat, Walk(np.zeros(0, np.int64), np.zeros(0, np.int64)), text, n, np.zeros(0, bool), best, keyed(number), place))
             continue
@@ -387,8 +423,11 @@ def _settled(lat: Lattice, path: Walk, text: np.ndarray, n: int, shared: np.ndar
     with np.errstate(divide="ignore"):
         mass = prefix + np.log1p(-share)
     lone = (lat.first[node + 1] - lat.first[node] < 2) | (share > 1 - 1e-15) | shared
-    u = _uniform(key[path.occ] + (place[path.occ] + lat.offset[node]).astype(np.uint64) * T.salt(3) + T.salt(5))
-    rest = np.where(lone, -np.inf, gumbel_below(mass, tops[of], u))
+    rest = np.full(len(of), -np.inf)
+    on = np.flatnonzero(~lone)
+    occ = path.occ[on]
+    u = _uniform(key[occ] + (place[occ] + lat.offset[node[on]]).astype(np.uint64) * T.salt(3) + T.salt(5))
+    rest[on] = gumbel_below(mass[on], tops[of[on]], u)
     return Settled(path.occ, path.edge, node, first, prefix, rest, run[first[1:]] - run[first[:-1]])
 
 
@@ -448,11 +487,15 @@ def encode(
         data, offsets = T.text_buffers(given[1])
         seeds = given[0].to_numpy().view(np.uint64)
         for a, b in T.groups(offsets, WALK_BYTES):
-            rows, ids = [], []
-            for i, samples in enumerate(sample_texts(data, offsets[a : b + 1], seeds[a:b], p, k), a):
+            found = sample_texts(data, offsets[a : b + 1], seeds[a:b], p, k)
+            nested = _nested([[s.ids for s in samples] for samples in found])
+            decoded = _decoded(nested.values.values.to_numpy(), _offsets(nested.values), *table)
+            back, bounds = decoded
+            rows, at = [], 0
+            for i, samples in enumerate(found, a):
                 text = data[offsets[i] : offsets[i + 1]]
-                same = all(np.array_equal(_bytes_of(s.ids, *table)[1:], text) for s in samples)
-                ids.append([s.ids for s in samples])
+                same = all(np.array_equal(back[bounds[j] + 1 : bounds[j + 1]], text) for j in range(at, at + len(samples)))
+                at += len(samples)
                 rows.append(
                     (
                         len(samples),
@@ -465,9 +508,9 @@ def encode(
                     )
                 )
             made = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _TYPES, strict=False)]
-            made.insert(_IDS_AT, nested := _nested(ids))
+            made.insert(_IDS_AT, nested)
             if with_texts:
-                made.append(_texts_of(nested, *table))
+                made.append(pa.ListArray.from_arrays(nested.offsets, _without_blank(*decoded)))
             yield [c.slice(a, b - a) for c in kept] + made
 
     return mapped(docs, keep, [F.xxhash64(key), F.col("text")], added, run)
@@ -531,7 +574,7 @@ def decode_samples(df: DataFrame, keep: Sequence[str], ids: str = "ids", texts:
 
     def run(kept: list[pa.Array], given: list[pa.Array]) -> Iterator[list[pa.Array]]:
         outer, inner = _offsets(given[0]), _offsets(given[0].values)
-        for a, b in T.groups(inner[outer], WALK_BYTES // 4):
+        for a, b in T.groups(inner[outer], WALK_BYTES // 2):
             yield [c.slice(a, b - a) for c in kept] + [_texts_of(given[0].slice(a, b - a), *held.value)]
 
     return mapped(df, keep, [col(ids).cast("array<array<int>>")], f"`{texts}` array<string>", run)
@@ -554,12 +597,21 @@ def _texts_of(rows: pa.Array, *table: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array((outer - outer[0]).astype(np.int32)), found, mask=rows.is_null())
 
 
-def _texts(ids: np.ndarray, steps: np.ndarray, sizes: np.ndarray, at: np.ndarray, flat: np.ndarray) -> pa.Array:
+def _texts(ids: np.ndarray, steps: np.ndarray, *table: np.ndarray) -> pa.Array:
     """The text of each sequence of ids, NULL where a number is no piece's."""
-    alien = (ids < 0) | (ids >= len(sizes))
-    ids = np.where(alien, 0, ids)
-    data = _bytes_of(ids, sizes, at, flat)
-    bounds = np.concatenate([[0], np.cumsum(sizes[ids])])[steps]
+    alien = (ids < 0) | (ids >= len(table[0]))
+    found = _without_blank(*_decoded(np.where(alien, 0, ids), steps, *table))
+    wrong = np.diff(np.concatenate([[0], np.cumsum(alien)])[steps]) > 0
+    return pc.if_else(pa.array(wrong), pa.scalar(None, pa.string()), found)
+
+
+def _decoded(ids: np.ndarray, steps: np.ndarray, sizes: np.ndarray, at: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all sequences, and where each begins and ends."""
+    return _bytes_of(ids, sizes, at, flat), np.concatenate([[0], np.cumsum(sizes[ids])])[steps]
+
+
+def _without_blank(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The sequences of bytes as texts, without one blank at the beginning of each."""
     led = np.flatnonzero(bounds[1:] > bounds[:-1])
     led = led[data[bounds[led]] == 32]
     stays = np.ones(len(data), bool)
@@ -569,8 +621,6 @@ def _texts(ids: np.ndarray, steps: np.ndarray, sizes: np.ndarray, at: np.ndarray
     ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
     raw = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(data[stays])])
     try:
-        found = raw.cast(pa.string())
+        return raw.cast(pa.string())
     except pa.ArrowInvalid:
-        found = pa.array([x.as_py().decode("utf-8", "replace") for x in raw], pa.string())
-    wrong = np.diff(np.concatenate([[0], np.cumsum(alien)])[steps]) > 0
-    return pc.if_else(pa.array(wrong), pa.scalar(None, pa.string()), found)
+        return pa.array([x.as_py().decode("utf-8", "replace") for x in raw], pa.string())
