@@ -117,3 +117,28 @@ def test_clean_counts_missing_cells_of_distinct_rows(rows):
         (1, 2),
         (3, 4),
     ]
+
+
+def test_align_column(rows):
+    df = rows("k int, a string, v int", (1, "x", 0), (2, "y", 0), (2, "z", 0), (3, "w", 0), (None, "n", 0), (5, "q", 0))
+    given = rows("k int, v int, b int", (1, 10, 0), (2, 20, 0), (3, None, 0), (4, 40, 0), (None, 9, 0), (5, 1, 0), (5, 2, 0))
+    parts = op.align_column(df, given, "v", "k")
+    assert parts.accepted.columns == ["k", "a", "v"]
+    assert values(parts.accepted) == values(rows("k int, a string, v int", (1, "x", 10), (3, "w", None)))
+    assert values(parts.rejected) == values(
+        rows(
+            "k int, a string, v int, motivo string",
+            (2, "y", None, "repeated"), (2, "z", None, "repeated"), (None, "n", None, "unmatched"),
+            (5, "q", None, "repeated"), (4, None, 40, "unused"), (None, None, 9, "unused"),
+        )
+    )
+    assert op.align_column(df.limit(0), given.limit(0), "v", "k").marked.count() == 0
+
+
+def test_aligned_refuses_what_does_not_fit(rows):
+    df, given = rows("k int, a int", (1, 1), (2, 2)), rows("k int, v int", (2, 20), (1, 10))
+    assert values(op.aligned(df, given, "v", "k")) == [(1, 1, 10), (2, 2, 20)]
+    with pytest.raises(ValueError, match="1 of 2 rows, the first unmatched"):
+        op.aligned(df, given.where("k = 1"), "v", "k")
+    with pytest.raises(ValueError, match="1 of 3 rows, the first unused"):
+        op.aligned(df, given.unionAll(rows("k int, v int", (7, 7))), "v", "k")

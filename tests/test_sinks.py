@@ -82,3 +82,25 @@ def test_json_array_files_are_bounded(spark, rows, tmp_path, batch):
     assert values(load(spark, f"{tmp_path}/a.json")) == values(df)
     write_json_arrays(df.limit(0), f"{tmp_path}/none")
     assert not any(f.stat().st_size for f in (tmp_path / "none").glob("part-*"))
+
+
+def test_guards_name_the_columns(rows, spark, tmp_path):
+    from tidefeed.operators import require_columns, require_numeric
+    from tidefeed.sinks import audit_outputs
+    from tidefeed.sources import audit_files
+
+    df = rows("id int, s string", (1, "a"))
+    with pytest.raises(ValueError, match=r"missing column\(s\): nada, mais"):
+        require_columns(df, "id", "nada", "mais")
+    with pytest.raises(ValueError, match="column s is not numeric"):
+        require_numeric(df, "s")
+    found = audit_outputs({"good": df, "bad": df.drop("id"), "none": df.limit(0)}, f"{tmp_path}/out", ["id"], ["id"])
+    assert sorted(map(tuple, found.collect())) == [("bad", None, None, "id", ""), ("good", 1, False, "", ""), ("none", 0, True, "", "")]
+    assert not (tmp_path / "out" / "bad").exists()
+    (tmp_path / "in").mkdir()
+    for name, text in (("a b.csv", "x\n1\n\n2\n"), ("c.csv", ""), ("d.csv", " \nx\n")):
+        (tmp_path / "in" / name).write_text(text)
+    audit = audit_files(spark, f"{tmp_path}/in").select("bytes", "header", "rows", "fault")
+    assert values(audit) == values(
+        rows("bytes long, header string, rows long, fault string", (7, "x", 2, None), (0, None, 0, "no header"), (4, "x", 0, "no rows"))
+    )

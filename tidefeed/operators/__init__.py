@@ -37,6 +37,8 @@ from tidefeed.operators.routing import (
 from tidefeed.operators.table import (
     Split,
     add_column,
+    align_column,
+    aligned,
     age_filter,
     append_rows,
     drop_keys,

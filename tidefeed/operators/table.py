@@ -177,6 +177,58 @@ def add_column(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, value)
 
 
+def align_column(df: DataFrame, values: DataFrame, name: str, *on: str) -> Split:
+    """Add the column ``name`` of another table, whose rows belong one to one to those of ``df`` by the key ``on``.
+
+    Rows that have no partner are set aside with all columns and the reason: ``unmatched`` where no value has
+    the key or the key is NULL, ``repeated`` where several rows or values have it, ``unused`` for a value without a
+    row, whose other columns are NULL. An existing column ``name`` is replaced. Repeated values collapse
+    to one row per key before they move, so a hot key costs one row; that of a hot key of ``df`` is told by a
+    count of its rows, which collapses likewise, and the rows themselves are joined in a shape that adaptive
+    execution can split.
+    """
+    require_columns(df, *on)
+    require_columns(values, name, *on)
+    keys = [f"__on{i}" for i in range(len(on))]
+
+    def keyed(rows: DataFrame, *more: Column) -> DataFrame:
+        return rows.select(*(col(c).alias(k) for c, k in zip(on, keys)), *more)
+
+    known = all_of(col(k).isNotNull() for k in keys)
+    given = keyed(values, col(name).alias("__value")).groupBy(*keys).agg(F.count("*").alias("__values"), F.first("__value").alias("__value"))
+    asked = keyed(df).where(known).groupBy(*keys).agg(F.count("*").alias("__rows"))
+    pairs = materialize(given.join(asked, keys, "full"), "aligned")[0]
+    reason = (
+        F.when(~known & F.col("__values").isNotNull(), "unused").when(F.col("__values").isNull(), "unmatched")
+        .when(F.col("__rows").isNull(), "unused").when((F.col("__values") > 1) | (F.col("__rows") > 1), "repeated")
+    )
+    pairs = pairs.withColumn("motivo", reason)
+    kept = [c for c in df.columns if c != name]
+    same = all_of(col(c) == F.col(k) for c, k in zip(on, keys))
+    met = df.join(pairs.where("__rows is not null"), same, "left")
+    one = F.col("motivo").isNull()
+    found = met.select(
+        *map(col, kept), F.when(one, F.col("__value")).alias(name),
+        F.when(F.col("__rows").isNull(), "unmatched").otherwise(F.col("motivo")).alias("motivo"),
+    )
+    held = dict(zip(on, keys))
+    blank = [(F.col(held[c]) if c in held else F.lit(None)).cast(type_of(df, c)).alias(c) for c in kept]
+    left = pairs.where("motivo = 'unused'").select(*blank, F.col("__value").alias(name), "motivo")
+    return Split(found.unionAll(left), (*kept, name), (*kept, name, "motivo"))
+
+
+def aligned(df: DataFrame, values: DataFrame, name: str, *on: str) -> DataFrame:
+    """``df`` with the column of ``align_column``; refused if any row or value has no partner.
+
+    The rows are counted while they are stored.
+    """
+    parts = align_column(df, values, name, *on)
+    stored, seen = materialize(parts.marked, "aligned", F.count("motivo").alias("refused"), F.first("motivo", ignorenulls=True).alias("why"))
+    if seen["refused"]:
+        raise ValueError(f"column {name} does not fit: {seen['refused']} of {seen['rows']} rows, the first {seen['why']}")
+    return stored.select(*map(col, parts.accepted_columns))
+
+
 def remove_column(df: DataFrame, name: str) -> DataFrame:
     """Drop a column; an absent one is no fault."""
     return df.drop(name)

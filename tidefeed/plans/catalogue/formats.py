@@ -5,8 +5,7 @@ from __future__ import annotations
 import os
 import sqlite3
 import uuid
-import warnings
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from pathlib import Path
 
 import pandas as pd
@@ -15,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefeed.operators import require_columns, require_numeric, typed_rows
+from tidefeed.operators import typed_rows
 from tidefeed.plans.catalogue.registry import query, table
 from tidefeed.sinks import (
     as_json,
+    audit_outputs,
     text_form,
     write_csv,
     write_json,
@@ -27,6 +27,7 @@ from tidefeed.sinks import (
 )
 from tidefeed.sources import (
     any_of,
+    audit_files,
     id_number_pairs,
     load,
     load_split,
@@ -250,37 +251,51 @@ def scan_json_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, f"{base}/*.json", part.schema)
 
 
+def _by_class(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Parts by size, a class that no part is in, one whose price is text and one that has none."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
+    size = F.col("p_size")
+    return {
+        "pequenas": part.where(size <= 10),
+        "medias": part.where((size > 10) & (size <= 30)),
+        "enormes": part.where(size > 1000),
+        "em_texto": part.where(size > 30).withColumn("p_retailprice", F.format_string("%.2f", "p_retailprice")),
+        "sem_preco": part.where(size > 30).drop("p_retailprice"),
+    }
+
+
 @query("""
-select 'empty file' caso, 'no header' resultado
-union all select 'header only', '0'
-union all select 'missing column', 'missing column(s): nada'
-union all select 'text column', 'column p_name is not numeric'
-union all select 'empty table', 'warned, 0'
+select 'pequenas' saida, count(*) linhas, count(*) = 0 vazia, '' ausentes, '' nao_numericas from part where p_size <= 10
+union all select 'medias', count(*), count(*) = 0, '', '' from part where p_size > 10 and p_size <= 30
+union all select 'enormes', count(*), count(*) = 0, '', '' from part where p_size > 1000
+union all select 'em_texto', null, null, '', 'p_retailprice'
+union all select 'sem_preco', null, null, 'p_retailprice', ''
 """)
-def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the guards on files, columns and empty outputs say, as rows."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    base = new_folder(spark, "guards")
-    part.select(F.lit("")).limit(0).write.text(f"{base}/empty.csv")
-    with warnings.catch_warnings(record=True) as said:
-        warnings.simplefilter("always")
-        written = write_csv(part.where("p_partkey < 0"), f"{base}/header.csv")
-    said_empty = any("is empty" in str(w.message) for w in said)
-
-    def outcome(action: Callable[[], object]) -> str:
-        try:
-            return str(action())
-        except ValueError as refused:
-            return str(refused).split(" in ")[0]
-
-    rows = [
-        ("empty file", outcome(lambda: load(spark, f"{base}/empty.csv"))),
-        ("header only", outcome(lambda: load(spark, f"{base}/header.csv", part.schema).count())),
-        ("missing column", outcome(lambda: require_columns(part, "nada"))),
-        ("text column", outcome(lambda: require_numeric(part, "p_name"))),
-        ("empty table", f"{'warned' if said_empty else 'silent'}, {written}"),
-    ]
-    return spark.createDataFrame(rows, "caso string, resultado string")
+def output_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of each output: rows, whether it is empty, and columns for which it was refused."""
+    base = new_folder(spark, "audited")
+    return audit_outputs(_by_class(spark, sf_dir), base, required=["p_partkey"], numeric=["p_retailprice"])
+
+
+@query("""
+select p_size tamanho, count(*) linhas, cast(null as varchar) falta from part where p_size % 5 <> 0 group by p_size
+union all select p_size, 0, 'no rows' from part where p_size % 10 = 0 group by p_size
+union all select p_size, 0, 'no header' from part where p_size % 10 = 5 group by p_size
+""")
+def file_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each size: with all its parts, with a header alone, or with blank lines alone."""
+    size, base = F.col("p_size"), new_folder(spark, "files")
+    header, row = F.lit("p_partkey,p_name"), F.concat(F.col("p_partkey").cast("string"), F.lit(","), F.col("p_name"))
+    text = (
+        F.when(size % 10 == 5, "\n \n")
+        .when(size % 10 == 0, F.concat(header, F.lit("\n")))
+        .otherwise(F.concat(header, F.lit("\n"), F.array_join("rows", "\n\n")))
+    )
+    files = table(spark, sf_dir, "part").groupBy("p_size").agg(F.collect_list(row).alias("rows"))
+    files.select("p_size", text.alias("value")).repartition("p_size").write.partitionBy("p_size").text(base)
+    found = audit_files(spark, f"{base}/*")
+    number = F.regexp_extract("file", "p_size=([0-9]+)", 1).cast("int").alias("tamanho")
+    return found.select(number, F.col("rows").alias("linhas"), F.col("fault").alias("falta"))
 
 
 def _uneven_lines(spark: SparkSession, sf_dir: str):

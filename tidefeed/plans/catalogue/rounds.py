@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,14 +12,15 @@ from pyspark.sql import types as T
 from tidefeed.plans import weekly
 from tidefeed.plans.catalogue import feeds
 from tidefeed.plans.catalogue.registry import query, rounded, table
-from tidefeed.plans.catalogue.routing import tagged
+from tidefeed.plans.catalogue.routing import tagged, union_of
 from tidefeed.schemas import FEEDS
-from tidefeed.storage import new_folder
+from tidefeed.storage import materialize, new_folder, remove
 from tidefeed.streaming import (
     accumulated,
     group_totals,
     last_round,
     pooled_stats,
+    run_timed,
     start_rounds,
     totals_so_far,
 )
@@ -110,16 +112,23 @@ select 'regressao', null, null, round(regr_intercept(a.t, coalesce(c.t, 0)), 6),
 from a left join c on a.id = c.id
 """)
 def weekly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five analyses of a run whose outputs were saved and loaded again, under common names."""
+    """The five analyses of a run whose outputs were saved and loaded again, under common names.
+
+    The saved outputs are removed once the analyses are stored.
+    """
     base = new_folder(spark, "weekly-saved")
-    weekly.run(
-        feeds.oms(spark, sf_dir),
-        feeds.secretaria(spark, sf_dir),
-        feeds.hospital(spark, sf_dir),
-        base,
-    )
-    parts = weekly.report(weekly.load_outputs(spark, base))
-    return reduce(DataFrame.unionByName, [_analysis(name, part) for name, part in parts.items()])
+    try:
+        weekly.run(
+            feeds.oms(spark, sf_dir),
+            feeds.secretaria(spark, sf_dir),
+            feeds.hospital(spark, sf_dir),
+            base,
+        )
+        parts = weekly.report(weekly.load_outputs(spark, base))
+        found = reduce(DataFrame.unionByName, [_analysis(name, part) for name, part in parts.items()])
+        return materialize(found, "report")[0]
+    finally:
+        remove(spark, base)
 
 
 def _analysis(name: str, part: DataFrame) -> DataFrame:
@@ -169,6 +178,36 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [_common(name, part) for name, part in outputs.items()])
 
 
+@query(f"""
+with oms as ({feeds.OMS_SQL}), hospital as ({feeds.HOSPITAL_SQL}), secretaria as ({feeds.SECRETARIA_SQL})
+select 1 rodada, 'oms' feed, count(*) registros, cast(sum(num_obitos) as bigint) total from oms
+union all select 1, 'hospital', count(*), cast(sum(internado) as bigint) from hospital
+union all select 1, 'secretaria', count(*), cast(sum(vacinado) as bigint) from secretaria
+union all select 2, 'oms', count(*), cast(sum(num_obitos) as bigint) from oms
+union all select 2, 'hospital', count(*), cast(sum(internado) as bigint) from hospital
+union all select 2, 'secretaria', count(*), cast(sum(vacinado) as bigint) from secretaria
+""")
+def stream_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run in an interval takes up a drop, is stopped after its round, and started again over a second drop."""
+    landing, base = new_folder(spark, "timed-landing"), new_folder(spark, "timed")
+    measures = {"oms": "num_obitos", "hospital": "internado", "secretaria": "vacinado"}
+
+    def totals(drops: Mapping[str, DataFrame], folder: str, number: int) -> None:
+        parts = [
+            drop.agg(F.count("*").alias("registros"), F.sum(measures[feed]).cast("long").alias("total")).withColumn("feed", F.lit(feed))
+            for feed, drop in drops.items()
+        ]
+        reduce(DataFrame.unionByName, parts).coalesce(1).write.mode("overwrite").parquet(f"{folder}/totais")
+
+    numbers = []
+    for _ in range(2):
+        union_of(tagged(spark, sf_dir)).write.mode("append").json(landing)
+        numbers.append(run_timed(spark, landing, base, totals, every="200 milliseconds", rounds=1))
+    layout = "registros long, total long, feed string"
+    rounds = [spark.read.schema(layout).parquet(f"{base}/rounds/round={n}/totais").withColumn("rodada", F.lit(i)) for i, n in enumerate(numbers, 1)]
+    return reduce(DataFrame.unionByName, rounds).select("rodada", "feed", "registros", "total")
+
+
 def _without_zeros(drop: DataFrame, feed: str) -> DataFrame:
     variant = F.col(f"linha_{feed}")
     fields = [

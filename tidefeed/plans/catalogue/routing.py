@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefeed.operators import allow_list, by_origin, check_union, listed_fields, split_union
+from tidefeed.operators.routing import write_by_origin
 from tidefeed.plans.catalogue import feeds
 from tidefeed.plans.catalogue.registry import query, table
+from tidefeed.sinks import write_outputs
+from tidefeed.storage import new_folder
 
 # What the file of an event is called: some names hold two origins, one holds none.
 FILE_NAMES = {
@@ -53,6 +56,23 @@ def route_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_origin(_with_files(spark, sf_dir), F.col("arquivo")).rejected
 
 
+@query("""
+select event_id, value, case event_type when 'click' then 'hospital' when 'view' then 'oms'
+  when 'signup' then 'oms' when 'purchase' then 'secretaria' end origem
+from events where event_type <> 'error'
+""")
+def route_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events land in outputs of these names, are routed by where each row lies, and are written by origin in one pass."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    base = new_folder(spark, "landed")
+    drops = {name: events.where(F.col("event_type") == kind).drop("event_type") for kind, name in FILE_NAMES.items()}
+    write_outputs(drops, f"{base}/in")
+    landed = spark.read.schema("event_id long, value double").option("header", True).csv(f"{base}/in/*")
+    folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
+    write_by_origin(by_origin(landed, folder).accepted, f"{base}/out")
+    return spark.read.schema("event_id long, value double, origem string").parquet(f"{base}/out")
+
+
 @query("""
 select event_id, case event_type when 'click' then 'hospital' when 'view' then 'oms'
   when 'purchase' then 'secretaria' end origem

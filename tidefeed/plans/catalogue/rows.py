@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidefeed.functions import island_code, norm_key, null_tokens
 from tidefeed.operators import (
     add_column,
+    align_column,
+    aligned,
     age_filter,
     append_rows,
     drop_keys,
@@ -64,6 +66,45 @@ def with_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_column(table(spark, sf_dir, "lineitem"), "valor", revenue)
 
 
+def _values_for_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders, and an outside value for each: none for some, two for others, and some for orders there are not."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    value = (F.col("o_totalprice") * 2).alias("dobro")
+    values = orders.where("o_orderkey % 11 <> 0").select("o_orderkey", value)
+    twice = orders.where("o_orderkey % 13 = 0").select("o_orderkey", value)
+    beyond = table(spark, sf_dir, "customer").select((-1 - F.col("c_custkey")).alias("o_orderkey"), F.col("c_acctbal").alias("dobro"))
+    return orders, values.unionAll(twice).unionAll(beyond)
+
+
+@query("""
+select o_orderkey, o_totalprice, o_totalprice * 2 dobro from orders
+where (o_orderkey % 11 = 0) = (o_orderkey % 13 = 0)
+""")
+def align_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, values = _values_for_orders(spark, sf_dir)
+    return align_column(orders, values, "dobro", "o_orderkey").accepted
+
+
+@query("""
+select o_orderkey, o_totalprice, cast(null as double) dobro,
+       case when o_orderkey % 11 = 0 and o_orderkey % 13 <> 0 then 'unmatched' when o_orderkey % 11 <> 0 then 'repeated' end motivo
+from orders where (o_orderkey % 11 = 0) <> (o_orderkey % 13 = 0)
+union all
+select -1 - c_custkey, null, c_acctbal, 'unused' from customer
+""")
+def align_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders without a value or with two, and values without an order."""
+    orders, values = _values_for_orders(spark, sf_dir)
+    return align_column(orders, values, "dobro", "o_orderkey").rejected
+
+
+@query("select s_suppkey, s_name, s_nationkey, s_acctbal, s_acctbal / 2 metade from supplier")
+def align_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that fits row for row is added; one that does not would be refused."""
+    supplier = table(spark, sf_dir, "supplier")
+    return aligned(supplier, supplier.select("s_suppkey", (F.col("s_acctbal") / 2).alias("metade")), "metade", "s_suppkey")
+
+
 @query("""
 select c_custkey k, c_name nome, c_acctbal saldo from customer
 union all

@@ -1,5 +1,6 @@
 from tidefeed.sinks.files import (
     as_json,
+    audit_outputs,
     text_form,
     write_csv,
     write_json,
@@ -9,6 +10,7 @@ from tidefeed.sinks.files import (
 
 __all__ = [
     "as_json",
+    "audit_outputs",
     "text_form",
     "write_csv",
     "write_json",

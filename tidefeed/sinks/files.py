@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 import warnings
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidefeed.functions import as_text, col
 from tidefeed.storage import run_together
@@ -86,6 +87,28 @@ def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_AR
     lines.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).text(path)
 
 
+def audit_outputs(
+    outputs: Mapping[str, DataFrame], base: str, required: Sequence[str] = (), numeric: Sequence[str] = ()
+) -> DataFrame:
+    """Write each named table that has what is asked of it, and say what became of each.
+
+    One row per table: ``saida``, ``linhas`` as counted while they were written, ``vazia``, and the columns for which it was
+    refused, comma-joined: ``ausentes`` of those that are ``required`` or ``numeric``, ``nao_numericas`` of the latter. A refused
+    table is not written and has NULL for ``linhas`` and ``vazia``.
+    """
+    faults = {}
+    for name, df in outputs.items():
+        missing = [c for c in dict.fromkeys([*required, *numeric]) if c not in df.columns]
+        words = [c for c in numeric if c in df.columns and not isinstance(df.schema[c].dataType, T.NumericType)]
+        faults[name] = ",".join(missing), ",".join(words)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # the row says that a table is empty
+        rows = write_outputs({n: df for n, df in outputs.items() if not any(faults[n])}, base)
+    found = [(n, rows.get(n), None if n not in rows else rows[n] == 0, *faults[n]) for n in outputs]
+    spark = next(iter(outputs.values())).sparkSession
+    return spark.createDataFrame(found, "saida string, linhas long, vazia boolean, ausentes string, nao_numericas string")
+
+
 def write_outputs(outputs: Mapping[str, DataFrame], base: str) -> dict[str, int]:
     """Write each named table to its own folder below ``base``; gives the number of rows of each."""
     jobs = [

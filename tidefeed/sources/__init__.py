@@ -1,6 +1,7 @@
 from tidefeed.sources.database import read_database, read_jdbc_table
 from tidefeed.sources.files import (
     any_of,
+    audit_files,
     id_number_pairs,
     load,
     load_split,
@@ -10,6 +11,7 @@ from tidefeed.sources.files import (
 
 __all__ = [
     "any_of",
+    "audit_files",
     "id_number_pairs",
     "load",
     "load_split",

@@ -8,6 +8,7 @@ converted only the selected ones.
 from __future__ import annotations
 
 import csv
+import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import replace
@@ -175,6 +176,21 @@ def first_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return found.groupBy(F.col("file_path").alias("file")).agg(F.min_by("value", "file_block_start").alias("line"))
 
 
+def audit_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file of delimited text: ``file`` (in URL form), ``bytes``, ``header``, ``rows`` (lines that are neither
+    blank nor the header) and ``fault``: ``no header`` where no line is filled, ``no rows`` where only one is."""
+    # Readers skip files of no bytes. The list has local paths with an empty authority, the metadata without.
+    names = [re.sub("^file:///", "file:/", f) for f in spark.read.text(path).inputFiles()]
+    listed = spark.createDataFrame([(f,) for f in names], "file string")
+    filled = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
+    sizes = listed.join(filled, "file", "left").withColumn("bytes", F.coalesce("bytes", F.lit(0)).cast("long"))
+    rows = _body_lines(spark, path).groupBy("file").agg(F.count("*").alias("rows"))
+    headers = first_lines(spark, path).withColumnRenamed("line", "header")
+    found = sizes.join(headers, "file", "left").join(rows, "file", "left").withColumn("rows", F.coalesce("rows", F.lit(0)).cast("long"))
+    fault = F.when(F.col("header").isNull(), "no header").when(F.col("rows") == 0, "no rows")
+    return found.withColumn("fault", fault)
+
+
 def _files_by_header(spark: SparkSession, path: str, separator: str) -> dict[tuple[str, ...], list[str]]:
     """The files of a path, in URL form, by the names in their first lines; files without a line are left out."""
     out: dict[tuple[str, ...], list[str]] = {}

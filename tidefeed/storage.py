@@ -51,10 +51,21 @@ def run_folder(spark: SparkSession, label: str) -> Iterator[str]:
         remove(spark, folder)
 
 
+def _placed(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever storage it lies, if it is there."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    place, files = _placed(spark, path)
+    files.delete(place, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on whatever storage."""
+    place, files = _placed(spark, path)
+    return files.exists(place)
 
 
 def materialize(

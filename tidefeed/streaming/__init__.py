@@ -8,6 +8,7 @@ from tidefeed.streaming.rounds import (
     accumulating_round,
     last_round,
     round_output,
+    run_timed,
     start_rounds,
     weekly_round,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "last_round",
     "pooled_stats",
     "round_output",
+    "run_timed",
     "start_rounds",
     "totals_so_far",
     "weekly_round",

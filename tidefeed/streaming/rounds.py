@@ -15,9 +15,10 @@ with the batches.
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +29,7 @@ from tidefeed.operators.routing import filled_numbers, union_fault
 from tidefeed.plans import weekly
 from tidefeed.schemas import FEEDS, TAGGED_UNION
 from tidefeed.sinks import write_outputs
-from tidefeed.storage import remove
+from tidefeed.storage import exists, remove
 from tidefeed.streaming.accumulate import accumulated
 
 REFUSED = "recusado"
@@ -77,12 +78,13 @@ def start_rounds(
     every: str | None = None,
     files_per_batch: int | None = None,
     file_format: str = "json",
+    recorded: Callable[[int], object] | None = None,
 ) -> StreamingQuery:
     """Follow a landing folder of tagged records and run ``job`` for each complete set of feeds.
 
     With ``every`` (say ``"10 minutes"``) the folder is looked at in that interval until the query is
     stopped; a look that finds nothing runs nothing. Without it the files that are there are worked off
-    and the query ends.
+    and the query ends. ``recorded`` is called with the number of each round once it is recorded.
     """
     base = base.rstrip("/")
     drops = spark.readStream.schema(DROP).format(file_format)
@@ -91,14 +93,41 @@ def start_rounds(
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         drops.load(landing)
-        .writeStream.foreachBatch(lambda batch, number: _take(batch, number, base, job))
+        .writeStream.foreachBatch(lambda batch, number: _take(batch, number, base, job, recorded))
         .option("checkpointLocation", f"{base}/checkpoint")
         .trigger(**trigger)
         .start()
     )
 
 
-def _take(batch: DataFrame, number: int, base: str, job: RoundJob) -> None:
+def run_timed(
+    spark: SparkSession, landing: str, base: str, job: RoundJob = weekly_round, *, every: str, rounds: int, wait: float = 600, **reading
+) -> int:
+    """Look at the landing folder in an interval until ``rounds`` more rounds are recorded, then stop the query.
+
+    Gives the number of the last round. The query is stopped between two looks, so no round is cut off. An
+    error of the query is raised, and so is it when the rounds have not come after ``wait`` seconds.
+    """
+    base = base.rstrip("/")
+    recorded = threading.Semaphore(0)
+    query = start_rounds(spark, landing, base, job, every=every, recorded=lambda number: recorded.release(), **reading)
+    try:
+        until = time.monotonic() + wait
+        for _ in range(rounds):
+            while not recorded.acquire(timeout=0.2):
+                if not query.isActive:
+                    query.awaitTermination()  # raises what ended it
+                    raise RuntimeError("the query was stopped by someone else")
+                if time.monotonic() > until:
+                    raise TimeoutError(f"fewer than {rounds} rounds in {wait} seconds")
+        while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+            time.sleep(0.05)
+    finally:
+        query.stop()
+    return last_round(spark, base)
+
+
+def _take(batch: DataFrame, number: int, base: str, job: RoundJob, recorded: Callable[[int], object] | None) -> None:
     spark = batch.sparkSession
     previous = last_round(spark, base)
     if previous is not None and previous >= number:
@@ -114,6 +143,8 @@ def _take(batch: DataFrame, number: int, base: str, job: RoundJob) -> None:
         for feed in FEEDS:  # refused records stay
             remove(spark, f"{base}/staging/batch_id={k}/destino={feed}")
         remove(spark, f"{base}/batches/batch_id={k}")
+    if recorded:
+        recorded(number)
 
 
 def _stage(batch: DataFrame, number: int, first: int, base: str) -> dict[str, int]:
@@ -155,12 +186,9 @@ def _feeds(spark: SparkSession, first: int, last: int, base: str) -> dict[str, D
 
 def last_round(spark: SparkSession, base: str) -> int | None:
     """The number of the last complete round, which is that of the batch that completed it."""
-    try:
-        done = spark.read.schema(_DONE).parquet(f"{base}/rounds_done")
-    except AnalysisException as nothing_yet:
-        if nothing_yet.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    if not exists(spark, f"{base}/rounds_done"):
+        return None
+    done = spark.read.schema(_DONE).parquet(f"{base}/rounds_done")
     return done.agg(F.max("round")).first()[0]
 
 
