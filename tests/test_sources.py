@@ -371,3 +371,48 @@ def test_lines_of_foreign_files_by_their_own_header(spark, tmp_path):
     assert values(parts.rejected) == sorted(
         [("arity", "1,2,3"), ("arity", "1,2"), ("header", '1,"2,3"'), ("arity", "1,2,3"), ("quote", '1,"2')]
     )
+
+
+@pytest.mark.parametrize("split", ["128m", "50"])
+def test_array_files_are_read_in_parts(spark, put, tmp_path, split):
+    from tidefeed.sources import read_json
+
+    hard = [
+        {"id": 1, "v": "x"}, {"id": 2, "v": "} , { [ \\ \" } ]"}, {"id": 3, "v": {"k": [{"a": "}"}, {}]}}, {}, {"id": 4, "v": "é\n{"},
+        {"v": "\\\\", "id": 5}, {"id": "bad", "v": None}, {"id": 6, "v": [[], [{"z": {"y": {}}}], "\\\""]},
+    ]
+    put("a.json", "\ufeff " + json.dumps(hard, ensure_ascii=False, indent=1) + "\n")
+    put("b.json", json.dumps([{"id": i, "v": {"n": [i] * (i % 7)}} for i in range(100, 400)]))
+    for name, text in (("c", "[ ]"), ("d", ""), ("e", '[{"id": 7}'), ("f", '{"id": 8}\n{"id": 9}'), ("g", '[{"id":1} {"id":2}]'), ("h", '[1, {"id":1}]')):
+        put(f"{name}.json", text)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        parts = read_json(spark, f"{tmp_path}/*.json", PAIR, whole_bytes=0)
+        got = {r.id: r.v for r in parts.accepted.collect()}
+        bad = sorted(r.registro for r in parts.rejected.where("motivo = 'json'").collect())
+        types = parts.rejected.where("motivo <> 'json'").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert got.pop(None) is None and len(types) == 1 and types[0].motivo == "type:id"
+    want = {h["id"]: h["v"] for h in hard if isinstance(h.get("id"), int)} | {i: {"n": [i] * (i % 7)} for i in range(100, 400)}
+    assert {i: v if isinstance(want[i], str) else json.loads(v) for i, v in got.items()} == want
+    assert "".join(sorted(bad)) == "".join(sorted(['[{"id": 7}', '{"id": 8}', '\n{"id": 9}', '[{"id":1}', ' {"id":2}', "]", '[1, {"id":1}', "]"]))
+
+
+def test_one_array_file_is_read_by_several_tasks_and_as_whole_texts_alike(spark, tmp_path):
+    from tidefeed.sources import read_json
+
+    (tmp_path / "one.json").write_text(json.dumps([{"id": i, "v": f"row {i}"} for i in range(5000)]))
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        from tidefeed.sources.files import array_objects
+
+        pieces = spark.read.option("lineSep", "}").text(str(tmp_path))
+        assert pieces.rdd.getNumPartitions() > 5
+        assert array_objects(spark, str(tmp_path)).where("not broken").count() == 5000
+        split = read_json(spark, str(tmp_path / "one.json"), PAIR, whole_bytes=1000).accepted
+        assert values(split) == values(read_json(spark, str(tmp_path / "one.json"), PAIR).accepted)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)

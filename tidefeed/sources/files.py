@@ -29,6 +29,9 @@ DATABASE_SUFFIXES = ("sqlite", "db")
 JSON_SUFFIX = "json"
 JSON_LINES_SUFFIX = "jsonl"
 
+#: Array files up to this size are read by one task each.
+WHOLE_ARRAY_BYTES = 64 * 1024 * 1024
+
 _CORRUPT = "_corrupt_record"
 _READ = "__read"
 _OPENS_ARRAY = r"^[\s\x{FEFF}]*\["
@@ -228,8 +231,9 @@ def _body_lines(spark: SparkSession, files: str | list[str]) -> DataFrame:
     return _placed(whole.csv(files), F.coalesce(_CORRUPT, "value"))
 
 
-def _placed(lines: DataFrame, line: Column) -> DataFrame:
+def _placed(lines: DataFrame, line: Column, *more: Column) -> DataFrame:
     return lines.select(
+        *more,
         line.alias("line"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -325,14 +329,16 @@ def read_json(
     schema: T.StructType | None = None,
     lines: bool = False,
     sampling_ratio: float = 1.0,
+    *,
+    whole_bytes: int = WHOLE_ARRAY_BYTES,
 ) -> Split:
     """Files that each hold one array of objects, or (``lines``) one object per line.
 
-    A file that is no array is set aside as one row. A file is read as one text, so it must be below 2 GB.
+    Array files up to ``whole_bytes`` are read as one text each; one that is no array is set aside as one row. Larger ones,
+    of any size, are read by many tasks (``array_objects``) and set aside piece by piece.
 
     The columns are the keys of the first object, in name order. Nested values and booleans stay JSON
-    text. One array file is read by one task, so large inputs should be landed as lines or as many
-    files, and read with a schema.
+    text. Without a schema the types are inferred by one task per array file.
     """
     if schema is None:
         schema = _json_schema(spark, path, lines, sampling_ratio)
@@ -340,8 +346,8 @@ def read_json(
         left = spark.read.text(path) if lines else _array_files(spark, path)
         left = left.where(F.col("value").rlike(r"\S") & ~F.col("value").rlike(_EMPTY_ARRAY))
         return record_split(left, [], F.lit("json"), F.col("value"), F.lit(False))
-    read = _json_lines if lines else _json_arrays
-    return _typed(read(spark, path, schema), schema, "json")
+    raw = _json_lines(spark, path, schema) if lines else _json_arrays(spark, path, schema, whole_bytes)
+    return _typed(raw, schema, "json")
 
 
 def _json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -349,10 +355,20 @@ def _json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return reader.schema(_all_text(schema)).json(path)
 
 
-def _json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Objects of array files, their fields as text.
+def _json_arrays(spark: SparkSession, path: str, schema: T.StructType, whole_bytes: int) -> DataFrame:
+    """Objects of array files, their fields as text: of files up to ``whole_bytes`` as one text each, of larger ones by
+    tasks that each take a part of a file."""
+    sizes = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+    if sizes <= whole_bytes:
+        return _objects_of_texts(_array_files(spark, path), schema)
+    small = _array_files(spark, path).where(F.col("_metadata.file_size") <= whole_bytes)
+    return _objects_of_texts(small, schema).unionByName(_objects_of_parts(array_objects(spark, path, whole_bytes), schema))
+
 
-    The files are parsed as values and not by the multi-line reader, which goes back to the file for
+def _objects_of_texts(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    """The objects of arrays, each the text of a file.
+
+    They are parsed as values and not by the multi-line reader, which goes back to the file for
     the text of every single number.
     """
     layout = T.ArrayType(_all_text(schema))
@@ -363,10 +379,92 @@ def _json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     # outer form of the generator keeps the optimizer from adding a check that there are objects.
     listed = F.when(F.col("value").rlike(_OPENS_ARRAY), F.from_json("value", layout))
     objects = F.coalesce(listed, broken).alias("objects")
-    filled = _array_files(spark, path).where(~F.col("value").rlike(_EMPTY_ARRAY))
+    filled = texts.where(~F.col("value").rlike(_EMPTY_ARRAY))
     return filled.select(objects).select(F.inline_outer("objects"))
 
 
+def _objects_of_parts(objects: DataFrame, schema: T.StructType) -> DataFrame:
+    """The fields of each object of ``array_objects``; what is none comes as the corrupt record."""
+    parsed = F.from_json("value", _all_text(schema), {"columnNameOfCorruptRecord": _CORRUPT})
+    rows = objects.select("value", "broken", F.inline(F.array(F.when(~F.col("broken"), parsed))))
+    return rows.withColumn(_CORRUPT, F.when(F.col("broken"), F.col("value")).otherwise(F.col(_CORRUPT))).drop("value", "broken")
+
+
+def _count(text: Column, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+
+def array_objects(spark: SparkSession, path: str, above: int = 0) -> DataFrame:
+    """``value``, ``broken``: the objects of arrays in files of more than ``above`` bytes, each file read by many tasks.
+
+    Files are read as pieces that end in a closing brace, from any place on. Whether a piece begins inside a text depends
+    on the quotes before it, and how many objects are open there on the braces outside texts; both are summed per
+    block of the file first, for either way that the block may begin, so that no task reads more of a file than a
+    block. A piece with no object open at its ends is an object; the pieces of others are brought together.
+
+    A file that is not one array of objects, with commas between them, has its pieces come out as ``broken``.
+    """
+    pieces = spark.read.option("lineSep", "}").text(path).where(F.col("_metadata.file_size") > above)
+    pieces = _placed(pieces, F.col("value"), F.col("_metadata.file_size").alias("size")).withColumnRenamed("line", "text")
+    plain = F.regexp_replace("text", r"(?s)\\.", "")
+    outside = [F.regexp_replace(x, r'"[^"]*("|\z)', "") for x in (plain, F.concat(F.lit('"'), plain))]
+    pieces = pieces.withColumns({"quotes": _count(plain, '"') % 2, "opens0": _count(outside[0], "{"), "opens1": _count(outside[1], "{")})
+    so_far = Window.partitionBy("file", "block").orderBy("at")
+    above_here = so_far.rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("odd", F.coalesce(F.sum("quotes").over(above_here), F.lit(0)) % 2)
+
+    def change(begun: int) -> Column:
+        """How many more objects are open after a piece, if its block begins inside a text or not."""
+        inside = (F.col("odd") + begun) % 2
+        return F.when(inside == 0, F.col("opens0")).otherwise(F.col("opens1")) - F.when((inside + F.col("quotes")) % 2 == 0, 1).otherwise(0)
+
+    pieces = pieces.withColumns({"change0": change(0), "change1": change(1)})
+    before = [F.coalesce(F.sum(f"change{b}").over(above_here), F.lit(0)) for b in (0, 1)]
+    pieces = pieces.withColumns({"before0": before[0], "before1": before[1]})
+    blocks = pieces.groupBy("file", "block").agg(
+        (F.sum("quotes") % 2).alias("turns"), F.sum("change0").alias("sum0"), F.sum("change1").alias("sum1"),
+        F.min("at").alias("first"), F.max("at").alias("last"), F.sum(F.octet_length("text") + 1).alias("bytes"),
+        F.max("size").alias("size"),
+    )
+    in_file = Window.partitionBy("file").orderBy("block")
+    earlier, all_of_file = in_file.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("file")
+    blocks = blocks.withColumn("begun", F.coalesce(F.sum("turns").over(earlier), F.lit(0)) % 2)
+    total = F.when(F.col("begun") == 0, F.col("sum0")).otherwise(F.col("sum1"))
+    blocks = blocks.withColumns(
+        {
+            "entered": F.coalesce(F.sum(total).over(earlier), F.lit(0)),
+            "head": F.min(F.struct("block", F.col("first").alias("at"))).over(all_of_file),
+            "tail": F.max(F.struct("block", F.col("last").alias("at"))).over(all_of_file),
+            "ended": F.sum("bytes").over(all_of_file) == F.col("size"),  # the last piece, too, by a brace
+        }
+    )
+    pieces = pieces.drop("size").join(blocks.select("file", "block", "begun", "entered", "head", "tail", "ended"), ["file", "block"])
+    begun, place = F.col("begun"), F.struct("block", "at")
+    depth = F.col("entered") + F.when(begun == 0, F.col("before0")).otherwise(F.col("before1"))
+    after = depth + F.when(begun == 0, F.col("change0")).otherwise(F.col("change1"))
+    is_head, is_tail = place == F.col("head"), place == F.col("tail")
+    lead = F.when(is_head, r"^[\s\x{FEFF}]*\[\s*\{").otherwise(r"^\s*,\s*\{")
+    fits = F.when(is_tail & is_head, F.col("text").rlike(_EMPTY_ARRAY)).when(is_tail, F.col("text").rlike(r"^\s*\]\s*\z"))
+    fits = fits.otherwise(F.regexp_like("text", lead)) & ((F.col("odd") + begun) % 2 == 0)
+    pieces = pieces.withColumns({"depth": depth, "after": after, "is_tail": is_tail})
+    pieces = pieces.withColumn("fits", F.when(F.col("depth") == 0, fits).otherwise((F.col("depth") > 0) & ~F.col("is_tail")))
+    starts = F.when(F.col("depth") == 0, F.struct("block", "at"))
+    summed = pieces.groupBy("file", "block").agg(F.min("fits").alias("fits"), F.max(starts).alias("start"))
+    summed = summed.withColumns(
+        {"whole": F.min("fits").over(all_of_file), "open": F.last("start", ignorenulls=True).over(earlier)}
+    )
+    pieces = pieces.drop("fits").join(summed.select("file", "block", "whole", "open"), ["file", "block"])
+    broken = pieces.where(~F.col("whole")).select(F.concat("text", F.when(F.col("is_tail") & ~F.col("ended"), "").otherwise("}")).alias("value"))
+    pieces = pieces.where(F.col("whole") & ~F.col("is_tail"))
+    piece = F.concat(F.when(F.col("depth") == 0, F.regexp_replace("text", r"^[\s\x{FEFF}\[,]*", "")).otherwise(F.col("text")), F.lit("}"))
+    alone = (F.col("depth") == 0) & (F.col("after") == 0)
+    key = F.coalesce(F.last(starts, ignorenulls=True).over(so_far), "open")
+    parts = pieces.withColumns({"object": key, "piece": piece}).where(~alone)
+    joined = parts.groupBy("file", "object").agg(F.sort_array(F.collect_list(F.struct("block", "at", "piece"))).alias("p"))
+    objects = pieces.where(alone).select(piece.alias("value")).unionAll(joined.select(F.array_join("p.piece", "").alias("value")))
+    return objects.withColumn("broken", F.lit(False)).unionAll(broken.withColumn("broken", F.lit(True)))
+
+
 def _array_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).where(F.col("value").rlike(r"\S"))
 
