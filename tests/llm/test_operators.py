@@ -635,6 +635,22 @@ def test_mined_rules_against_enumeration(rows, share):
     assert {r.url: r.confidence for r in urlrules.matches(urls, mined).collect()} == pytest.approx(best)
 
 
+def test_tokens_that_always_come_together_are_mined_as_one(rows):
+    args = "&".join(f"utm{i}=1" for i in range(40))
+    pages = [(f"http://s{i}.io/buy?{args}", i % 4 > 0) for i in range(40)] + [(f"http://t{i}.io/buy?q", False) for i in range(900)]
+    mined = urlrules.mine(rows("url string, bad boolean", *pages))
+    assert sorted((r.rule, r.rarest, r.confidence) for r in mined.collect()) == sorted(([f"q:utm{i}"], f"q:utm{i}", 0.75) for i in range(40))
+    urls = rows("url string", ("http://a.org/?utm7",), ("http://a.org/buy",))
+    assert [r.url for r in urlrules.matches(urls, mined).collect()] == ["http://a.org/?utm7"]
+
+
+def test_a_rule_is_filed_under_its_rarest_token(rows):
+    bad = [(f"http://{h}{i}.x.com/a/b", True) for i in range(20) for h in "pq"]
+    good = [(f"http://p{i}.x.com/a", False) for i in range(200)] + [(f"http://p{i}.x.com/b", False) for i in range(90)]
+    mined = urlrules.mine(rows("url string, bad boolean", *bad, *good), min_support=0.05, min_confidence=0.9)
+    assert [(r.rule, r.rarest) for r in mined.collect()] == [(["p:a", "p:b"], "p:b")]
+
+
 def test_url_rules(rows):
     bad = [f"http://x{i}.spam.org/buy/{i}?ref=1" for i in range(30)]
     good = [f"http://y{i}.fine.org/read/{i}?ref=1" for i in range(70)] + [f"http://z.org/buy/{i}?ref=1" for i in range(20)]

@@ -4,12 +4,18 @@ Spark's FP-growth mines combinations of URL tokens (labels of the host, path seg
 names of query arguments) that occur with a bad label. A mined rule says: a URL with all these tokens is
 bad. Rules are pruned by support and confidence, and a rule is dropped if without one of its
 tokens it is a rule as well.
-They are matched by an inverted index: each rule is filed under one of its tokens, a URL looks up its
+
+Before that, tokens that too few bad pages hold are left out, as no rule can have them, and tokens that always
+occur together are mined as one: mining takes time by the number of combinations, and a dozen arguments that
+trackers always add would make thousands. Of such tokens each stands in a rule of its own afterwards.
+
+Rules are matched by an inverted index: each rule is filed under its rarest token, a URL looks up its
 own tokens, and only the rules found there are compared. All of it is DataFrame work.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -18,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefeed.llm.sharing import checked, stored
+from tidefeed.storage import materialize
 
 BAD = "=bad"
 
@@ -90,18 +97,24 @@ def mine(
     min_support: float = 0.002,
     min_confidence: float = 0.5,
 ) -> DataFrame:
-    """Rules ``rule`` (sorted tokens), ``confidence``, ``support`` that imply a bad page.
+    """Rules ``rule`` (sorted tokens, ``rarest`` the one that fewest pages have), ``confidence``, ``support`` that imply a bad page.
 
     ``labelled`` has a URL and a boolean; rows with NULL in either are left out. Every row counts.
     A rule whose tokens but one form a rule is dropped, as the shorter one matches wherever it does.
     """
-    items = (
+    baskets = (
         labelled.where(F.col(url).isNotNull() & F.col(bad).isNotNull())
-        .select(url_tokens(F.col(url)).alias("items"), F.col(bad).alias("is_bad"))
-        .select(F.when(F.col("is_bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items"))
-        .where(F.size("items") > 0)
+        .select(F.monotonically_increasing_id().alias("page"), url_tokens(F.col(url)).alias("items"), F.col(bad).alias("is_bad"))
+        .where((F.size("items") > 0) | F.col("is_bad"))
     )
-    items = stored(items, "baskets")
+    baskets, seen = materialize(baskets, "baskets")
+    least = math.ceil(min_support * seen["rows"])
+    tokens = checked(_tokens(baskets, least), "tokens", F.octet_length("token") + F.octet_length("stands") + 24)
+    bad_item = F.when(F.col("is_bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
+    held = baskets.select("page", F.explode("items").alias("token")).join(tokens, "token")
+    held = held.groupBy("page").agg(F.collect_set("stands").alias("held"))
+    items = baskets.join(held, "page", "left").select(F.concat(F.coalesce("held", F.array().cast("array<string>")), bad_item).alias("items"))
+    items = stored(items, "items")
     found = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     rules = stored(
         found.associationRules.where(F.col("consequent")[0] == BAD)
@@ -111,7 +124,33 @@ def mine(
     part = F.explode(F.filter(_parts(F.col("rule")), lambda x: F.size(x) > 0)).alias("part")
     shorter = rules.select(F.col("rule").alias("part"))
     covered = rules.select("rule", part).join(shorter, "part").select("rule").distinct()
-    return rules.join(covered, "rule", "left_anti")
+    return _each_token(rules.join(covered, "rule", "left_anti"), tokens)
+
+
+def _tokens(baskets: DataFrame, least: int) -> DataFrame:
+    """``token``, ``stands``, ``n``: the tokens of ``least`` bad pages or more, how many pages have each, and the first of those
+    that the very same pages have. Which pages, is told by their number and two sums of hashes."""
+    pages = baskets.select("page", "is_bad", F.explode("items").alias("token"))
+    sums = [F.sum(F.xxhash64(F.lit(i), "page").cast("decimal(20,0)")).alias(f"pages{i}") for i in (1, 2)]
+    counted = pages.groupBy("token").agg(F.count("*").alias("n"), F.count_if("is_bad").alias("n_bad"), *sums)
+    counted = counted.where(F.col("n_bad") >= least)
+    same = ["n", "pages1", "pages2"]
+    return counted.join(counted.groupBy(*same).agg(F.min("token").alias("stands")), same).select("token", "stands", "n")
+
+
+def _each_token(rules: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The rules with each choice of tokens for those that stand for several, and the rarest token of each."""
+    alike = tokens.groupBy("stands").agg(F.collect_list("token").alias("tokens"), F.max("n").alias("n"))
+    places = rules.select("rule", "confidence", "support", F.explode("rule").alias("stands")).join(alike, "stands")
+    choice = F.struct("n", "tokens")
+    whole = places.groupBy("rule", "confidence", "support").agg(F.array_sort(F.collect_list(choice)).alias("places"))
+    none = F.array(F.array().cast("array<string>"))
+
+    def longer(made: Column, place: Column) -> Column:
+        return F.flatten(F.transform(made, lambda r: F.transform(place["tokens"], lambda t: F.array_append(r, t))))
+
+    each = whole.select(F.explode(F.aggregate("places", none, longer)).alias("chosen"), "confidence", "support")
+    return each.select(F.array_sort("chosen").alias("rule"), "confidence", "support", F.col("chosen")[0].alias("rarest"))
 
 
 def _parts(rule: Column) -> Column:
@@ -122,7 +161,7 @@ def _parts(rule: Column) -> Column:
 def matches(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """Distinct URLs that a rule matches, with the best ``confidence``; through an index by token."""
     index = checked(
-        rules.select(F.col("rule")[0].alias("token"), "rule", "confidence"),
+        rules.select(F.col("rarest").alias("token"), "rule", "confidence"),
         "rule-index",
         F.lit(64) + F.octet_length(F.to_json("rule")),
     )
