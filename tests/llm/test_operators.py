@@ -541,6 +541,14 @@ def test_crc_part(spark):
     assert all(r.p == zlib.crc32(str(r.id).encode()) % 5 for r in found)
 
 
+def test_more_languages_than_any_fixed_number(rows):
+    """All languages have a row in the sample as long as it has room; beyond that the sample is still bounded."""
+    docs = rows("doc_id long, text string, lang string", *[(i, f"w{i % 1300} x{i % 1300}", f"l{i % 1300}") for i in range(2600)])
+    model = langid.learn(docs, min_count=1)
+    assert len(model.langs) == 1300 and len(model.word_keys) <= 1_600_000 // 1300
+    assert len(langid.learn(docs, max_rows=50, min_count=1).langs) == 50
+
+
 def test_language(rows, messy):
     rng = random.Random(8)
     syllables = {"aa": ["ka", "mo", "ti", "re"], "bb": ["sch", "eng", "ver", "ung"], "cc": ["é", "lla", "ción", "que"]}

@@ -158,17 +158,19 @@ def decontaminate(
     item_prints = fingerprints(items, ["item_key"], "item_text", plan, lengths, items=True)
     item_prints = checked(item_prints.select("item_key", "print").distinct(), "item-prints", 24)
     bits = spark.sparkContext.broadcast(_bit_map(item_prints, plan))
+    # Rows of one doc_id, or without any, are told apart by their text, so they gather nothing together.
+    of_text = F.xxhash64("doc_id", "text")
     hits = (
-        fingerprints(docs, ["doc_id"], "text", plan, lengths, bits=bits)
+        fingerprints(docs.select("doc_id", "text", of_text.alias("of_text")), ["doc_id", "of_text"], "text", plan, lengths, bits=bits)
         .join(item_prints, "print")
-        .groupBy("doc_id", "item_key")
+        .groupBy("doc_id", "of_text", "item_key")
         .agg(F.collect_set("pos").alias("seeds"))
         .join(items, "item_key")
-        .groupBy(F.col("doc_id").alias("__of_doc"))
+        .groupBy(F.col("doc_id").alias("__of_doc"), F.col("of_text").alias("__of_text"))
         .agg(F.collect_list(F.struct("item_id", "item_text", "seeds")).alias("__hits"))
     )
-    hits = checked(hits, "hits", F.expr("24 + aggregate(__hits, 0L, (s, h) -> s + 40 + octet_length(h.item_text) + 8 * size(h.seeds))"))
-    joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("__of_doc")), "left")
+    hits = checked(hits, "hits", F.expr("32 + aggregate(__hits, 0L, (s, h) -> s + 40 + octet_length(h.item_text) + 8 * size(h.seeds))"))
+    joined = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("__of_doc")) & (of_text == F.col("__of_text")), "left")
 
     def judge(kept: list[pa.Array], given: list[pa.Array]) -> Iterator[list[pa.Array]]:
         for a in range(0, len(given[0]), 500):

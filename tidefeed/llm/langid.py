@@ -10,7 +10,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidefeed.functions import col
@@ -76,41 +76,44 @@ def _counts(data: np.ndarray, offsets: np.ndarray) -> list[list]:
     return rows
 
 
-def learn(docs: DataFrame, max_rows: int = 8000, min_count: int = 2, max_entries: int = 400_000) -> LanguageModel | None:
-    """Fit to at most ``max_rows`` rows of ``docs`` (``doc_id``, ``text``, ``lang``), an equal share for each
-    language, chosen by a hash of the id; None without any. NULL languages are left out, NULL texts empty.
+def learn(
+    docs: DataFrame, max_rows: int = 8000, min_count: int = 2, max_entries: int = 400_000, max_cells: int = 1_600_000
+) -> LanguageModel | None:
+    """Fit to at most ``max_rows`` rows of ``docs`` (``doc_id``, ``text``, ``lang``), None without any. NULL languages are
+    left out, NULL texts empty.
 
-    Words and n-grams that occur less than ``min_count`` times are left out, and of each kind all but the
-    ``max_entries`` most frequent.
+    Rows are chosen in the order of a hash of the id within each language: all languages have their first row, then all
+    their second, and so on, so languages have equal shares as far as they have rows. Words and n-grams that occur
+    less than ``min_count`` times are left out, and of each kind all but the ``max_entries`` most frequent, or fewer where the
+    model would have more than ``max_cells`` numbers, one for each entry and language.
     """
     known = docs.where(F.col("lang").isNotNull())  # texts are read for the chosen rows only
-    langs = sorted(r[0] for r in known.select("lang").distinct().limit(1000).collect())
+    turns = known.select("doc_id", "lang", F.pmod(F.xxhash64(F.lit("salt"), "doc_id"), F.lit(64)).alias("salt"))
+    for by in (["lang", "salt"], ["lang"]):  # a language of most rows is brought down in parts first
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("doc_id"), "doc_id"))
+        turns = turns.withColumn("turn", place).where(F.col("turn") <= max_rows)
+    chosen = turns.orderBy("turn", F.xxhash64("doc_id", "lang"), "doc_id", "lang").limit(max_rows).select("doc_id", "lang")
+    chosen = F.broadcast(stored(chosen, "chosen").distinct())  # at most max_rows rows
+    sample = stored(known.select("doc_id", "lang", F.lower("text").alias("text")).join(chosen, ["doc_id", "lang"]), "sample")
+    langs = sorted(r[0] for r in sample.select("lang").distinct().collect())
     if not langs:
         return None
-    share = max(1, max_rows // len(langs))
-    chosen = None
-    for lang in langs:
-        part = known.where(F.col("lang") == lang).select("doc_id", "lang")
-        part = part.orderBy(F.xxhash64("doc_id"), "doc_id").limit(share)
-        chosen = part if chosen is None else chosen.unionAll(part)
-    chosen = F.broadcast(chosen.distinct())  # at most max_rows rows
-    sample = stored(known.select("doc_id", "lang", F.lower("text").alias("text")).join(chosen, ["doc_id", "lang"]), "sample")
     counted = with_columns(sample, ["lang"], "kind array<int>, key array<bigint>, n array<int>", _counts)
-    number = {lang: i for i, lang in enumerate(langs)}
-    totals = (
+    by_lang = (
         counted.select("lang", F.explode(F.arrays_zip("kind", "key", "n")).alias("e"))
-        .groupBy(F.col("e.kind").alias("kind"), F.col("e.key").alias("key"))
-        .agg(*(F.sum(F.when(F.col("lang") == lang, F.col("e.n")).otherwise(0)).alias(f"n{i}") for lang, i in number.items()))
-        .withColumn("n", sum((F.col(f"n{i}") for i in number.values()), F.lit(0)))
-        .where(F.col("n") >= min_count)
+        .groupBy(F.col("e.kind").alias("kind"), F.col("e.key").alias("key"), "lang")
+        .agg(F.sum("e.n").alias("n"))
     )
-    totals = stored(totals, "totals")
+    totals = by_lang.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
+    totals = stored(totals.where(F.col("n") >= min_count), "totals")
+    most = max(1, min(max_entries, max_cells // len(langs)))
     keys, logs = [], []
     for kind in (0, *GRAMS):
-        found = totals.where(F.col("kind") == kind).orderBy(F.desc("n"), "key").limit(max_entries)
-        frame = found.select("key", *(F.col(f"n{i}").cast("int").alias(f"n{i}") for i in number.values())).toPandas()
-        key = frame["key"].to_numpy(np.int64).view(np.uint64)
-        n = frame.drop(columns="key").to_numpy(np.float64).reshape(len(key), len(langs))
+        found = totals.where(F.col("kind") == kind).orderBy(F.desc("n"), "key").limit(most)
+        numbers = F.transform(F.lit(langs), lambda lang: F.coalesce(F.try_element_at("by_lang", lang), F.lit(0)).cast("int"))
+        table = found.select("key", numbers.alias("n")).toArrow()
+        key = table.column("key").to_numpy().view(np.uint64)
+        n = table.column("n").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(len(key), len(langs))
         order = np.argsort(key)
         total = n.sum(axis=0) + 0.1 * (len(key) + 1)
         keys.append(key[order])

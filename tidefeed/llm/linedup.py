@@ -2,10 +2,11 @@
 
 A run is a stored table sorted by line hash: for each line key the number of documents that hold it and
 the largest ``doc_id`` among them. Documents come in batches. A batch's lines are aggregated to one row
-per key, merge-joined with the runs to tell new keys from known ones, and added as a run of level 0.
-Once a level has ``fanout`` runs they are merged into one run of the next level, so ``n`` batches leave
-about ``fanout * log(n)`` runs and each key is rewritten ``log(n)`` times. Dropping lines is an anti-join
-of the documents' lines with the merged runs. All of it is DataFrame work.
+per key and merge-joined with the runs: the anti-join gives its new keys, the rest are known ones. Both are
+added as a run of level 0, which says which are new, so that the number of different lines is known at any
+time without a merge. Once a level has ``fanout`` runs they are merged into one run of the next level, so ``n`` batches
+leave about ``fanout * log(n)`` runs and each key is rewritten ``log(n)`` times. Lines are dropped where the text
+lies: a text gets the list of its keys to drop, and no text moves. All of it is DataFrame work.
 
 A key is the line without blanks at both ends and in lower case (A-Z), known by two 64-bit hashes.
 """
@@ -37,12 +38,18 @@ def _hashes(key: Column) -> list[Column]:
     return [F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("line"), key, F.length(key)).alias("h2")]
 
 
-def keyed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``doc_id``, ``h1``, ``h2`` of each distinct long line of each row."""
+def _text_hash() -> Column:
+    """Tells rows of one ``doc_id``, or without any, apart by their text."""
+    return F.xxhash64(F.lit("text"), F.col("text"))
+
+
+def keyed_lines(docs: DataFrame, min_chars: int, *more: Column) -> DataFrame:
+    """``doc_id``, ``h1``, ``h2`` of each distinct long line of each row, and ``more``."""
     keys = F.array_distinct(
         F.filter(F.transform(lines_of(F.col("text")), line_key), lambda k: F.length(k) >= min_chars)
     )
-    return docs.select("doc_id", F.explode(keys).alias("key")).select("doc_id", *_hashes(F.col("key")))
+    lines = docs.select("doc_id", *more, F.explode(keys).alias("key"))
+    return lines.select(*lines.columns[:-1], *_hashes(F.col("key")))
 
 
 class LineRuns:
@@ -63,11 +70,16 @@ class LineRuns:
     def fresh(self, batch: DataFrame) -> DataFrame:
         """The rows of ``batch`` whose key no run holds: a merge anti-join."""
         known = self.all()
-        return batch if known is None else batch.join(known.hint("merge"), [*KEY], "left_anti")
+        return batch if known is None else batch.join(known.select(*KEY).hint("merge"), [*KEY], "left_anti")
 
     def add(self, batch: DataFrame) -> None:
-        """Add keys with ``n_docs`` and ``last_doc`` as a run, and merge the levels that are full."""
-        self._put(0, batch)
+        """Add keys with ``n_docs`` and ``last_doc`` as a run, the new ones marked, and merge the levels that are full."""
+        known, batch = self.all(), stored(batch, "line-batch")
+        new = self.fresh(batch).withColumn("new", F.lit(True))
+        if known is not None:
+            old = batch.join(known.select(*KEY).hint("merge"), [*KEY], "left_semi")
+            new = new.unionAll(old.withColumn("new", F.lit(False)))
+        self._put(0, new)
         level = 0
         while len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
@@ -83,8 +95,15 @@ class LineRuns:
         self.levels[level].append(stored(run.sortWithinPartitions(*KEY), "line-run"))
 
 
+    def n_keys(self) -> int:
+        """How many different keys the runs hold."""
+        runs = self.all()
+        return 0 if runs is None else runs.where("new").count()
+
+
 def merged_keys(runs: DataFrame) -> DataFrame:
-    return runs.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
+    """One row per key; it is new if one of its rows is, so the mark adds up over runs as the counts do."""
+    return runs.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"), F.max("new").alias("new"))
 
 
 def build_runs(docs: DataFrame, min_chars: int = 40, batches: int = 4, fanout: int = 3) -> LineRuns:
@@ -122,13 +141,13 @@ def dedup_lines(
     """
     hot = checked(hot_keys(build_runs(docs, min_chars, batches, fanout), min_docs), "hot-lines", 40)
     doomed = (
-        keyed_lines(docs, min_chars)
+        keyed_lines(docs, min_chars, _text_hash().alias("of_text"))
         .join(hot, [*KEY])
         .where(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
-        .groupBy(F.col("doc_id").alias("__of_doc"))
+        .groupBy(F.col("doc_id").alias("__of_doc"), F.col("of_text").alias("__of_text"))
         .agg(F.collect_set(F.struct("h1", "h2")).alias("__doomed"))
     )
-    doomed = checked(doomed, "doomed-lines", F.lit(24) + 32 * F.size("__doomed"))
+    doomed = checked(doomed, "doomed-lines", F.lit(32) + 32 * F.size("__doomed"))
     lines = lines_of(F.col("text"))
 
     def stays(line: Column) -> Column:
@@ -136,7 +155,8 @@ def dedup_lines(
         long = F.length(key) >= min_chars
         return ~(long & F.array_contains(F.col("__doomed"), F.struct(*_hashes(key))))
 
-    joined = docs.join(doomed, F.col("doc_id").eqNullSafe(F.col("__of_doc")), "left")
+    own = F.col("doc_id").eqNullSafe(F.col("__of_doc")) & (_text_hash() == F.col("__of_text"))
+    joined = docs.join(doomed, own, "left")
     kept = F.when(F.col("__doomed").isNull(), lines).otherwise(F.filter(lines, stays))
     return joined.withColumns(
         {"n_lines": F.size(lines).cast("long"), "__kept": kept}
@@ -145,7 +165,7 @@ def dedup_lines(
             "n_dropped": F.col("n_lines") - F.size("__kept"),
             "text": F.array_join("__kept", "\n"),
         }
-    ).drop("__of_doc", "__doomed", "__kept")
+    ).drop("__of_doc", "__of_text", "__doomed", "__kept")
 
 
 def count_fresh(docs: DataFrame, runs: LineRuns, min_chars: int = 40) -> int:
