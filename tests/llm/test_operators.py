@@ -424,6 +424,31 @@ def test_enough_credit_for_every_size():
         assert jaccard.EDGES[max(band - 1, 0)] <= -(-n * 75 // 100) and n * 100 // 75 < jaccard.EDGES[band + 2]
 
 
+def test_broken_records_do_not_cost_the_others(spark, rows, tmp_path):
+    import gzip
+
+    def record(body, page="1", length=None, kind="response", more=""):
+        digest = warc.digest_text(b"good")
+        size = "" if length == "none" else f"Content-Length: {length or len(body)}\r\n"
+        head = f"WARC/1.1\r\nWARC-Type: {kind}\r\nX-Page-ID: {page}\r\nWARC-Payload-Digest: sha1:{digest}\r\n{more}{size}\r\n"
+        return head.encode() + body + b"\r\n\r\n"
+
+    good = b"HTTP/1.1 200 OK\r\nContent-Length: 4\r\n\r\ngood"
+    framed = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n%b\r\ngood\r\n0\r\n\r\n"
+    twice = "WARC-Segment-Number: 1\r\nWARC-Segment-Origin-ID: x\r\nWARC-Segment-Total-Length: 43\r\n"
+    parts = [
+        record(good, "1"), record(good, "2", "none"), record(good, "three"), record(framed % b"4", "4"), record(framed % b"zz", "5"),
+        record(framed % b"-4", "6"), record(good.replace(b": 4", b": x"), "7"), record(good, "8", more=twice), record(good, "8", more=twice),
+        record(good, "9", "many"), b"junk WARC/ junk", record(good, "10"),
+    ]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(p) for p in parts) + gzip.compress(record(good, "11"))[:-30])
+    (tmp_path / "b.warc").write_bytes(b"".join(parts) + record(good, "12", 10**9))
+    (tmp_path / "c.warc").write_bytes(b"no record at all")
+    found = Counter((r.page_id, r.intact) for r in warc.read_archives(spark, str(tmp_path)).collect())
+    ok = {(1, True): 2, (None, True): 2, (4, True): 2, (10, True): 2}
+    assert found == ok | {(i, False): 2 for i in (2, 5, 6, 7, 9)} | {(8, False): 1, (11, False): 1, (12, False): 1}
+
+
 # 5
 
 

@@ -48,6 +48,8 @@ def unchunked(body: bytes) -> bytes:
         line = body.index(b"\r\n", at)
         size = int(body[at:line].split(b";")[0].strip(), 16)
         at = line + 2
+        if size < 0:
+            raise ValueError("a chunk of negative size")
         if size == 0:
             return b"".join(out)
         if len(body) < at + size + 2 or body[at + size : at + size + 2] != b"\r\n":
@@ -158,26 +160,78 @@ def write_archives(
     ).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
-def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and block of each record of an archive, gzipped or not."""
-    if data[:2] == b"\x1f\x8b":
-        parts = []
-        while data:
-            member = zlib.decompressobj(31)
-            parts.append(member.decompress(data) + member.flush())
-            data = member.unused_data
-        data = b"".join(parts)
-    at = 0
-    while (at := data.find(b"WARC/", at)) >= 0:
-        stop = data.index(b"\r\n\r\n", at)
-        lines = data[at:stop].decode("utf-8", "replace").split("\r\n")[1:]
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        size = int(headers["content-length"])
-        block = data[stop + 4 : stop + 4 + size]
-        if len(block) != size:
-            raise ValueError("a record is cut off")
+def _inflated(data: bytes) -> Iterator[bytes]:
+    """The content of an archive, gzipped or not, in pieces of at most ``PIECE`` bytes; it ends where it is damaged."""
+    if data[:2] != b"\x1f\x8b":
+        yield from (data[a : a + PIECE] for a in range(0, len(data), PIECE))
+        return
+    member, at, rest = zlib.decompressobj(31), 0, b""
+    try:
+        while rest or at < len(data):
+            if not rest:
+                rest, at = data[at : at + PIECE], at + PIECE
+            yield member.decompress(rest, PIECE)
+            rest = member.unconsumed_tail
+            if member.eof:
+                member, rest = zlib.decompressobj(31), member.unused_data
+    except zlib.error:
+        return
+
+
+#: Bytes of an archive that are read and inflated at once.
+PIECE = 1 << 18
+_STARTS = re.compile(rb"WARC/\d+\.\d+\r\n")
+
+
+def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes | None]]:
+    """Headers (names in lower case) and block of each record of an archive, gzipped or not.
+
+    No more than a record is held inflated. The block is None where a record has no length or is cut off; reading
+    goes on at the next beginning of a record.
+    """
+    pieces, held = _inflated(data), bytearray()
+
+    def more() -> bool:
+        piece = next(pieces, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    while True:
+        while not (found := _STARTS.search(held)):
+            del held[: max(0, len(held) - 16)]
+            if not more():
+                return
+        del held[: found.start()]
+        stop = held.find(b"\r\n\r\n")
+        while stop < 0 and more():
+            stop = held.find(b"\r\n\r\n")
+        if stop < 0:
+            yield _headers(held), None
+            return
+        headers = _headers(held[:stop])
+        size = _number(headers.get("content-length"))
+        del held[: stop + 4]
+        if size is None or size < 0:
+            yield headers, None
+            continue
+        while len(held) < size and more():
+            pass
+        if len(held) < size:
+            yield headers, None
+            return
+        block = bytes(held[:size])
+        del held[:size]
         yield headers, block
-        at = stop + 4 + size
+
+
+def _headers(lines: bytearray) -> dict[str, str]:
+    fields = (x.partition(":") for x in lines.decode("utf-8", "replace").split("\r\n")[1:])
+    return {k.strip().lower(): v.strip() for k, _, v in fields}
+
+
+def _number(text: str | None) -> int | None:
+    """A whole number that fits a long; None for anything else."""
+    return int(text) if text and re.fullmatch(r"-?[0-9]{1,18}", text) else None
 
 
 RECORD = (
@@ -192,18 +246,16 @@ def _records(spark: SparkSession, path: str) -> DataFrame:
             for data in batch["content"]:
                 out = []
                 for h, block in parse_archive(data):
-                    number = h.get("warc-segment-number")
-                    page, refers = h.get("x-page-id"), h.get("x-refers-to-page")
                     out.append(
                         (
                             h.get("warc-segment-origin-id", h.get("warc-record-id")),
-                            int(number) if number else None,
-                            int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None,
+                            _number(h.get("warc-segment-number")),
+                            _number(h.get("warc-segment-total-length")),
                             h.get("warc-type"),
-                            int(page) if page else None,
+                            _number(h.get("x-page-id")),
                             h.get("warc-target-uri"),
                             h.get("warc-payload-digest", "").removeprefix("sha1:") or None,
-                            int(refers) if refers else None,
+                            _number(h.get("x-refers-to-page")),
                             block,
                         )
                     )
@@ -222,7 +274,10 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 
 
 def payload_of(block: bytes) -> tuple[bytes | None, int]:
-    """The payload of an HTTP response block and its length; None for headers alone."""
+    """The payload of an HTTP response block and its length; None for headers alone.
+
+    Framing or a length that can't be read is a ValueError.
+    """
     head, _, body = block.partition(b"\r\n\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in head.split(b"\r\n")[1:])}
     if fields.get(b"transfer-encoding", b"").lower() == b"chunked":
@@ -241,8 +296,9 @@ READ = (
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record, segments put together: ids, type, payload, its length and digest.
 
-    ``intact`` is false where segments are missing or repeated, or the lengths or digests disagree; such
-    a row has no payload. A revisit has the length and digest of the payload it means, and no payload.
+    ``intact`` is false where segments are missing or repeated, the lengths or digests disagree, or a record is
+    cut off or can't be read; such a row has no payload, and the other records come out as they are. An id that is no
+    number is NULL. A revisit has the length and digest of the payload it means, and no payload.
     A missing archive is an error; one without records gives no rows.
     """
     records = _records(spark, path)
@@ -268,8 +324,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             out = []
             for page_id, url, kind, refers_to, digest, block in batch.itertuples(index=False):
                 row = [page_id, url, kind, refers_to, None, None, None, False]
+                try:
+                    payload, size = payload_of(block) if block is not None else (None, None)
+                except ValueError:
+                    block = None
                 if block is not None:
-                    payload, size = payload_of(block)
                     found = digest if payload is None else digest_text(payload)
                     if found == digest and (payload is not None or kind == "revisit"):
                         row[4:] = [size, digest, payload, True]
