@@ -20,8 +20,10 @@ them, which joins a group of copies; then only those that lie in different compo
 group in blocks, each pair of blocks by a task of its own.
 
 Equal texts are one document to all this. Candidates are verified exactly on whole shingle sets, after a
-bound from counts of shingles by bucket that no similar pair fails. Only links that connect are needed, so
-pairs already connected are not compared.
+bound that no similar pair fails: a set's shingles are dealt over at least twice as many buckets, and a bit says
+whether a bucket has an odd number. Where the bits of two sets differ, so do the sets. A few bits per shingle thus
+rule out nearly all pairs before whole sets move. Only links that connect are needed, so pairs already
+connected are not compared.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidefeed.llm import text as T
@@ -41,7 +43,8 @@ SIZE = 5
 #: Similar: SHARE * intersection >= OF * union ... as whole numbers: 100 * intersection >= 75 * union.
 OF, SHARE = 100, 75
 _BLANKS = " \t\n\x0b\x0c\r"
-BUCKETS = 128
+#: A set has at least so many buckets for its bits.
+LEAST_BITS = 128
 _U = np.uint64
 
 
@@ -150,17 +153,47 @@ def _sizes(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return [np.bincount(of, minlength=len(offsets) - 1)]
 
 
+#: Of a spare entry's key: a bit that no signature has set, and so many for the credit to spare.
+_SPARE_BITS = 20
+
+
 def _signatures(data: np.ndarray, offsets: np.ndarray) -> list:
+    """Signatures as even numbers, and one odd number for each set, which holds what credit it can spare."""
     n, docs, sigs, spare = entries(data, offsets)
-    return [spare, _split(sigs.view(np.int64), docs, len(n))]
+    held = np.flatnonzero(n > 0)
+    half = 1 << (_SPARE_BITS - 1)
+    low = np.clip(spare[held], -half, half - 1) + half
+    spread = T.mix(np.arange(len(held), dtype=np.uint64) + T.mix(offsets[held + 1].astype(np.uint64))) << _U(_SPARE_BITS)
+    odd = ((spread | low.astype(np.uint64)) << _U(1)) | _U(1)
+    docs, sigs = np.concatenate([docs, held]), np.concatenate([sigs & ~_U(1), odd])
+    return [_split(sigs.view(np.int64), docs, len(n))]
 
 
-def _bucket_counts(data: np.ndarray, offsets: np.ndarray) -> list:
+def _parities(data: np.ndarray, offsets: np.ndarray) -> list:
+    """Sizes, and for each set the bits of its buckets: a power of two of them, two to four for each shingle."""
     of, hashes = shingle_sets(data, offsets)
-    m = len(offsets) - 1
-    bucket = (hashes >> _U(33)) % _U(BUCKETS)
-    counts = np.bincount(of * BUCKETS + bucket.astype(np.int64), minlength=m * BUCKETS).reshape(m, BUCKETS)
-    return [np.bincount(of, minlength=m), list(counts.astype(np.int32))]
+    n = np.bincount(of, minlength=len(offsets) - 1)
+    width = np.maximum(LEAST_BITS, 1 << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64))
+    first = np.concatenate([[0], np.cumsum(width)])
+    bucket = ((hashes >> _U(33)) % width[of].astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(first[of] + bucket, minlength=first[-1]) & 1).astype(np.uint8)
+    words = np.packbits(odd, bitorder="little").view(np.int64)
+    return [n, np.split(words, first[1:-1] // 64)]
+
+
+def _halved(bits: Column) -> Column:
+    """The bits over half as many buckets."""
+    half = (F.size(bits) / 2).cast("int")
+    return F.zip_with(F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+
+def _least_difference(a: str, b: str) -> Column:
+    """A lower bound of how many elements two sets of similar sizes differ in."""
+    left, right = F.col(a), F.col(b)
+    x = F.when(F.size(left) > F.size(right), _halved(left)).otherwise(left)
+    y = F.when(F.size(right) > F.size(left), _halved(right)).otherwise(right)
+    differ = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(differ, F.lit(0), lambda total, n: total + n)
 
 
 def _full_sets(data: np.ndarray, offsets: np.ndarray) -> list:
@@ -254,6 +287,37 @@ def _candidates(hot: int, star: bool):
     return run
 
 
+_FOUND = "a long, b long, n long, spare long"
+
+
+def _candidates_and_spares(hot: int):
+    """``_candidates`` of the even keys; odd ones say what credit a document ``a`` can ``spare``, with NULL ``b`` and ``n``."""
+    candidates = _candidates(hot, star=False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spares: list[pa.RecordBatch] = []
+
+        def entries() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                odd = (batch.column(0).to_numpy() & 1) == 1
+                spares.append(_spared(batch.filter(pa.array(odd))))
+                yield batch.filter(pa.array(~odd))
+
+        for found in candidates(entries()):
+            yield from spares
+            spares.clear()
+            yield found.append_column("spare", pa.nulls(found.num_rows, pa.int64()))
+
+    return run
+
+
+def _spared(entries: pa.RecordBatch) -> pa.RecordBatch:
+    held = (entries.column(0).to_numpy().view(np.uint64) >> _U(1)) & _U((1 << _SPARE_BITS) - 1)
+    nothing = pa.nulls(len(held), pa.int64())
+    columns = [entries.column(1), nothing, nothing, pa.array(held.astype(np.int64) - (1 << (_SPARE_BITS - 1)))]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "n", "spare"])
+
+
 def _put_out(pairs: list[tuple[np.ndarray, np.ndarray]], lost: list[np.ndarray]) -> pa.RecordBatch:
     a, b = _distinct(*(np.concatenate(x).astype(np.int64) for x in zip(*pairs)))
     members, n = np.unique(np.concatenate(lost), return_counts=True)
@@ -281,13 +345,27 @@ def _dealt(met: DataFrame, block: int) -> DataFrame:
     return cut.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("k", "other")
 
 
+#: Ranges of sizes grow by this factor, more than similar sets may differ by, so these lie in one range or in two adjacent ones.
+_RANGE = 1.4
+
+
+def _of_like_size(held: DataFrame) -> DataFrame:
+    """The rows ``key``, ``doc_id``, ``root``, ``n``, once for the range of their size (``sizes``) and once for the next, so that two
+    documents of a key that may be similar share a range; those with no other root in their range are left out.
+    ``k`` is how many share key and range."""
+    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(_RANGE))).cast("int")
+    held = held.withColumn("sizes", F.explode(F.array(size, size + 1)))
+    groups = held.groupBy("key", "sizes").agg(F.count("*").alias("k"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+    return held.join(groups.where("r0 < r1").select("key", "sizes", "k"), ["key", "sizes"])
+
+
 _AT = ("key", "x", "y")
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different roots that sizes and counts by bucket do not rule out.
+    """Pairs of different roots that sizes and bits do not rule out.
 
-    From entries ``key``, ``x``, ``y``, ``own``, ``doc_id``, ``root``, ``n``, ``counts``, ``keys``, sorted by
+    From entries ``key``, ``x``, ``y``, ``own``, ``doc_id``, ``root``, ``n``, ``bits``, ``keys``, sorted by
     the first three. Only one pair of blocks is held at a time. A pair that meets under several keys comes
     from the smallest of them.
     """
@@ -316,7 +394,7 @@ def _pairs_across(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     own, docs, roots, sizes = (group.column(i).to_numpy() for i in (3, 4, 5, 6))
     if (roots == roots[0]).all():
         return
-    counts = group.column(7).combine_chunks().flatten().to_numpy().reshape(-1, BUCKETS).astype(np.int32)
+    levels = _by_width(group.column(7).combine_chunks())
     lists = group.column(8).combine_chunks()
     of, flat = np.repeat(np.arange(len(docs)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
     of, flat = of[flat < key], flat[flat < key]  # the smaller keys of each document
@@ -339,13 +417,38 @@ def _pairs_across(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             met[sharing] = True
             j = j[~met[j]]
             met[sharing] = False
-        bound = np.minimum(counts[i], counts[j]).sum(axis=1)
-        j = j[OF * bound >= SHARE * (sizes[i] + sizes[j] - bound)]
+        j = j[(OF + SHARE) * _differences(levels, i, j) <= (OF - SHARE) * (sizes[i] + sizes[j])]
         if len(j):
             ends = np.minimum(docs[i], docs[j]), np.maximum(docs[i], docs[j])
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in ends], names=["a", "b"])
 
 
+def _by_width(bits: pa.ListArray) -> tuple[np.ndarray, np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """Of sets with their bits: how many words each has, its place among those of the same width, and by width their
+    words and those over half as many buckets."""
+    width, flat = bits.value_lengths().to_numpy(), bits.flatten().to_numpy().view(np.uint64)
+    first, place, tables = np.concatenate([[0], np.cumsum(width)]), np.zeros(len(width), np.int64), {}
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        place[at] = np.arange(len(at))
+        words = flat[first[at][:, None] + np.arange(w)]
+        tables[w] = words, words[:, : w // 2] ^ words[:, w // 2 :]
+    return width, place, tables
+
+
+def _differences(levels: tuple, i: int, j: np.ndarray) -> np.ndarray:
+    """A lower bound of how many elements set ``i`` and each of the sets ``j`` of similar sizes differ in."""
+    width, place, tables = levels
+    mine, out = tables[width[i]], np.zeros(len(j), np.int64)
+    for w in np.unique(width[j]).tolist():
+        at = np.flatnonzero(width[j] == w)
+        theirs = tables[w]
+        a = mine[1 if width[i] > w else 0][place[i]]
+        b = theirs[1 if w > width[i] else 0][place[j[at]]]
+        out[at] = np.bitwise_count(a ^ b).sum(axis=1)
+    return out
+
+
 def _side(sets: DataFrame, name: str, *columns: str) -> DataFrame:
     return sets.select(F.col("doc_id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
 
@@ -357,16 +460,15 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _near(pairs: DataFrame, singles: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` that sizes and counts by bucket do not rule out."""
+    """The pairs ``a``, ``b`` that sizes and bits do not rule out."""
     texts = singles.join(_ends(pairs), "doc_id", "left_semi")
-    sets = stored(with_columns(texts, ["doc_id"], "n long, counts array<int>", _bucket_counts), "counts")
+    sets = stored(with_columns(texts, ["doc_id"], "n long, bits array<bigint>", _parities), "bits")
     least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    bound = F.aggregate(F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     return (
-        pairs.join(_side(sets, "a", "n", "counts"), "a")
-        .join(_side(sets, "b", "n", "counts"), "b")
+        pairs.join(_side(sets, "a", "n", "bits"), "a")
+        .join(_side(sets, "b", "n", "bits"), "b")
         .where(OF * least >= SHARE * most)
-        .where(OF * bound >= SHARE * (F.col("n_a") + F.col("n_b") - bound))
+        .where((OF + SHARE) * _least_difference("bits_a", "bits_b") <= (OF - SHARE) * (F.col("n_a") + F.col("n_b")))
         .select("a", "b")
         .distinct()
     )
@@ -462,15 +564,13 @@ def links(docs: DataFrame, hot: int = 8) -> DataFrame:
     copies = marked.where("doc_id != first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     singles = marked.where("first is null or doc_id = first").select("doc_id", "text")
 
-    filed = with_columns(singles, ["doc_id"], "spare long, sigs array<bigint>", _signatures)
-    found = stored(
-        _entries(filed, "sigs").mapInArrow(_candidates(hot, star=False), "a long, b long, n long"), "segment-pairs"
-    )
+    filed = with_columns(singles, ["doc_id"], "sigs array<bigint>", _signatures)
+    found = stored(_entries(filed, "sigs").mapInArrow(_candidates_and_spares(hot), _FOUND), "segment-pairs")
     release(docs.sparkSession)
-    lost = found.where("b is null").groupBy(F.col("a").alias("doc_id")).agg(F.sum("n").alias("lost"))
-    spare = with_columns(singles, ["doc_id"], "spare long, sigs array<bigint>", _spare_only).select("doc_id", "spare")
+    credit = found.where("b is null").groupBy(F.col("a").alias("doc_id"))
+    credit = credit.agg(F.sum("n").alias("lost"), F.min("spare").alias("spare"))
     # A hot entry of a band with deletions costs two credits at most.
-    short = spare.join(lost, "doc_id", "left").where("spare < 2 * coalesce(lost, 0)").select("doc_id").distinct()
+    short = credit.where("spare < 2 * coalesce(lost, 0)").select("doc_id")
     short = checked(short, "short-of-credit", 16)
 
     rest = stored(singles.join(short, "doc_id", "left_semi"), "rest")
@@ -480,7 +580,7 @@ def links(docs: DataFrame, hot: int = 8) -> DataFrame:
     more = stored(
         _entries(prefixes, "tokens").mapInArrow(_candidates(2 * hot, star=True), "a long, b long, n long"), "prefix-pairs"
     )
-    pairs = stored(found.unionAll(more).where("b is not null").select("a", "b").distinct(), "pairs")
+    pairs = stored(found.drop("spare").unionAll(more).where("b is not null").select("a", "b").distinct(), "pairs")
     near = stored(_near(pairs, singles), "near")
     release(docs.sparkSession)
     linked = _connecting(near, singles)
@@ -488,24 +588,20 @@ def links(docs: DataFrame, hot: int = 8) -> DataFrame:
     rooted = prefixes.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     held = rooted.select(F.explode("tokens").alias("key"), "doc_id", "root", "n")
     mixed = held.groupBy("key").agg(F.count("*").alias("k"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-    mixed = mixed.where(f"k > {2 * hot} and r0 < r1").select("key", "k")
-    met = stored(held.join(mixed, "key"), "mixed")
+    mixed = mixed.where(f"k > {2 * hot} and r0 < r1").select("key")
+    met = stored(_of_like_size(held.join(mixed, "key")), "mixed")
     keys = met.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
     texts = rest.join(checked(met.select("doc_id").distinct(), "mixed-docs", 16), "doc_id", "left_semi")
-    counts = with_columns(texts, ["doc_id"], "size long, counts array<int>", _bucket_counts).drop("size")
-    met = met.join(keys, "doc_id").join(counts, "doc_id")
-    met = _dealt(met.select("key", "k", "doc_id", "root", "n", "counts", "keys"), BLOCK)
-    met = met.select(*_AT, "own", "doc_id", "root", "n", "counts", "keys")
+    bits = with_columns(texts, ["doc_id"], "size long, bits array<bigint>", _parities).drop("size")
+    met = met.join(keys, "doc_id").join(bits, "doc_id")
+    met = _dealt(met.select("key", "k", "doc_id", "root", "n", "bits", "keys", "sizes"), BLOCK)
+    met = met.withColumns({c: F.col(c) + F.shiftleft("sizes", 20) for c in ("own", "x", "y")})  # blocks of one range of sizes
+    met = met.select(*_AT, "own", "doc_id", "root", "n", "bits", "keys")
     across = met.repartition(*_AT).sortWithinPartitions(*_AT).mapInArrow(_across, "a long, b long")
     late = _connecting(stored(across.distinct(), "across"), singles)
     return copies.unionAll(linked).unionAll(late)
 
 
-def _spare_only(data: np.ndarray, offsets: np.ndarray) -> list:
-    n, _, _, spare = entries(data, offsets)
-    return [spare, [None] * len(n)]
-
-
 def similar_documents(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the smallest ``doc_id``
     reachable by links. See the head of this module for what a link is and how links are found.
