@@ -336,6 +336,13 @@ def test_headers_of_files_in_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", held)
 
 
+def test_columns_named_like_the_readers_own(spark, put):
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("line", "file", "value", "at")])
+    parts = read_delimited(spark, put("names.csv", 'line,file,value,at\n1,2,3,4\n5,6\n7,"8\n'), schema=schema)
+    assert values(parts.accepted) == [("1", "2", "3", "4")]
+    assert values(parts.rejected) == [("arity", "5,6"), ("quote", '7,"8')]
+
+
 def test_lines_with_an_open_quote_are_set_aside(spark, put):
     path = put("open.csv", 'id,v\n1,"a"\n2,"b\n3,c\n4,d"\n5,"e ""f"" \x01"\n6,"g,h\n')
     parts = load_split(spark, path, PAIR)

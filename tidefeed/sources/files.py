@@ -34,6 +34,7 @@ WHOLE_ARRAY_BYTES = 64 * 1024 * 1024
 
 _CORRUPT = "_corrupt_record"
 _READ = "__read"
+_LINE = "__line"
 _OPENS_ARRAY = r"^[\s\x{FEFF}]*\["
 _EMPTY_ARRAY = _OPENS_ARRAY + r"\s*\]\s*$"
 
@@ -139,8 +140,9 @@ def read_delimited(
         raw = _fields(lines, header, options)
         if line_safe:
             raw = raw.withColumns({name: _with_breaks(col(name)) for name in header})
-        unclosed = F.when(_open_quote(F.col(_CORRUPT)), F.lit("quote"))
-        parts.append(_typed(raw, schema, F.coalesce(unclosed, F.lit("arity"))))
+        line = F.col(_LINE)
+        reason = F.when(_open_quote(line), F.lit("quote")).otherwise(F.lit("arity"))
+        parts.append(_typed(raw, schema, reason, _open_quote(line) | F.col(_CORRUPT).isNotNull(), line))
     if foreign:
         parts.append(_set_aside(spark, foreign, schema, separator))
     marked = reduce(DataFrame.unionByName, [part.marked for part in parts])
@@ -250,15 +252,13 @@ def _open_quote(line: Column) -> Column:
 
 
 def _fields(lines: DataFrame, header: Sequence[str], options: dict) -> DataFrame:
-    """The fields of each ``line`` as text, and the line itself where their number is not the header's or a quote is
-    not closed."""
+    """The fields of each ``line`` as text, the line, and it once more as the corrupt record where their number is not the
+    header's."""
     wanted = _all_text(T.StructType([T.StructField(name, T.StringType()) for name in header]))
     options = {"sep": options["sep"], "quote": options["quote"], "escape": options["escape"], "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parsed = F.from_csv("line", F.lit(wanted.toDDL()), options)
     # The generator keeps conditions on the fields above it, so that a line is parsed once.
-    rows = lines.select("line", F.inline(F.array(parsed)))
-    fault = F.when(_open_quote(F.col("line")) | F.col(_CORRUPT).isNotNull(), F.col("line"))
-    return rows.withColumn(_CORRUPT, fault).drop("line")
+    return lines.select(F.col("line").alias(_LINE), F.inline(F.array(parsed)))
 
 
 def _set_aside(spark: SparkSession, foreign: dict[tuple[str, ...], list[str]], schema: T.StructType, separator: str) -> Split:
@@ -524,23 +524,27 @@ def _all_text(schema: T.StructType) -> T.StructType:
     return _text_fields(schema).add(_CORRUPT, T.StringType())
 
 
-def _typed(raw: DataFrame, schema: T.StructType, malformed: str | Column) -> Split:
+def _typed(
+    raw: DataFrame, schema: T.StructType, malformed: str | Column, broken: Column | None = None, text: Column | None = None
+) -> Split:
+    """The fields of ``raw`` in the types of ``schema``. A row is ``malformed`` where it is ``broken``, and then stands as
+    ``text`` among the rejected; by default both are told by the corrupt record."""
     malformed = F.lit(malformed) if isinstance(malformed, str) else malformed
-    reasons = [F.when(F.col(_CORRUPT).isNotNull(), malformed)]
+    broken = F.col(_CORRUPT).isNotNull() if broken is None else broken
+    reasons = [F.when(broken, malformed)]
     typed: list[Column] = []
     for field in schema:
-        text, value = col(field.name), col(field.name)
+        text_of, value = col(field.name), col(field.name)
         if not isinstance(field.dataType, T.StringType):
-            value = F.trim(text).try_cast(field.dataType)
-            unfit = F.coalesce(text, F.lit("")) != ""
+            value = F.trim(text_of).try_cast(field.dataType)
+            unfit = F.coalesce(text_of, F.lit("")) != ""
             reasons.append(F.when(unfit & value.isNull(), F.lit(f"type:{field.name}")))
         typed.append(value.alias(field.name))
     # Spark refuses to read the corrupt-record column alone, so the checks also touch a field.
     any_text = F.coalesce(F.length(col(schema[0].name)), F.lit(0)) >= 0
     reasons.append(F.when(~any_text, malformed))
-    record = F.coalesce(F.col(_CORRUPT), as_record(raw.drop(_CORRUPT)))
-    read = F.col(_CORRUPT).isNull() & any_text
-    return record_split(raw, typed, F.coalesce(*reasons), record, read)
+    record = F.when(broken, F.col(_CORRUPT) if text is None else text).otherwise(as_record(raw.drop(_CORRUPT, _LINE)))
+    return record_split(raw, typed, F.coalesce(*reasons), record, ~broken & any_text)
 
 
 def record_split(
