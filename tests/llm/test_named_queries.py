@@ -53,3 +53,20 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert encoded[1].where("round_trip").count() == encoded[0].count()
     whole = corpus_pipeline.run(spark, SMALL)
     assert {tuple(r.digests) for r in whole.collect()} == {tuple(r.digests) for r in encoded[1].collect()}
+
+
+def test_stages_on_messy_rows(spark, rows):
+    """NULL and empty texts, repeated and missing ids, a long text, no column n_chars and more columns, no rows."""
+    line = "a line of more than forty characters that many documents share"
+    texts = [(1, None), (2, ""), (3, "plain words only here"), (3, "other plain words"), (None, "no id at all"), (4, "w " * 30000)]
+    texts += [(10 + i, f"{line}\nown words of number {i} and {i * 7}") for i in range(6)]
+    docs = rows("doc_id long, text string, lang string, toxic string, n_hit int", *[(i, t, "en", "x", 1) for i, t in texts])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, SMALL)
+        assert kept.columns == docs.columns and stage(spark, docs.limit(0), SMALL).count() == 0
+        assert {r.doc_id for r in kept.where("text is null or length(text) < 30").collect()} >= {1, 2, 3, None}
+        assert kept.count() == docs.count()  # nothing of this is toxic, contaminated or a near copy
+    lines = corpus_pipeline.line_dedup_stage(spark, docs, SMALL)
+    assert [r.doc_id for r in lines.where(f"text like '{line}%'").collect()] == [15]
+    pieces = corpus_pipeline.sentencepiece_stage(spark, docs, SMALL)
+    assert pieces.count() == docs.count() and pieces.where("round_trip").count() == docs.count()
