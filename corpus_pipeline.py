@@ -2,6 +2,12 @@
 
 Toxic documents go; lines that many documents share go from all but one; of near copies one stays;
 documents contaminated by the benchmark go; what is left is cut into pieces.
+
+All stages: a NULL text is an empty one, which is neither toxic nor contaminated and copies nothing, so its row stays. Rows
+that repeat a ``doc_id`` are judged each by its own text, but for the near copies, where they are one
+document with all their texts. Rows without ``doc_id`` stay in the near-copy stage and count as no document among those that
+share a line. Columns beside ``doc_id`` and ``text`` are carried on as they are. An empty table gives an empty one with the
+same columns.
 """
 
 from __future__ import annotations
@@ -20,9 +26,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that five or more share; ``n_chars`` is that of the new text."""
+    """All documents, without the lines that five or more share; ``n_chars``, if there is one, is that of the new text."""
     out = linedup.dedup_lines(docs, min_chars=40, min_docs=5)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
