@@ -127,7 +127,7 @@ def run_timed(
     return last_round(spark, base)
 
 
-def _take(batch: DataFrame, number: int, base: str, job: RoundJob, recorded: Callable[[int], object] | None) -> None:
+def _take(batch: DataFrame, number: int, base: str, job: RoundJob, recorded: Callable[[int], object] | None = None) -> None:
     spark = batch.sparkSession
     previous = last_round(spark, base)
     if previous is not None and previous >= number:
