@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from conftest import values
 
-from tidefeed.llm import capfilter, decontam, jaccard, langid, linedup, pieces, quality, toxicity, urlrules, warc
+from tidefeed.llm import capfilter, columns, decontam, jaccard, langid, linedup, pieces, quality, toxicity, urlrules, warc
 from tidefeed.llm import text as T
 from tidefeed.llm.columns import crc_part
 from tidefeed.llm.sharing import components
@@ -386,6 +386,26 @@ def test_jaccard_in_blocks_against_brute_force(rows, monkeypatch):
     assert len(check_jaccard(rows, docs)) > 20
 
 
+def test_jaccard_puts_pairs_out_in_bounded_batches():
+    """A hot group of many entries comes out in batches of at most PART rows."""
+    n = 3 * jaccard.PART
+    docs = np.arange(n)
+    entries = pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int64)), pa.array(docs)], names=["key", "doc_id"])
+    out = list(jaccard._candidates(8, star=True)(iter([entries])))
+    assert max(b.num_rows for b in out) <= jaccard.PART and sum(b.num_rows for b in out) == 2 * n - 1
+
+
+def test_a_kept_text_is_sent_to_the_tasks_once(rows):
+    """A column that is kept and given is one and the same array in the task."""
+
+    def run(kept, given):
+        yield [*kept, pa.array([kept[1].buffers()[2].address == given[0].buffers()[2].address] * len(kept[0]))]
+
+    df = rows("doc_id long, text string", (1, "one"), (2, None), (3, "three"))
+    out = columns.mapped(df, ["doc_id", "text"], ["text"], "same boolean", run)
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "one", True), (2, None, True), (3, "three", True)]
+
+
 def test_jaccard_candidates_hold_no_hot_group():
     """A group over many batches is told entry by entry; pairs and losses are those of whole partitions."""
     keys = np.repeat([1, 2, 3, 4, 5], [2, 500, 3, 1, 40])

@@ -30,31 +30,36 @@ def with_columns(docs: DataFrame, keep: Sequence[str], added: str, compute: Comp
             made = compute(data, offsets[a : b + 1])
             yield [c.slice(a, b - a) for c in kept] + [pa.array(x) for x in made]
 
-    return mapped(docs, keep, [col(text)], added, run)
+    return mapped(docs, keep, [text], added, run)
 
 
 #: From the kept columns of a batch and the given ones to batches of kept and new columns.
 Run = Callable[[list[pa.Array], list[pa.Array]], Iterator[list[pa.Array]]]
 
 
-def mapped(docs: DataFrame, keep: Sequence[str], given: Sequence[Column], added: str, run: Run) -> DataFrame:
+def mapped(docs: DataFrame, keep: Sequence[str], given: Sequence[Column | str], added: str, run: Run) -> DataFrame:
     """The columns ``keep`` of ``docs`` but those that ``added`` names, and the latter, by ``run``.
 
-    On the way the kept columns have plain names, so theirs may hold anything.
+    On the way the kept columns have plain names, so theirs may hold anything. A column that is given by
+    name and kept too, as texts often are, is sent once.
     """
     new = _parse_datatype_string(added)
     keep = [c for c in dict.fromkeys(keep) if c not in new.fieldNames()]
     plain = [f"__kept{i}" for i in range(len(keep))]
+    kept_at = [keep.index(c) if isinstance(c, str) and c in keep else None for c in given]
+    others = [col(c) if isinstance(c, str) else c for c, i in zip(given, kept_at, strict=True) if i is None]
+    place = iter(range(len(keep), len(keep) + len(others)))
+    at = [next(place) if i is None else i for i in kept_at]
     rows = docs.select(
         *(col(c).alias(p) for c, p in zip(keep, plain, strict=True)),
-        *(c.alias(f"__given{i}") for i, c in enumerate(given)),
+        *(c.alias(f"__given{i}") for i, c in enumerate(others)),
     )
     schema = StructType(rows.schema.fields[: len(keep)] + new.fields)
     n, names = len(keep), schema.fieldNames()
 
     def batched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for arrays in run(batch.columns[:n], batch.columns[n:]):
+            for arrays in run(batch.columns[:n], [batch.column(i) for i in at]):
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return shipped(rows).mapInArrow(batched, schema).toDF(*keep, *new.fieldNames())

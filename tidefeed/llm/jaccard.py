@@ -231,8 +231,8 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], b[new]
 
 
-#: So many pairs and hot entries are gathered before they are put out.
-HELD = 1 << 20
+#: So many pairs and hot entries are gathered before they are put out, in batches of at most so many rows.
+HELD, PART = 1 << 20, 1 << 16
 
 
 def _candidates(hot: int, star: bool):
@@ -279,10 +279,10 @@ def _candidates(hot: int, star: bool):
                     waiting += len(docs)
                     keys = docs = np.zeros(0, np.int64)
             if waiting > HELD:
-                yield _put_out(pairs, lost)
+                yield from _in_parts(_put_out(pairs, lost))
                 pairs, lost, waiting = [], [], 0
         settle(keys, docs)
-        yield _put_out(pairs, lost)
+        yield from _in_parts(_put_out(pairs, lost))
 
     return run
 
@@ -318,6 +318,12 @@ def _spared(entries: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["a", "b", "n", "spare"])
 
 
+def _in_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices, as the executor holds a whole batch outside its heap."""
+    for at in range(0, batch.num_rows, PART):
+        yield batch.slice(at, PART)
+
+
 def _put_out(pairs: list[tuple[np.ndarray, np.ndarray]], lost: list[np.ndarray]) -> pa.RecordBatch:
     a, b = _distinct(*(np.concatenate(x).astype(np.int64) for x in zip(*pairs)))
     members, n = np.unique(np.concatenate(lost), return_counts=True)

@@ -513,7 +513,7 @@ def encode(
                 made.append(pa.ListArray.from_arrays(nested.offsets, _without_blank(*decoded)))
             yield [c.slice(a, b - a) for c in kept] + made
 
-    return mapped(docs, keep, [F.xxhash64(key), F.col("text")], added, run)
+    return mapped(docs, keep, [F.xxhash64(key), "text"], added, run)
 
 
 @lru_cache(maxsize=4)
