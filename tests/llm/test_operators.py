@@ -386,6 +386,17 @@ def test_jaccard_in_blocks_against_brute_force(rows, monkeypatch):
     assert len(check_jaccard(rows, docs)) > 20
 
 
+def test_jaccard_files_documents_of_one_range_of_sizes_once(rows):
+    """Two that may be similar meet in the larger one's range; the next range is left out if no document is of its sizes."""
+    held = [(7, i, i, n) for i, n in enumerate([100, 104, 108])]  # one range
+    held += [(8, 10 + i, 10 + i, n) for i, n in enumerate([90, 104, 120, 140, 150])]  # several
+    found = jaccard._of_like_size(rows("key long, doc_id long, root long, n long", *held)).collect()
+    assert Counter(r.doc_id for r in found if r.key == 7) == {0: 1, 1: 1, 2: 1}
+    met = {(a.doc_id, b.doc_id) for a, b in itertools.combinations(sorted(found, key=lambda r: r.doc_id), 2) if (a.key, a.sizes) == (b.key, b.sizes)}
+    alike = {(a[1], b[1]) for a, b in itertools.combinations(held, 2) if a[0] == b[0] and 100 * min(a[3], b[3]) >= 75 * max(a[3], b[3])}
+    assert alike <= met and all(r.k == sum((o.key, o.sizes) == (r.key, r.sizes) for o in found) for r in found)
+
+
 def test_jaccard_puts_pairs_out_in_bounded_batches():
     """A hot group of many entries comes out in batches of at most PART rows."""
     n = 3 * jaccard.PART

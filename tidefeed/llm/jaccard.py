@@ -357,12 +357,14 @@ _RANGE = 1.4
 
 def _of_like_size(held: DataFrame) -> DataFrame:
     """The rows ``key``, ``doc_id``, ``root``, ``n``, once for the range of their size (``sizes``) and once for the next, so that two
-    documents of a key that may be similar share a range; those with no other root in their range are left out.
-    ``k`` is how many share key and range."""
+    documents of a key that may be similar share a range, which is that of the larger one's size; ranges that hold no other root, or
+    no document of their own sizes, are left out. ``k`` is how many share key and range."""
     size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(_RANGE))).cast("int")
-    held = held.withColumn("sizes", F.explode(F.array(size, size + 1)))
-    groups = held.groupBy("key", "sizes").agg(F.count("*").alias("k"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-    return held.join(groups.where("r0 < r1").select("key", "sizes", "k"), ["key", "sizes"])
+    held = held.withColumn("at", size).withColumn("sizes", F.explode(F.array("at", F.col("at") + 1)))
+    groups = held.groupBy("key", "sizes").agg(
+        F.count("*").alias("k"), F.min("root").alias("r0"), F.max("root").alias("r1"), F.max("at").alias("top")
+    )
+    return held.drop("at").join(groups.where("r0 < r1 and top = sizes").select("key", "sizes", "k"), ["key", "sizes"])
 
 
 _AT = ("key", "x", "y")
@@ -602,7 +604,8 @@ def links(docs: DataFrame, hot: int = 8) -> DataFrame:
     met = met.join(keys, "doc_id").join(bits, "doc_id")
     met = _dealt(met.select("key", "k", "doc_id", "root", "n", "bits", "keys", "sizes"), BLOCK)
     met = met.withColumns({c: F.col(c) + F.shiftleft("sizes", 20) for c in ("own", "x", "y")})  # blocks of one range of sizes
-    met = met.select(*_AT, "own", "doc_id", "root", "n", "bits", "keys")
+    smaller = F.filter("keys", lambda k: k < F.col("key")).alias("keys")  # a block looks at no others
+    met = met.select(*_AT, "own", "doc_id", "root", "n", "bits", smaller)
     across = met.repartition(*_AT).sortWithinPartitions(*_AT).mapInArrow(_across, "a long, b long")
     late = _connecting(stored(across.distinct(), "across"), singles)
     return copies.unionAll(linked).unionAll(late)
