@@ -6,6 +6,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from tidefeed.operators import group_sum, stats, stats_by
+from tidefeed.plans.catalogue import rounds as round_queries
 from tidefeed.schemas import FEEDS
 from tidefeed.storage import shared_root
 from tidefeed.streaming import (
@@ -133,6 +134,23 @@ def test_a_round_that_failed_is_run_again(spark, tmp_path, drop):
     assert last_round(spark, base) == 0
 
 
+def test_drops_land_compressed_in_bounded_files(spark, tmp_path, rows, monkeypatch):
+    """The landed records take a fraction of their plain text, and no file holds more than the most records."""
+    monkeypatch.setattr(round_queries, "RECORDS_PER_FILE", 3000)
+    records = spark.range(10_000).coalesce(1).select(
+        F.lit("OMS").alias("origem"),
+        F.lit("f").alias("nome_arquivo"),
+        F.struct(*[(F.col("id") % (i + 7)).cast("int").alias(f.name) if f.name != "data" else F.lit(DAY).alias("data") for i, f in enumerate(FEEDS["oms"])]).alias("linha_oms"),
+    )
+    round_queries.land(records, f"{tmp_path}/landing")
+    records.write.json(f"{tmp_path}/plain")
+    size = {d: sum(p.stat().st_size for p in (tmp_path / d).glob("part-*")) for d in ("landing", "plain")}
+    assert size["landing"] < size["plain"] / 4
+    landed = spark.read.schema(rounds_module.DROP).json(f"{tmp_path}/landing")
+    assert landed.groupBy(F.input_file_name()).count().agg(F.max("count"), F.count("*")).first()[:] == (3000, 4)
+    assert values(landed.select("origem", "linha_oms")) == values(records.select("origem", "linha_oms"))
+
+
 def test_rounds_write_the_weekly_outputs(spark, tmp_path, drop):
     for feed in FEEDS:
         drop(feed)

@@ -158,6 +158,19 @@ def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.withColumn("Total_value", rounded("Total_value"))
 
 
+#: The most records in one landed file: a compressed file is read by one task.
+RECORDS_PER_FILE = 500_000
+
+
+def land(records: DataFrame, landing: str) -> None:
+    """Add a drop of tagged records to a landing folder, as compressed JSON lines.
+
+    As plain text a record takes about ten times its size in a table, mostly for the names of its fields.
+    """
+    options = {"compression": "lz4", "maxRecordsPerFile": RECORDS_PER_FILE}
+    records.write.mode("append").options(**options).json(landing)
+
+
 @query(_OUTPUTS_SQL)
 def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two feeds land and nothing runs; the third lands and one round runs over all of them.
@@ -167,11 +180,11 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, base = new_folder(spark, "landing"), new_folder(spark, "rounds")
     drops = {feed: _without_zeros(drop, feed) for feed, drop in tagged(spark, sf_dir).items()}
     for feed in ("oms", "hospital"):
-        drops[feed].write.mode("append").json(landing)
+        land(drops[feed], landing)
     start_rounds(spark, landing, base).awaitTermination()
     if last_round(spark, base) is not None:
         raise AssertionError("a round ran before all feeds were there")
-    drops["secretaria"].write.mode("append").json(landing)
+    land(drops["secretaria"], landing)
     start_rounds(spark, landing, base).awaitTermination()
     number = last_round(spark, base)
     outputs = weekly.load_outputs(spark, f"{base}/rounds/round={number}")
@@ -201,7 +214,7 @@ def stream_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     numbers = []
     for _ in range(2):
-        union_of(tagged(spark, sf_dir)).write.mode("append").json(landing)
+        land(union_of(tagged(spark, sf_dir)), landing)
         numbers.append(run_timed(spark, landing, base, totals, every="200 milliseconds", rounds=1))
     layout = "registros long, total long, feed string"
     rounds = [spark.read.schema(layout).parquet(f"{base}/rounds/round={n}/totais").withColumn("rodada", F.lit(i)) for i, n in enumerate(numbers, 1)]
