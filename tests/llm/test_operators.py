@@ -4,6 +4,7 @@ import base64
 import hashlib
 import itertools
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -199,6 +200,32 @@ def test_samples_run_out(model):
         assert all(a.score >= b.score for a, b in zip(samples, samples[1:]))
 
 
+def test_a_task_that_samples_holds_little(spark, monkeypatch):
+    """Two megabytes of texts of mostly different words, by the function that runs in a task."""
+    from pyspark.sql import functions as F
+
+    taken = {}
+    monkeypatch.setattr(pieces, "mapped", lambda docs, keep, given, added, run: taken.update(run=run))
+    pieces.encode(spark.range(1), F.col("id"), ["id"])
+    draw = random.Random(7)
+    texts = [" ".join(f"{draw.randrange(16**9):x}" for _ in range(400)) for _ in range(520)]
+    keys = pa.array(range(len(texts)), pa.int64())
+
+    def ids():
+        return [x for made in taken["run"]([keys], [keys, pa.array(texts)]) for x in made[1 + pieces._IDS_AT].to_pylist()]
+
+    ids()  # tables that stay are built by now
+    tracemalloc.start()
+    for _ in taken["run"]([keys], [keys, pa.array(texts)]):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    few = ids()
+    monkeypatch.setattr(pieces, "WALK_BYTES", 1 << 20)
+    assert few == ids()  # samples don't depend on which texts walk together
+
+
 def test_encoding_of_messy_rows(messy, rows, model):
     from pyspark.sql import functions as F
 

@@ -34,8 +34,8 @@ from tidefeed.llm import text as T
 from tidefeed.llm.columns import mapped
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Texts of about so many bytes walk together.
-WALK_BYTES = 1 << 20
+#: Texts of about so many bytes walk together, which bounds the memory of a task.
+WALK_BYTES = 1 << 18
 _U = np.uint64
 
 
@@ -478,12 +478,12 @@ def encode(
     model file is read where the job is submitted.
     """
     with open(model, "rb") as file:
-        content = docs.sparkSession.sparkContext.broadcast(file.read())
+        built = load(file.read(), flatten)  # here, as building takes more memory than the tables that the tasks get
+    sent = docs.sparkSession.sparkContext.broadcast((built, surface_table(built)))
     added = SAMPLED + (", pieces array<int>" if with_ids else "") + (", texts array<string>" if with_texts else "")
 
     def run(kept: list[pa.Array], given: list[pa.Array]) -> Iterator[list[pa.Array]]:
-        p = load(content.value, flatten)
-        table = surface_table(p)
+        p, table = sent.value
         data, offsets = T.text_buffers(given[1])
         seeds = given[0].to_numpy().view(np.uint64)
         for a, b in T.groups(offsets, WALK_BYTES):
